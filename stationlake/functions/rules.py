@@ -119,15 +119,17 @@ class Staged:
         return self.result(env.__getitem__)
 
     def apply(self, df: DataFrame, out: str) -> DataFrame:
-        """Add the rule's struct as column ``out`` (steps are dropped afterwards)."""
+        """Add the rule's struct as column ``out`` (step columns are not kept)."""
         prefix = f"{out}__"
         ref: Ref = lambda name: F.col(prefix + name)
-        names: list[str] = []
+        keep = [F.col(c) for c in df.columns]
+        carried: list[str] = []
         for step in self.steps:
             cols = step(ref)
-            df = df.withColumns({prefix + k: v for k, v in cols.items()})
-            names += [prefix + k for k in cols]
-        return df.withColumn(out, self.result(ref)).drop(*names)
+            df = df.select(*keep, *[F.col(c) for c in carried],
+                           *[v.alias(prefix + k) for k, v in cols.items()])
+            carried += [prefix + k for k in cols]
+        return df.select(*keep, self.result(ref).alias(out))
 
 
 def as_column(rule_output: Column | Staged) -> Column:

@@ -57,11 +57,13 @@ def apply_rules(df: DataFrame, rules: Sequence[CleanRule], *, score: bool = Fals
         tmp = f"__clean_{i}"
         cell = rule.fn(F.col(rule.col), *[_as_col(a) for a in rule.args], **rule.kwargs)
         out = cell.apply(out, tmp) if isinstance(cell, Staged) else out.withColumn(tmp, cell)
-        out = out.withColumns({
+        updated = {
             rule.col: F.col(f"{tmp}.value"),
             ROW_CORRECTED: F.col(ROW_CORRECTED) | F.col(f"{tmp}.corrected"),
             VALUE_INVALID: F.col(VALUE_INVALID) | F.col(f"{tmp}.invalid"),
-        }).drop(tmp)
+        }
+        out = out.select(*[updated[c].alias(c) if c in updated else F.col(c)
+                           for c in out.columns if c != tmp])
     if score:
         types = {f.name: f.dataType for f in out.schema.fields}
         terms = []

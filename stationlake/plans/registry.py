@@ -31,7 +31,22 @@ class Star:
     joined: DataFrame
 
 
+_STARS: dict[tuple[str, str], Star] = {}
+
+
 def build_star(spark: SparkSession, sf_dir: str) -> Star:
+    """Silver tables, dimensions and the availability ⋈ stations frame (lazy).
+
+    Built once per session and data set: the frames are immutable plans, so every query
+    derives from the same ones (which also lets Spark reuse identical exchanges).
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STARS:
+        _STARS[key] = _build_star(spark, sf_dir)
+    return _STARS[key]
+
+
+def _build_star(spark: SparkSession, sf_dir: str) -> Star:
     raw_st = td.raw_stations(spark, sf_dir)
     st = silver.station_silver(raw_st)
     wx = silver.weather_silver(td.raw_weather(spark, sf_dir))
@@ -46,35 +61,35 @@ def build_star(spark: SparkSession, sf_dir: str) -> Star:
 
 
 def _silver_stations(spark, sf):
-    return silver.station_silver(td.raw_stations(spark, sf)).df
+    return build_star(spark, sf).stations.df
 
 
 def _silver_weather(spark, sf):
-    return silver.weather_silver(td.raw_weather(spark, sf)).df
+    return build_star(spark, sf).weather.df
 
 
 def _silver_availability(spark, sf):
-    return silver.availability_silver(td.raw_availability(spark, sf), td.raw_stations(spark, sf)).df
+    return build_star(spark, sf).availability.df
 
 
 def _report_stations(spark, sf):
-    return silver.station_silver(td.raw_stations(spark, sf)).report
+    return build_star(spark, sf).stations.report
 
 
 def _report_weather(spark, sf):
-    return silver.weather_silver(td.raw_weather(spark, sf)).report
+    return build_star(spark, sf).weather.report
 
 
 def _report_availability(spark, sf):
-    return silver.availability_silver(td.raw_availability(spark, sf), td.raw_stations(spark, sf)).report
+    return build_star(spark, sf).availability.report
 
 
 def _dim_station(spark, sf):
-    return D.dim_station(silver.station_silver(td.raw_stations(spark, sf)).df)
+    return build_star(spark, sf).dim_station
 
 
 def _dim_weather(spark, sf):
-    return D.dim_weather(silver.weather_silver(td.raw_weather(spark, sf)).df)
+    return build_star(spark, sf).dim_weather
 
 
 def _dim_date(spark, sf):

@@ -26,8 +26,22 @@ RAW_AVAILABILITY_COLUMNS = ("station_id", "timestamp", "bikes_available", "slots
 RAW_WEATHER_COLUMNS = ("timestamp", "temperature_c", "rain_mm", "weather_condition")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    The cleaning right after the scan is CPU-bound and narrow, so it runs with the
+    scan's parallelism. A single-row-group file is one split and would keep one core
+    busy; on a cluster reading many files the scan has far more splits than cores and
+    this adds nothing.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
 
 
 def _s(c: Column) -> Column:
