@@ -413,3 +413,92 @@ JOIN fact_top t ON a.date_key = t.date_key"""
         return with_ctes(parts, FACT_AVG_BIKES, FACT_OCCUPANCY, FACT_DOMINANT, FACT_SATURATION, FACT_TOP,
                          final=final)
     raise KeyError(name)
+
+
+# --------------------------------------------------------------------------- quality
+READ_TIME = "TRY_CAST(timestamp AS TIMESTAMP)"
+
+FROZEN = ("frozen", f"""
+SELECT station_id, bikes_available, slots_free, min(t) AS start_time, max(t) AS end_time,
+       count(*) AS n_readings
+FROM (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY t, bikes_available NULLS FIRST,
+                                   slots_free NULLS FIRST)
+              - row_number() OVER (PARTITION BY station_id, bikes_available, slots_free ORDER BY t) AS g
+      FROM (SELECT station_id, {READ_TIME} AS t, bikes_available, slots_free FROM availability_silver)
+      WHERE station_id IS NOT NULL AND t IS NOT NULL)
+GROUP BY station_id, bikes_available, slots_free, g HAVING count(*) >= 3""")
+
+CRITICAL = ("critical", f"""
+SELECT station_id, min(t) AS start_time, max(t) AS end_time, count(*) AS n_readings,
+       (epoch(max(t)) - epoch(min(t))) / 60.0 AS duration_minutes
+FROM (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY t, c)
+              - row_number() OVER (PARTITION BY station_id, c ORDER BY t) AS g
+      FROM (SELECT station_id, {READ_TIME} AS t,
+                   CAST(bikes_available AS BIGINT) * 100 < CAST(capacity AS BIGINT) * 20 AS c FROM joined)
+      WHERE station_id IS NOT NULL AND t IS NOT NULL AND c IS NOT NULL)
+GROUP BY station_id, c, g HAVING c AND (epoch(max(t)) - epoch(min(t))) / 60.0 > 30""")
+
+
+def quality_sql(name: str) -> str:
+    g = gold_parts()
+    if name == "enriched_weather":
+        final = f"""
+SELECT j.station_id, j.timestamp, j.bikes_available, j.timestamp_rounded, w.timestamp AS weather_timestamp,
+       w.temperature_c, w.rain_mm, w.weather_condition
+FROM (SELECT *, strftime(date_trunc('hour', {READ_TIME} + INTERVAL 30 MINUTE), '%Y-%m-%d %H:%M:%S')
+             AS timestamp_rounded FROM joined) j
+LEFT JOIN weather_silver w ON j.timestamp_rounded = w.timestamp"""
+        return with_ctes(g, final=final)
+    if name == "quality_negatives":
+        return with_ctes(silver_parts(weather=True), final=(
+            "SELECT date_partition, count(*) FILTER (WHERE temperature_c < 0) AS nb_neg_temperature_c "
+            "FROM weather_silver GROUP BY date_partition"))
+    if name == "quality_capacity":
+        return with_ctes(silver_parts(stations=True, availability=True), final=(
+            "SELECT a.station_id, a.date_partition, count(*) FILTER (WHERE "
+            "(a.bikes_available + a.slots_free) IS DISTINCT FROM s.capacity OR a.bikes_available IS NULL "
+            "OR a.slots_free IS NULL OR s.capacity IS NULL) AS nb_incoherent_capacity "
+            "FROM availability_silver a JOIN stations_silver s ON a.station_id = s.station_id "
+            "GROUP BY a.station_id, a.date_partition"))
+    if name == "quality_report_lines":
+        rep = report_sql("availability")
+        body = rep[rep.index("WITH ") + 5:]
+        ctes, final = body.rsplit("\nSELECT", 1)
+        lines = ["'Quality report - availability_silver'", "'-------------------------------------'",
+                 "'- Raw rows : ' || CAST(rows_raw AS VARCHAR)",
+                 "'- Corrected rows : ' || CAST(rows_corrected AS VARCHAR)",
+                 "'- Invalid rows (values replaced by NULL) : ' || CAST(rows_invalid AS VARCHAR)",
+                 "'- Removed rows : ' || CAST(rows_removed AS VARCHAR)"]
+        union = " UNION ALL ".join(f"SELECT {i + 1} AS line_no, {x} AS line FROM report"
+                                   for i, x in enumerate(lines))
+        return f"WITH {ctes}, report AS (SELECT{final})\n{union}"
+    if name == "null_audit":
+        return with_ctes(g, final=(
+            "SELECT count(*) FILTER (WHERE bikes_available IS NULL AND slots_free IS NULL AND capacity IS NOT NULL) "
+            "AS n_both_null_capacity_known, count(*) FILTER (WHERE slots_free IS NULL) AS n_slots_null, "
+            "count(*) FILTER (WHERE bikes_available IS NULL) AS n_bikes_null, "
+            "count(*) FILTER (WHERE capacity IS NULL) AS n_capacity_null FROM joined"))
+    if name == "weather_profile":
+        return f"SELECT weather_condition, count(*) AS n FROM ({RAW_WEATHER}) GROUP BY weather_condition"
+    if name == "frozen_stations":
+        return with_ctes(silver_parts(availability=True), FROZEN, final="SELECT * FROM frozen")
+    if name == "critical_episodes":
+        return with_ctes(g, CRITICAL, final="SELECT * FROM critical")
+    if name == "quality_daily":
+        final = """
+SELECT c.station_id, c.date_partition, c.n_readings, c.nb_neg_bikes_available, c.nb_neg_slots_free,
+       c.nb_incoherent_capacity, coalesce(f.n_frozen_runs, 0) AS n_frozen_runs,
+       CAST(coalesce(f.n_frozen_readings, 0) AS BIGINT) AS n_frozen_readings
+FROM (SELECT a.station_id, a.date_partition, count(*) AS n_readings,
+        count(*) FILTER (WHERE a.bikes_available < 0) AS nb_neg_bikes_available,
+        count(*) FILTER (WHERE a.slots_free < 0) AS nb_neg_slots_free,
+        count(*) FILTER (WHERE s.station_id IS NOT NULL AND ((a.bikes_available + a.slots_free) IS DISTINCT FROM s.capacity
+          OR a.bikes_available IS NULL OR a.slots_free IS NULL OR s.capacity IS NULL)) AS nb_incoherent_capacity
+      FROM availability_silver a
+      LEFT JOIN (SELECT station_id, capacity FROM stations_silver) s ON a.station_id = s.station_id
+      GROUP BY a.station_id, a.date_partition) c
+LEFT JOIN (SELECT station_id, CAST(start_time AS DATE) AS d, count(*) AS n_frozen_runs,
+                  sum(n_readings) AS n_frozen_readings FROM frozen GROUP BY station_id, CAST(start_time AS DATE)) f
+  ON c.station_id = f.station_id AND c.date_partition = f.d"""
+        return with_ctes(silver_parts(stations=True, availability=True), FROZEN, final=final)
+    raise KeyError(name)

@@ -23,4 +23,7 @@ def oracle_queries() -> dict[str, str]:
     for name in ("fact_avg_bikes", "fact_occupancy", "fact_dominant_weather", "fact_saturation",
                  "fact_top_saturated", "fact_top_array", "gold_daily"):
         q[name] = O.fact_sql(name)
+    for name in ("enriched_weather", "quality_negatives", "quality_capacity", "quality_report_lines",
+                 "null_audit", "weather_profile", "frozen_stations", "critical_episodes", "quality_daily"):
+        q[name] = O.quality_sql(name)
     return q

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from stationlake.operators import dimensions as D
 from stationlake.operators import facts as FX
+from stationlake.operators import quality as Q
 from stationlake.operators.cleaning import SilverResult
 from stationlake.plans import silver
 from stationlake.sources import testdata as td
@@ -138,6 +139,48 @@ def _gold_daily(spark, sf):
                        F.col("__t.saturation_pct").alias("saturation_pct"))
 
 
+def _enriched_weather(spark, sf):
+    s = build_star(spark, sf)
+    return FX.enrich_with_weather(s.joined, s.weather.df).select(
+        "station_id", "timestamp", "bikes_available", "timestamp_rounded", "weather_timestamp",
+        "temperature_c", "rain_mm", "weather_condition")
+
+
+def _quality_negatives(spark, sf):
+    return Q.count_negatives(build_star(spark, sf).weather.df, "temperature_c", "date_partition")
+
+
+def _quality_capacity(spark, sf):
+    s = build_star(spark, sf)
+    return Q.capacity_coherence(s.availability.df, s.stations.df, "station_id", "date_partition")
+
+
+def _quality_report_lines(spark, sf):
+    return Q.report_lines(build_star(spark, sf).availability.report, "availability_silver")
+
+
+def _null_audit(spark, sf):
+    return Q.null_audit(build_star(spark, sf).joined)
+
+
+def _weather_profile(spark, sf):
+    return Q.value_profile(td.raw_weather(spark, sf), "weather_condition")
+
+
+def _frozen_stations(spark, sf):
+    return Q.frozen_stations(build_star(spark, sf).availability.df)
+
+
+def _critical_episodes(spark, sf):
+    return Q.critical_episodes(build_star(spark, sf).joined)
+
+
+def _quality_daily(spark, sf):
+    s = build_star(spark, sf)
+    return Q.daily_quality(Q.with_capacity(s.availability.df, s.stations.df),
+                           Q.frozen_stations(s.availability.df))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_stations": _silver_stations,
     "silver_weather": _silver_weather,
@@ -155,4 +198,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_top_saturated": _fact_top_saturated,
     "fact_top_array": _fact_top_array,
     "gold_daily": _gold_daily,
+    "enriched_weather": _enriched_weather,
+    "quality_negatives": _quality_negatives,
+    "quality_capacity": _quality_capacity,
+    "quality_report_lines": _quality_report_lines,
+    "null_audit": _null_audit,
+    "weather_profile": _weather_profile,
+    "frozen_stations": _frozen_stations,
+    "critical_episodes": _critical_episodes,
+    "quality_daily": _quality_daily,
 }
