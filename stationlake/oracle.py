@@ -502,3 +502,56 @@ LEFT JOIN (SELECT station_id, CAST(start_time AS DATE) AS d, count(*) AS n_froze
   ON c.station_id = f.station_id AND c.date_partition = f.d"""
         return with_ctes(silver_parts(stations=True, availability=True), FROZEN, final=final)
     raise KeyError(name)
+
+
+# --------------------------------------------------------------------------- features, SQL
+def round6(x: str) -> str:
+    return f"CAST(round(TRY_CAST({x} AS DECIMAL(38,10)), 6) AS DOUBLE)"
+
+
+FEATURES = ("features", f"""
+SELECT h.station_id, h.hour, CAST(hour(h.hour) AS INTEGER) AS hour_of_day,
+  CAST(isodow(h.hour) AS INTEGER) AS day_of_week_num, isodow(h.hour) >= 6 AS is_weekend,
+  w.temperature_c, w.rain_mm, w.weather_condition, h.occupancy_pct, h.n_readings,
+  lag(h.occupancy_pct) OVER (PARTITION BY h.station_id ORDER BY h.hour) AS lag_1,
+  {round6("avg(h.occupancy_pct) OVER (PARTITION BY h.station_id ORDER BY h.hour ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)")} AS moving_avg_3
+FROM (SELECT station_id, hr AS hour, {round2('avg(occ)')} AS occupancy_pct, count(*) AS n_readings
+      FROM (SELECT station_id, date_trunc('hour', {READ_TIME}) AS hr,
+                   {pct('bikes_available', 'bikes_available + slots_free')} AS occ FROM joined)
+      WHERE hr IS NOT NULL GROUP BY station_id, hr) h
+LEFT JOIN (SELECT wh, weather_condition, temperature_c, rain_mm FROM (
+             SELECT {READ_TIME} AS wh, weather_condition, temperature_c, rain_mm,
+               row_number() OVER (PARTITION BY {READ_TIME} ORDER BY weather_condition NULLS FIRST,
+                 temperature_c NULLS FIRST, rain_mm NULLS FIRST) AS rn FROM weather_silver)
+           WHERE rn = 1 AND wh IS NOT NULL) w ON h.hour = w.wh""")
+
+
+def feature_sql(name: str) -> str:
+    g = gold_parts()
+    if name == "features_hourly":
+        return with_ctes(g, FEATURES, final="SELECT * FROM features")
+    if name == "baseline_errors":
+        final = f"""
+SELECT baseline, count(*) AS n, {round6('avg(abs(pred - actual))')} AS mae,
+       {round6('sqrt(avg((pred - actual) * (pred - actual)))')} AS rmse
+FROM (SELECT 'persistence' AS baseline, lag_1 AS pred, occupancy_pct AS actual FROM features
+      UNION ALL SELECT 'moving_average_3', moving_avg_3, occupancy_pct FROM features)
+WHERE pred IS NOT NULL AND actual IS NOT NULL GROUP BY baseline"""
+        return with_ctes(g, FEATURES, final=final)
+    facts = [FACT_OCCUPANCY, FACT_DOMINANT]
+    if name == "sql_station_ranking":
+        final = f"""SELECT station_key, count(*) AS n_readings, {round2('avg(occupancy_pct)')} AS avg_occupancy_pct
+FROM fact_occupancy WHERE station_key IS NOT NULL GROUP BY station_key"""
+    elif name == "sql_weather_impact":
+        final = f"""SELECT w.weather_condition, count(DISTINCT o.date_key) AS n_days, count(*) AS n_readings,
+  {round2('avg(o.occupancy_pct)')} AS avg_occupancy_pct
+FROM fact_occupancy o JOIN fact_dominant d ON o.date_key = d.date_key
+JOIN dim_weather w ON d.weather_condition_key = w.weather_condition_key GROUP BY w.weather_condition"""
+    elif name == "sql_hourly_profile":
+        final = f"""SELECT CAST(o.time_key // 60 AS INTEGER) AS hour_of_day, d.is_weekend, count(*) AS n_readings,
+  {round2('avg(o.occupancy_pct)')} AS avg_occupancy_pct
+FROM fact_occupancy o JOIN dim_date d ON o.date_key = d.date_key
+WHERE o.time_key IS NOT NULL GROUP BY CAST(o.time_key // 60 AS INTEGER), d.is_weekend"""
+    else:
+        raise KeyError(name)
+    return with_ctes(g, *facts, final=final)

@@ -26,4 +26,8 @@ def oracle_queries() -> dict[str, str]:
     for name in ("enriched_weather", "quality_negatives", "quality_capacity", "quality_report_lines",
                  "null_audit", "weather_profile", "frozen_stations", "critical_episodes", "quality_daily"):
         q[name] = O.quality_sql(name)
+    for name in ("features_hourly", "baseline_errors", "sql_station_ranking", "sql_weather_impact",
+                 "sql_hourly_profile"):
+        q[name] = O.feature_sql(name)
+    # "predictions" (iterative model fit) has no SQL oracle: rows-only check.
     return q

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from stationlake.operators import dimensions as D
 from stationlake.operators import facts as FX
+from stationlake.operators import features as FT
 from stationlake.operators import quality as Q
+from stationlake.plans import sql_reports
 from stationlake.operators.cleaning import SilverResult
 from stationlake.plans import silver
 from stationlake.sources import testdata as td
@@ -181,6 +183,34 @@ def _quality_daily(spark, sf):
                            Q.frozen_stations(s.availability.df))
 
 
+def _features_hourly(spark, sf):
+    s = build_star(spark, sf)
+    return FT.hourly_features(s.joined, s.weather.df)
+
+
+def _baseline_errors(spark, sf):
+    s = build_star(spark, sf)
+    return FT.baseline_errors(FT.hourly_features(s.joined, s.weather.df))
+
+
+def _predictions(spark, sf):
+    s = build_star(spark, sf)
+    return FT.train_and_score(FT.hourly_features(s.joined, s.weather.df))[1]
+
+
+def _star_tables(spark, sf) -> dict[str, DataFrame]:
+    s = build_star(spark, sf)
+    return {
+        "fact_occupancy": FX.fact_occupancy(s.joined, s.dim_date, s.dim_station),
+        "fact_dominant_weather": FX.fact_dominant_weather(s.weather.df, s.dim_date, s.dim_weather),
+        "dim_weather": s.dim_weather, "dim_date": s.dim_date, "dim_station": s.dim_station,
+    }
+
+
+def _sql(name):
+    return lambda spark, sf: sql_reports.run_report(spark, _star_tables(spark, sf), name)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_stations": _silver_stations,
     "silver_weather": _silver_weather,
@@ -207,4 +237,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "frozen_stations": _frozen_stations,
     "critical_episodes": _critical_episodes,
     "quality_daily": _quality_daily,
+    "features_hourly": _features_hourly,
+    "baseline_errors": _baseline_errors,
+    "sql_station_ranking": _sql("station_ranking"),
+    "sql_weather_impact": _sql("weather_impact"),
+    "sql_hourly_profile": _sql("hourly_profile"),
+    "predictions": _predictions,
 }
