@@ -198,6 +198,24 @@ def _predictions(spark, sf):
     return FT.train_and_score(FT.hourly_features(s.joined, s.weather.df))[1]
 
 
+def _stream_alerts(spark, sf):
+    """B9 + B10 as streams: the derived raw availability is landed as CSV files in the
+    shared scratch folder, ingested (availableNow) into a silver table and turned into
+    alerts by the stateful stream; returns the alert table."""
+    import uuid
+
+    from stationlake.session import scratch_path
+    from stationlake.streaming.pipeline import run_streams
+
+    base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    raw_st = td.raw_stations(spark, sf)
+    (td.raw_availability(spark, sf).write.option("header", True).option("sep", ";")
+     .csv(f"{base}/raw"))
+    _, alerts = run_streams(spark, f"{base}/raw", raw_st, build_star(spark, sf).stations.df,
+                            f"{base}/out")
+    return spark.read.parquet(alerts)
+
+
 def _star_tables(spark, sf) -> dict[str, DataFrame]:
     s = build_star(spark, sf)
     return {
@@ -243,4 +261,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_weather_impact": _sql("weather_impact"),
     "sql_hourly_profile": _sql("hourly_profile"),
     "predictions": _predictions,
+    "stream_alerts": _stream_alerts,
 }

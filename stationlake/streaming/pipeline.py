@@ -1,0 +1,41 @@
+"""Streaming job: raw files → silver table (B9) → alert table (B10), both append-only.
+
+The two streams are chained through the silver parquet table (each with its own
+checkpoint), so each query holds a single stateful operator and can be restarted
+independently.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import (DateType, IntegerType, StringType, StructField, StructType,
+                               TimestampType)
+
+from stationlake.streaming.alerts import critical_alerts
+from stationlake.streaming.ingest import WATERMARK, clean_stream, read_raw_stream, start_ingest
+
+SILVER_STREAM_SCHEMA = StructType([
+    StructField("station_id", IntegerType()), StructField("timestamp", StringType()),
+    StructField("bikes_available", IntegerType()), StructField("slots_free", IntegerType()),
+    StructField("reading_time", TimestampType()), StructField("date_partition", DateType()),
+])
+
+
+def run_streams(spark: SparkSession, raw_dir: str, raw_capacity: DataFrame, stations: DataFrame,
+                base: str, *, available_now: bool = True) -> tuple[str, str]:
+    """Run ingestion then alerting; return the (silver, alerts) table paths."""
+    silver_out, alerts_out = os.path.join(base, "silver"), os.path.join(base, "alerts")
+    ingest = start_ingest(clean_stream(read_raw_stream(spark, raw_dir), raw_capacity),
+                          silver_out, os.path.join(base, "_ckpt_silver"), available_now=available_now)
+    ingest.awaitTermination() if available_now else None
+    silver = (spark.readStream.schema(SILVER_STREAM_SCHEMA).parquet(silver_out)
+              .withWatermark("reading_time", WATERMARK))
+    alerts = (critical_alerts(silver, stations).writeStream.format("parquet").outputMode("append")
+              .option("checkpointLocation", os.path.join(base, "_ckpt_alerts")))
+    alerts = alerts.trigger(availableNow=True) if available_now else alerts.trigger(processingTime="1 minute")
+    q = alerts.start(alerts_out)
+    if available_now:
+        q.awaitTermination()
+    return silver_out, alerts_out
