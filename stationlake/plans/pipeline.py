@@ -47,6 +47,15 @@ def run_silver(spark: SparkSession, raw: RawTables, out: str) -> DataFrame:
 
 def run_gold(spark: SparkSession, out: str) -> dict[str, str]:
     """Build and write the star schema from the silver parquet tables."""
+    paths = {}
+    for name, df in gold_tables(spark, out).items():
+        paths[name] = os.path.join(out, "gold", name)
+        write_table(df, paths[name])
+    return paths
+
+
+def gold_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """The star schema (lazy) over the silver parquet tables written by :func:`run_silver`."""
     base = os.path.join(out, "silver")
     st = spark.read.parquet(os.path.join(base, "stations"))
     wx = spark.read.parquet(os.path.join(base, "weather"))
@@ -66,11 +75,7 @@ def run_gold(spark: SparkSession, out: str) -> dict[str, str]:
         "availability_daily_gold": FX.gold_daily(av, wx, joined, dim_date, dim_station, dim_weather),
         "quality_daily": Q.daily_quality(Q.with_capacity(av, st), Q.frozen_stations(av)),
     }
-    paths = {}
-    for name, df in tables.items():
-        paths[name] = os.path.join(out, "gold", name)
-        write_table(df, paths[name])
-    return paths
+    return tables
 
 
 def report_text(report: DataFrame) -> DataFrame:
