@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationlake.functions.numeric import pct, round2
+from stationlake.operators.dimensions import date_key
 
 TOP_N = 5
 
@@ -29,7 +30,15 @@ def reading_time(ts: Column) -> Column:
     return ts.try_cast("timestamp_ntz")
 
 
-def _date_key(df: DataFrame, dim_date: DataFrame, date_col: str = "date_partition") -> DataFrame:
+def _date_key(df: DataFrame, dim_date: DataFrame | None, date_col: str = "date_partition") -> DataFrame:
+    """Attach ``date_key`` for ``date_col``.
+
+    With a calendar: a (broadcast) left join — dates outside it get a NULL key. With
+    ``dim_date=None`` the calendar is taken to cover the data (as ``dim_date_for`` builds
+    it), and the key is computed directly: the same value, no join per row.
+    """
+    if dim_date is None:
+        return df.withColumn("date_key", date_key(F.col(date_col))).drop(date_col)
     dates = F.broadcast(dim_date.select(F.col("date").alias("__date"), "date_key"))
     return df.join(dates, df[date_col] == dates["__date"], "left").drop("__date", date_col)
 
@@ -44,7 +53,7 @@ def join_stations(availability: DataFrame, stations: DataFrame) -> DataFrame:
     return availability.join(stations.drop("date_partition"), "station_id", "inner")
 
 
-def fact_avg_bikes(availability: DataFrame, dim_date: DataFrame, dim_station: DataFrame) -> DataFrame:
+def fact_avg_bikes(availability: DataFrame, dim_date: DataFrame | None, dim_station: DataFrame) -> DataFrame:
     """Average bikes per day and station."""
     agg = (availability.groupBy("date_partition", "station_id")
            .agg(round2(F.avg("bikes_available")).alias("avg_bikes_available")))
@@ -52,7 +61,7 @@ def fact_avg_bikes(availability: DataFrame, dim_date: DataFrame, dim_station: Da
         "avg_bikes_available", "date_key", "station_key")
 
 
-def fact_occupancy(joined: DataFrame, dim_date: DataFrame, dim_station: DataFrame,
+def fact_occupancy(joined: DataFrame, dim_date: DataFrame | None, dim_station: DataFrame,
                    dim_time: DataFrame | None = None) -> DataFrame:
     """Occupancy ``bikes / (bikes + free slots) * 100`` per reading.
 
@@ -76,7 +85,7 @@ def fact_occupancy(joined: DataFrame, dim_date: DataFrame, dim_station: DataFram
                                                 "station_key")
 
 
-def fact_dominant_weather(weather: DataFrame, dim_date: DataFrame,
+def fact_dominant_weather(weather: DataFrame, dim_date: DataFrame | None,
                           dim_weather: DataFrame) -> DataFrame:
     """C14: most frequent condition per day (ties: the smaller condition, NULL first).
 
@@ -95,7 +104,7 @@ def fact_dominant_weather(weather: DataFrame, dim_date: DataFrame,
             .select("count", "date_key", "weather_condition_key"))
 
 
-def fact_saturation(joined: DataFrame, dim_date: DataFrame, dim_station: DataFrame) -> DataFrame:
+def fact_saturation(joined: DataFrame, dim_date: DataFrame | None, dim_station: DataFrame) -> DataFrame:
     """Share (%) of a station's readings of the day where bikes == capacity."""
     agg = joined.groupBy("date_partition", "station_id").agg(
         F.count(F.lit(1)).alias("__n"),
@@ -106,7 +115,7 @@ def fact_saturation(joined: DataFrame, dim_date: DataFrame, dim_station: DataFra
         "saturation_pct", "date_key", "station_key")
 
 
-def fact_top_saturated(joined: DataFrame, dim_date: DataFrame, dim_station: DataFrame,
+def fact_top_saturated(joined: DataFrame, dim_date: DataFrame | None, dim_station: DataFrame,
                        n: int = TOP_N, with_rank: bool = False) -> DataFrame:
     """The ``n`` most saturated stations per day (ties: smaller station key first).
 
@@ -121,7 +130,7 @@ def fact_top_saturated(joined: DataFrame, dim_date: DataFrame, dim_station: Data
     return ranked.select(*cols)
 
 
-def fact_top_array(joined: DataFrame, dim_date: DataFrame, dim_station: DataFrame,
+def fact_top_array(joined: DataFrame, dim_date: DataFrame | None, dim_station: DataFrame,
                    n: int = TOP_N) -> DataFrame:
     """C17: the top-``n`` per day as an ordered ``ARRAY<STRUCT<station_key, saturation_pct>>``.
 
@@ -145,7 +154,7 @@ def explode_top_array(df: DataFrame, col: str = "top_stations") -> DataFrame:
 
 
 def gold_daily(availability: DataFrame, weather: DataFrame, joined: DataFrame,
-               dim_date: DataFrame, dim_station: DataFrame,
+               dim_date: DataFrame | None, dim_station: DataFrame,
                dim_weather: DataFrame, dim_time: DataFrame | None = None) -> DataFrame:
     """One row per day present in all four facts.
 

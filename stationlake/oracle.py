@@ -291,8 +291,10 @@ def silver_parts(*, stations: bool = False, weather: bool = False, availability:
 def report_sql(which: str) -> str:
     if which == "availability":
         parts = silver_parts(availability=True)
-        final = ("SELECT sum(n) AS rows_raw, sum(c) AS rows_corrected, sum(i) AS rows_invalid, "
-                 "sum(n) - count(*) AS rows_removed FROM (SELECT count(*) AS n, "
+        final = ("SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS rows_raw, "
+                 "CAST(coalesce(sum(c), 0) AS BIGINT) AS rows_corrected, "
+                 "CAST(coalesce(sum(i), 0) AS BIGINT) AS rows_invalid, "
+                 "CAST(coalesce(sum(n), 0) - count(*) AS BIGINT) AS rows_removed FROM (SELECT count(*) AS n, "
                  "count(*) FILTER (WHERE row_corrected) AS c, count(*) FILTER (WHERE value_invalid) AS i "
                  "FROM av_flagged GROUP BY station_id, timestamp)")
         return with_ctes(parts, final=final)

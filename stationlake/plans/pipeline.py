@@ -64,15 +64,16 @@ def gold_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     dim_weather = D.dim_weather(wx)
     dim_date = D.dim_date_for((av, "date_partition"), (wx, "date_partition"))
     joined = FX.join_stations(av, st)
+    cal = None  # dim_date covers every date of the silver data: keys computed, not joined
     tables = {
         "dim_station": dim_station, "dim_weather": dim_weather, "dim_date": dim_date,
         "dim_time": D.dim_time(spark),
-        "fact_avg_bikes": FX.fact_avg_bikes(av, dim_date, dim_station),
-        "fact_occupancy": FX.fact_occupancy(joined, dim_date, dim_station),
-        "fact_dominant_weather": FX.fact_dominant_weather(wx, dim_date, dim_weather),
-        "fact_saturation": FX.fact_saturation(joined, dim_date, dim_station),
-        "fact_top_array": FX.fact_top_array(joined, dim_date, dim_station),
-        "availability_daily_gold": FX.gold_daily(av, wx, joined, dim_date, dim_station, dim_weather),
+        "fact_avg_bikes": FX.fact_avg_bikes(av, cal, dim_station),
+        "fact_occupancy": FX.fact_occupancy(joined, cal, dim_station),
+        "fact_dominant_weather": FX.fact_dominant_weather(wx, cal, dim_weather),
+        "fact_saturation": FX.fact_saturation(joined, cal, dim_station),
+        "fact_top_array": FX.fact_top_array(joined, cal, dim_station),
+        "availability_daily_gold": FX.gold_daily(av, wx, joined, cal, dim_station, dim_weather),
         "quality_daily": Q.daily_quality(Q.with_capacity(av, st), Q.frozen_stations(av)),
     }
     return tables

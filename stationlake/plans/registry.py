@@ -32,6 +32,9 @@ class Star:
     dim_weather: DataFrame
     dim_date: DataFrame
     joined: DataFrame
+    # Facts use calendar=None: ``dim_date`` is built to cover every date of the data, so
+    # the date key is computed from the date instead of joined (same values).
+    calendar: DataFrame | None = None
 
 
 _STARS: dict[tuple[str, str], Star] = {}
@@ -101,37 +104,37 @@ def _dim_date(spark, sf):
 
 def _fact_avg_bikes(spark, sf):
     s = build_star(spark, sf)
-    return FX.fact_avg_bikes(s.availability.df, s.dim_date, s.dim_station)
+    return FX.fact_avg_bikes(s.availability.df, s.calendar, s.dim_station)
 
 
 def _fact_occupancy(spark, sf):
     s = build_star(spark, sf)
-    return FX.fact_occupancy(s.joined, s.dim_date, s.dim_station)
+    return FX.fact_occupancy(s.joined, s.calendar, s.dim_station)
 
 
 def _fact_dominant_weather(spark, sf):
     s = build_star(spark, sf)
-    return FX.fact_dominant_weather(s.weather.df, s.dim_date, s.dim_weather)
+    return FX.fact_dominant_weather(s.weather.df, s.calendar, s.dim_weather)
 
 
 def _fact_saturation(spark, sf):
     s = build_star(spark, sf)
-    return FX.fact_saturation(s.joined, s.dim_date, s.dim_station)
+    return FX.fact_saturation(s.joined, s.calendar, s.dim_station)
 
 
 def _fact_top_saturated(spark, sf):
     s = build_star(spark, sf)
-    return FX.fact_top_saturated(s.joined, s.dim_date, s.dim_station)
+    return FX.fact_top_saturated(s.joined, s.calendar, s.dim_station)
 
 
 def _fact_top_array(spark, sf):
     s = build_star(spark, sf)
-    return FX.explode_top_array(FX.fact_top_array(s.joined, s.dim_date, s.dim_station))
+    return FX.explode_top_array(FX.fact_top_array(s.joined, s.calendar, s.dim_station))
 
 
 def _gold_daily(spark, sf):
     s = build_star(spark, sf)
-    g = FX.gold_daily(s.availability.df, s.weather.df, s.joined, s.dim_date, s.dim_station,
+    g = FX.gold_daily(s.availability.df, s.weather.df, s.joined, s.calendar, s.dim_station,
                       s.dim_weather)
     flat = g.select("date_key", "avg_bikes_available_day", "occupancy_pct_day",
                     "weather_condition_key_day", F.posexplode("top_stations_day").alias("__p", "__t"))
@@ -219,8 +222,8 @@ def _stream_alerts(spark, sf):
 def _star_tables(spark, sf) -> dict[str, DataFrame]:
     s = build_star(spark, sf)
     return {
-        "fact_occupancy": FX.fact_occupancy(s.joined, s.dim_date, s.dim_station),
-        "fact_dominant_weather": FX.fact_dominant_weather(s.weather.df, s.dim_date, s.dim_weather),
+        "fact_occupancy": FX.fact_occupancy(s.joined, s.calendar, s.dim_station),
+        "fact_dominant_weather": FX.fact_dominant_weather(s.weather.df, s.calendar, s.dim_weather),
         "dim_weather": s.dim_weather, "dim_date": s.dim_date, "dim_station": s.dim_station,
     }
 
