@@ -34,7 +34,7 @@ def run_silver(spark: SparkSession, raw: RawTables, out: str) -> DataFrame:
     av = silver.availability_silver(raw.availability, raw.stations, observe=True)
     write_table(st.df, os.path.join(out, "silver", "stations"))
     write_partitioned(wx.df, os.path.join(out, "silver", "weather"))
-    write_partitioned(av.df, os.path.join(out, "silver", "availability"), spread_by=("station_id",))
+    write_partitioned(av.df, os.path.join(out, "silver", "availability"))
     rows = [(name, *[r.observed_report()[k] for k in ("rows_raw", "rows_corrected", "rows_invalid",
                                                       "rows_removed")])
             for name, r in (("stations_silver", st), ("weather_silver", wx),

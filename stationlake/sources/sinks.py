@@ -7,20 +7,16 @@ from pyspark.sql import functions as F
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "date_partition", *,
-                      spread_by: tuple[str, ...] = (), buckets: int = 8,
                       mode: str = "overwrite") -> None:
     """Write ``df`` as parquet partitioned by ``partition_col``.
 
-    Rows are hash-partitioned on ``(partition_col, bucket)`` where ``bucket`` is a hash of
-    ``spread_by`` (default: all columns) modulo ``buckets``: a day is written by up to
-    ``buckets`` tasks (a day holding a large share of the rows is not one hot writer)
-    and each task writes few days (few files). A single pass — no range-sampling job, so
-    metrics observed on ``df`` are counted once. Overwrite is dynamic: only the days
-    present in ``df`` are replaced.
+    The ``rebalance`` hint hash-partitions on the partition column and lets AQE size the
+    writer tasks from the shuffle statistics: small days are coalesced (few files), a day
+    holding a large share of the rows is split across several writers (no single hot
+    task). It is one pass with no sampling job, so metrics observed on ``df`` are
+    counted once. Overwrite is dynamic: only the days present in ``df`` are replaced.
     """
-    cols = list(spread_by) or df.columns
-    bucket = F.pmod(F.hash(*[F.col(c) for c in cols]), F.lit(buckets))
-    (df.repartition(F.col(partition_col), bucket)
+    (df.hint("rebalance", partition_col)
        .sortWithinPartitions(partition_col)
        .write.mode(mode).option("partitionOverwriteMode", "dynamic")
        .partitionBy(partition_col).parquet(path))
