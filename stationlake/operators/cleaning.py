@@ -164,7 +164,9 @@ def to_silver(df: DataFrame, rules: Sequence[CleanRule], *, score: bool = False,
     dedup = bool(dedup_keys) and score
     if dedup:
         clean = keep_best(clean, dedup_keys, [SCORE])
-    clean = clean.dropna(how="all")
+    if not score:
+        # with a score column (never NULL) no row can be NULL everywhere: nothing to drop
+        clean = clean.dropna(how="all")
     if observe:
         obs_post = Observation("silver_post")
         clean = clean.observe(obs_post, F.count(F.lit(1)).alias("rows_final"))

@@ -136,3 +136,23 @@ def test_dedup_keeps_most_complete_and_empty_input(spark):
     assert empty.df.count() == 0
     assert empty.report.first().asDict() == {"rows_raw": 0, "rows_corrected": 0, "rows_invalid": 0,
                                              "rows_removed": 0}
+
+
+def test_keep_best_hot_key_combined_map_side(spark):
+    """One key holds a third of the rows: result equals brute force, and the plan
+    reduces it before the shuffle (partial aggregate below the exchange)."""
+    import random
+
+    rnd = random.Random(5)
+    data = [(0 if i % 3 == 0 else rnd.randint(1, 500), rnd.randint(0, 4), rnd.choice([None, 1, 2]))
+            for i in range(6000)]
+    df = spark.createDataFrame(data, "k int, score int, v int").repartition(8)
+    best = {}
+    for k, sc, v in data:
+        cand = (sc, (v is not None, v if v is not None else 0))
+        if k not in best or cand < best[k][0]:
+            best[k] = (cand, (k, sc, v))
+    assert rows(C.keep_best(df, ["k"], ["score"])) == sorted(
+        (b[1] for b in best.values()), key=lambda r: tuple((x is None, str(x)) for x in r))
+    plan = C.keep_best(df, ["k"], ["score"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan
