@@ -1,12 +1,11 @@
 """Critical-station alerts (fewer than 20 % bikes for more than 30 minutes).
 
 A keyed stateful stream (``applyInPandasWithState``): the state of a station is the
-start of its current critical run and whether it already raised an alert. Within a
-micro-batch the station's readings are sorted by time before the state is updated; a
-run raises exactly one alert, at the first reading more than 30 minutes after the run
-started. A non-critical reading ends the run. Stations whose state has not been touched
-for longer than the watermark allows are timed out (state dropped), so state stays
-bounded by the active stations.
+start of its current critical run and whether it already raised an alert; it exists
+only while the station is inside a critical run. Within a micro-batch the station's
+readings are sorted by time before the state is updated; a run raises exactly one
+alert, at the first reading more than 30 minutes after the run started. A non-critical
+reading ends the run (and drops the state).
 
 Rows arriving out of order *across* micro-batches are a stated limit: they are applied
 in arrival order. The batch twin is :func:`stationlake.operators.quality.critical_episodes`.
@@ -32,7 +31,7 @@ ALERT_SCHEMA = ("station_id INT, run_start TIMESTAMP, alert_time TIMESTAMP, "
 STATE_SCHEMA = "run_start TIMESTAMP, alerted BOOLEAN"
 
 
-def _alerts(minutes: int):
+def _alerts(minutes: int, max_gap_minutes: int | None):
     limit = pd.Timedelta(minutes=minutes)
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -55,10 +54,16 @@ def _alerts(minutes: int):
                 alerted = True
                 out.append((station, run_start, t, (t - run_start).total_seconds() / 60.0,
                             int(bikes), int(cap)))
-        state.update((run_start.to_pydatetime() if run_start is not None else None, alerted))
-        # forget a station one day (event time) after its last reading
-        last_ms = int(pd.Timestamp(rows["reading_time"].iloc[-1]).timestamp() * 1000)
-        state.setTimeoutTimestamp(max(last_ms, state.getCurrentWatermarkMs()) + 24 * 3600 * 1000)
+        if run_start is None:
+            # not inside a critical run: nothing to remember for this station
+            if state.exists:
+                state.remove()
+        else:
+            state.update((run_start.to_pydatetime(), alerted))
+            if max_gap_minutes is not None:
+                last_ms = int(pd.Timestamp(rows["reading_time"].iloc[-1]).timestamp() * 1000)
+                state.setTimeoutTimestamp(max(last_ms, state.getCurrentWatermarkMs())
+                                          + max_gap_minutes * 60 * 1000)
         if out:
             yield pd.DataFrame(out, columns=["station_id", "run_start", "alert_time",
                                              "minutes_critical", "bikes_available", "capacity"])
@@ -67,9 +72,15 @@ def _alerts(minutes: int):
 
 
 def critical_alerts(clean: DataFrame, stations: DataFrame, *, share_pct: int = CRITICAL_SHARE_PCT,
-                    minutes: int = CRITICAL_MINUTES) -> DataFrame:
+                    minutes: int = CRITICAL_MINUTES,
+                    max_gap_minutes: int | None = None) -> DataFrame:
     """Alerts from a cleaned availability stream (``station_id, reading_time,
-    bikes_available``) and the station silver (for the capacity)."""
+    bikes_available``) and the station silver (for the capacity).
+
+    State is kept only for stations inside a critical run (bounded by the number of
+    stations). ``max_gap_minutes`` optionally ends a run after that long without a
+    reading (event time); by default a run lasts until a non-critical reading, like the
+    batch twin."""
     cap = stations.select("station_id", "capacity").where(F.col("capacity").isNotNull())
     rows = (clean.join(cap, "station_id", "inner")
             .where(F.col("bikes_available").isNotNull())
@@ -77,4 +88,4 @@ def critical_alerts(clean: DataFrame, stations: DataFrame, *, share_pct: int = C
                     is_critical(F.col("bikes_available"), F.col("capacity"), share_pct)
                     .alias("critical")))
     return rows.groupBy("station_id").applyInPandasWithState(
-        _alerts(minutes), ALERT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+        _alerts(minutes, max_gap_minutes), ALERT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)

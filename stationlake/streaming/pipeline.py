@@ -24,12 +24,16 @@ SILVER_STREAM_SCHEMA = StructType([
 
 
 def run_streams(spark: SparkSession, raw_dir: str, raw_capacity: DataFrame, stations: DataFrame,
-                base: str, *, available_now: bool = True) -> tuple[str, str]:
+                base: str, *, available_now: bool = True,
+                max_files_per_trigger: int | None = None) -> tuple[str, str]:
     """Run ingestion then alerting; return the (silver, alerts) table paths."""
     silver_out, alerts_out = os.path.join(base, "silver"), os.path.join(base, "alerts")
-    ingest = start_ingest(clean_stream(read_raw_stream(spark, raw_dir), raw_capacity),
+    raw = read_raw_stream(spark, raw_dir, max_files_per_trigger=max_files_per_trigger)
+    ingest = start_ingest(clean_stream(raw, raw_capacity),
                           silver_out, os.path.join(base, "_ckpt_silver"), available_now=available_now)
     ingest.awaitTermination() if available_now else None
+    # The alert stream takes whatever the silver table holds at each trigger; rows of one
+    # station are applied in time order within a trigger (see streaming.alerts).
     silver = (spark.readStream.schema(SILVER_STREAM_SCHEMA).parquet(silver_out)
               .withWatermark("reading_time", WATERMARK))
     alerts = (critical_alerts(silver, stations).writeStream.format("parquet").outputMode("append")
