@@ -1,4 +1,4 @@
-"""Sinks: partitioned parquet (S4), station export (S5), quality report table."""
+"""Sinks: partitioned parquet (S4) and plain distributed writes (S5, the S8 report table)."""
 
 from __future__ import annotations
 
@@ -29,11 +29,3 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     for k, v in options.items():
         w = w.option(k, v)
     w.save(path)
-
-
-def append_report(report: DataFrame, table_name: str, path: str, run_ts: str | None = None) -> None:
-    """Append a one-row quality report, tagged with the table name and run time."""
-    tagged = report.select(F.lit(table_name).alias("table_name"),
-                           (F.lit(run_ts).cast("timestamp") if run_ts else F.current_timestamp())
-                           .alias("run_ts"), "*")
-    tagged.write.mode("append").parquet(path)
