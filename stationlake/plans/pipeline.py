@@ -8,6 +8,7 @@ quality counters are captured by ``observe`` during that same write — no extra
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,9 +33,14 @@ def run_silver(spark: SparkSession, raw: RawTables, out: str) -> DataFrame:
     st = silver.station_silver(raw.stations, observe=True)
     wx = silver.weather_silver(raw.weather, observe=True)
     av = silver.availability_silver(raw.availability, raw.stations, observe=True)
-    write_table(st.df, os.path.join(out, "silver", "stations"))
-    write_partitioned(wx.df, os.path.join(out, "silver", "weather"))
-    write_partitioned(av.df, os.path.join(out, "silver", "availability"))
+    # The three writes are independent jobs: submitted together, their tasks share the
+    # executors instead of leaving cores idle while a small table finishes.
+    jobs = [lambda: write_table(st.df, os.path.join(out, "silver", "stations")),
+            lambda: write_partitioned(wx.df, os.path.join(out, "silver", "weather")),
+            lambda: write_partitioned(av.df, os.path.join(out, "silver", "availability"))]
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for f in [pool.submit(j) for j in jobs]:
+            f.result()
     rows = [(name, *[r.observed_report()[k] for k in ("rows_raw", "rows_corrected", "rows_invalid",
                                                       "rows_removed")])
             for name, r in (("stations_silver", st), ("weather_silver", wx),
