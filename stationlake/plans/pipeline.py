@@ -94,3 +94,36 @@ def report_text(report: DataFrame) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
+
+
+def read_raw_files(spark: SparkSession, stations: str, availability: str, weather: str, *,
+                   mode: str = "DROPMALFORMED") -> RawTables:
+    """Raw CSV landing files: stations comma-separated, readings ``;``-separated, all text."""
+    from stationlake.sources.csv import read_raw_csv
+    from stationlake.sources.testdata import (RAW_AVAILABILITY_COLUMNS, RAW_STATION_COLUMNS,
+                                              RAW_WEATHER_COLUMNS)
+
+    return RawTables(
+        read_raw_csv(spark, stations, sep=",", mode=mode, header_columns=RAW_STATION_COLUMNS),
+        read_raw_csv(spark, availability, sep=";", mode=mode, header_columns=RAW_AVAILABILITY_COLUMNS),
+        read_raw_csv(spark, weather, sep=";", mode=mode, header_columns=RAW_WEATHER_COLUMNS))
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit -m stationlake.plans.pipeline --stations S --availability A --weather W --out O``"""
+    import argparse
+
+    p = argparse.ArgumentParser(description="raw CSV -> silver parquet -> gold star schema")
+    p.add_argument("--stations", required=True)
+    p.add_argument("--availability", required=True)
+    p.add_argument("--weather", required=True)
+    p.add_argument("--out", required=True)
+    a = p.parse_args(argv)
+    spark = SparkSession.builder.appName("stationlake-batch").getOrCreate()
+    raw = read_raw_files(spark, a.stations, a.availability, a.weather)
+    run_silver(spark, raw, a.out)
+    run_gold(spark, a.out)
+
+
+if __name__ == "__main__":
+    main()
