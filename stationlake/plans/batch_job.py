@@ -110,7 +110,7 @@ def read_raw_files(spark: SparkSession, stations: str, availability: str, weathe
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``spark-submit -m stationlake.plans.pipeline --stations S --availability A --weather W --out O``"""
+    """``spark-submit -m stationlake.plans.batch_job --stations S --availability A --weather W --out O``"""
     import argparse
 
     p = argparse.ArgumentParser(description="raw CSV -> silver parquet -> gold star schema")

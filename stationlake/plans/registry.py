@@ -208,7 +208,7 @@ def _stream_alerts(spark, sf):
     import uuid
 
     from stationlake.session import scratch_path
-    from stationlake.streaming.pipeline import run_streams
+    from stationlake.streaming.jobs import run_streams
 
     base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     raw_st = td.raw_stations(spark, sf)

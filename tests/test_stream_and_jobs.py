@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from stationlake.operators import quality as Q
-from stationlake.plans import pipeline, silver
+from stationlake.plans import batch_job, silver
 from stationlake.sources import testdata as td
-from stationlake.streaming.pipeline import run_streams
+from stationlake.streaming.jobs import run_streams
 
 
 def test_stream_matches_batch_twin(spark, tmp_dir):
@@ -31,20 +31,20 @@ def test_stream_matches_batch_twin(spark, tmp_dir):
     assert len(alerts) > 0
 
 
-def test_batch_pipeline_observed_report(spark, tmp_dir):
-    raw = pipeline.RawTables(td.raw_stations(spark, SF_SMALL), td.raw_availability(spark, SF_SMALL),
+def test_batch_job_observed_report(spark, tmp_dir):
+    raw = batch_job.RawTables(td.raw_stations(spark, SF_SMALL), td.raw_availability(spark, SF_SMALL),
                              td.raw_weather(spark, SF_SMALL))
-    report = {r.table_name: r.asDict() for r in pipeline.run_silver(spark, raw, tmp_dir).collect()}
+    report = {r.table_name: r.asDict() for r in batch_job.run_silver(spark, raw, tmp_dir).collect()}
     lazy = silver.availability_silver(raw.availability, raw.stations).report.first().asDict()
     got = report["availability_silver"]
     assert {k: got[k] for k in lazy} == lazy
-    paths = pipeline.run_gold(spark, tmp_dir)
+    paths = batch_job.run_gold(spark, tmp_dir)
     gold = spark.read.parquet(paths["availability_daily_gold"])
     assert gold.count() > 0
     days = [d for d in os.listdir(os.path.join(tmp_dir, "silver", "availability"))
             if d.startswith("date_partition=")]
     assert len(days) >= 28
-    lines = pipeline.report_text(spark.read.parquet(os.path.join(tmp_dir, "quality_report")))
+    lines = batch_job.report_text(spark.read.parquet(os.path.join(tmp_dir, "quality_report")))
     assert lines.count() == 18
 
 
@@ -88,7 +88,7 @@ def test_stream_micro_batches_carry_state_and_drop_late_rows(spark, tmp_dir):
 
     from stationlake.streaming.alerts import critical_alerts
     from stationlake.streaming.ingest import WATERMARK
-    from stationlake.streaming.pipeline import SILVER_STREAM_SCHEMA
+    from stationlake.streaming.jobs import SILVER_STREAM_SCHEMA
 
     raw = td.raw_availability(spark, SF_SMALL).withColumn(
         "day_", F.to_date(F.col("timestamp").try_cast("timestamp")))
@@ -159,10 +159,10 @@ def test_batch_job_from_raw_csv_files(spark, tmp_dir):
     for name, df, sep in (("stations", rs, ","), ("availability", ra, ";"), ("weather", rw, ";")):
         paths[name] = os.path.join(tmp_dir, "raw", name)
         df.write.option("header", True).option("sep", sep).csv(paths[name])
-    raw = pipeline.read_raw_files(spark, paths["stations"], paths["availability"], paths["weather"])
+    raw = batch_job.read_raw_files(spark, paths["stations"], paths["availability"], paths["weather"])
     out = os.path.join(tmp_dir, "job")
-    pipeline.run_silver(spark, raw, out)
-    pipeline.run_gold(spark, out)
+    batch_job.run_silver(spark, raw, out)
+    batch_job.run_gold(spark, out)
     got = spark.read.parquet(os.path.join(out, "silver", "availability"))
     exp = silver.availability_silver(ra, rs).df
     cols = ["station_id", "timestamp", "bikes_available", "slots_free", "date_partition"]
