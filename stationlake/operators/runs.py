@@ -14,7 +14,9 @@ holding a third of all readings would make that task a third of the job. Instead
    or last row of their key;
 3. only those boundary pieces (at most two per key and partition) are stitched: in key
    order, a piece continues the previous one when both hold the same values and the
-   previous ended its partition while this one starts the next.
+   previous ended its partition while this one starts the next. Complete runs pass
+   through the same step alone in their group (a unique salt), so the Python scan runs
+   once and the runs are shuffled once.
 """
 
 from __future__ import annotations
@@ -47,6 +49,7 @@ def _run_schema(df: DataFrame, key: str, order: str, values: Sequence[str]) -> S
         StructField("n_readings", LongType(), False),
         StructField("__head", BooleanType(), False),
         StructField("__tail", BooleanType(), False),
+        StructField("__seq", LongType(), False),
     ])
 
 
@@ -70,6 +73,8 @@ def _scan_runs(key: str, order: str, values: list[str]):
         out["n_readings"] = g[order].size().astype("int64")
         return out.reset_index(drop=True)
 
+    seq = [0]
+
     def mark(ready: pd.DataFrame, prev_key, next_key, pid: int) -> pd.DataFrame:
         keys = ready[key].astype(object)
         before = keys.shift(1)
@@ -80,6 +85,8 @@ def _scan_runs(key: str, order: str, values: list[str]):
         out["__head"] = (keys != before).to_numpy()
         out["__tail"] = (keys != after).to_numpy()
         out[_PID] = pid
+        out["__seq"] = range(seq[0], seq[0] + len(out))
+        seq[0] += len(out)
         return out
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,23 +125,28 @@ def value_runs(df: DataFrame, key: str, order: str, values: Sequence[str],
             .sortWithinPartitions(key, order, *values)
             .withColumn(_PID, F.spark_partition_id()))
     runs = rows.mapInPandas(_scan_runs(key, order, values), _run_schema(df, key, order, values))
-    complete = runs.where(~F.col("__head") & ~F.col("__tail"))
-    pieces = runs.where(F.col("__head") | F.col("__tail"))
-    return _stitch(complete, pieces, key, values)
-
-
-def _stitch(complete: DataFrame, pieces: DataFrame, key: str, values: list[str]) -> DataFrame:
-    w = Window.partitionBy(key).orderBy("start", _PID)
+    return _stitch(runs, key, values)
+
+
+def _stitch(runs: DataFrame, key: str, values: list[str]) -> DataFrame:
+    """One pass over the scanned runs. A run that touches no partition edge is complete
+    and gets a unique salt, so it is alone in its window group; the edge pieces of a key
+    share salt -1 and are merged in key order. Grouping by (key, salt, group) reuses the
+    window's partitioning, so there is a single shuffle of the runs."""
+    piece = F.col("__head") | F.col("__tail")
+    salted = runs.withColumn("__salt", F.when(piece, F.lit(-1).cast("bigint")).otherwise(
+        F.col(_PID).cast("bigint") * F.lit(1 << 40) + F.col("__seq")))
+    w = Window.partitionBy(key, "__salt").orderBy("start", _PID)
     prev_same = F.lit(True)
     for v in values:
         prev_same = prev_same & F.lag(F.col(v)).over(w).eqNullSafe(F.col(v))
     joins = (prev_same & F.lag("__tail").over(w) & F.col("__head")
              & (F.lag(_PID).over(w) < F.col(_PID)))
-    grouped = (pieces.withColumn("__new", F.when(F.coalesce(joins, F.lit(False)), 0).otherwise(1))
-               .withColumn("__grp", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    merged = grouped.groupBy(key, "__grp").agg(
+    grouped = salted.withColumn(
+        "__grp", F.sum(F.when(F.coalesce(joins, F.lit(False)), 0).otherwise(1))
+        .over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = grouped.groupBy(key, "__salt", "__grp").agg(
         *[F.first(v).alias(v) for v in values],
         F.min("start").alias("start"), F.max("end").alias("end"),
-        F.sum("n_readings").alias("n_readings")).drop("__grp")
-    cols = [key, *values, "start", "end", "n_readings"]
-    return complete.select(*cols).unionByName(merged.select(*cols))
+        F.sum("n_readings").alias("n_readings"))
+    return merged.select(key, *values, "start", "end", "n_readings")
