@@ -31,7 +31,10 @@ def run_streams(spark: SparkSession, raw_dir: str, raw_capacity: DataFrame, stat
     raw = read_raw_stream(spark, raw_dir, max_files_per_trigger=max_files_per_trigger)
     ingest = start_ingest(clean_stream(raw, raw_capacity),
                           silver_out, os.path.join(base, "_ckpt_silver"), available_now=available_now)
-    ingest.awaitTermination() if available_now else None
+    if available_now:
+        ingest.awaitTermination()
+    else:
+        ingest.processAllAvailable()  # the silver table exists before the alert stream reads it
     # The alert stream takes whatever the silver table holds at each trigger; rows of one
     # station are applied in time order within a trigger (see streaming.alerts).
     silver = (spark.readStream.schema(SILVER_STREAM_SCHEMA).parquet(silver_out)
@@ -43,3 +46,34 @@ def run_streams(spark: SparkSession, raw_dir: str, raw_capacity: DataFrame, stat
     if available_now:
         q.awaitTermination()
     return silver_out, alerts_out
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit -m stationlake.streaming.jobs --raw R --stations S --out O [--continuous]``
+
+    ``--raw``: folder receiving availability CSV files (``;``); ``--stations``: the raw
+    station CSV (``,``). Without ``--continuous`` every file present is processed once
+    (``availableNow``); with it the two streams keep running on a one-minute trigger.
+    """
+    import argparse
+
+    from stationlake.plans.silver import station_silver
+    from stationlake.sources.csv import read_raw_csv
+    from stationlake.sources.testdata import RAW_STATION_COLUMNS
+
+    p = argparse.ArgumentParser(description="availability files -> silver stream -> alerts")
+    p.add_argument("--raw", required=True)
+    p.add_argument("--stations", required=True)
+    p.add_argument("--out", required=True)
+    p.add_argument("--continuous", action="store_true")
+    a = p.parse_args(argv)
+    spark = SparkSession.builder.appName("stationlake-stream").getOrCreate()
+    raw_st = read_raw_csv(spark, a.stations, sep=",", header_columns=RAW_STATION_COLUMNS)
+    run_streams(spark, a.raw, raw_st, station_silver(raw_st).df, a.out,
+                available_now=not a.continuous)
+    if a.continuous:
+        spark.streams.awaitAnyTermination()
+
+
+if __name__ == "__main__":
+    main()
