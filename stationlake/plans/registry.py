@@ -8,7 +8,7 @@ Each query takes ``(spark, sf_dir)``, derives the raw tables from the given data
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from stationlake.operators import quality as Q
 from stationlake.plans import sql_reports
 from stationlake.operators.cleaning import SilverResult
 from stationlake.plans import silver
+from stationlake.session import ensure_checkpoint_dir
 from stationlake.sources import testdata as td
 
 
@@ -53,10 +54,20 @@ def build_star(spark: SparkSession, sf_dir: str) -> Star:
 
 
 def _build_star(spark: SparkSession, sf_dir: str) -> Star:
+    """Silver tables checkpointed once into the shared checkpoint folder.
+
+    Every query of the session derives from them. Without the cut, each fact would
+    carry the whole cleaning lineage, and Catalyst pushes different filters into each
+    copy (e.g. ``isnotnull(station_id)`` inferred from an inner join), so the copies
+    differ and their shuffles cannot be reused: the cleaning would run once per fact.
+    A lost executor re-reads the checkpoint instead of recomputing it.
+    """
+    ensure_checkpoint_dir(spark)
     raw_st = td.raw_stations(spark, sf_dir)
     st = silver.station_silver(raw_st)
     wx = silver.weather_silver(td.raw_weather(spark, sf_dir))
     av = silver.availability_silver(td.raw_availability(spark, sf_dir), raw_st)
+    st, wx, av = (replace(r, df=r.df.checkpoint(eager=True)) for r in (st, wx, av))
     return Star(
         stations=st, weather=wx, availability=av,
         dim_station=D.dim_station(st.df),
