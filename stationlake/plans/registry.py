@@ -225,8 +225,15 @@ def _stream_alerts(spark, sf):
     raw_st = td.raw_stations(spark, sf)
     (td.raw_availability(spark, sf).write.option("header", True).option("sep", ";")
      .csv(f"{base}/raw"))
-    _, alerts = run_streams(spark, f"{base}/raw", raw_st, build_star(spark, sf).stations.df,
-                            f"{base}/out")
+    stations = build_star(spark, sf).stations.df
+    # State-store partitions are fixed when a stream first starts (from the shuffle
+    # partitions); size them to this session's cores for the demo run, then restore.
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(2 * spark.sparkContext.defaultParallelism))
+    try:
+        _, alerts = run_streams(spark, f"{base}/raw", raw_st, stations, f"{base}/out")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     return spark.read.parquet(alerts)
 
 
