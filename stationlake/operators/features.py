@@ -70,19 +70,42 @@ def baseline_errors(features: DataFrame) -> DataFrame:
                  _round6(F.sqrt(F.avg(err * err))).alias("rmse")))
 
 
-def train_and_score(features: DataFrame, label: str = "occupancy_pct"):
-    """Linear regression on the hourly features (normal-equation solver: one
-    distributed aggregation pass), returning ``(model, predictions)``."""
+def train_and_score(features: DataFrame, label: str = "occupancy_pct", holdout_days: int = 1):
+    """Next-day batch scoring. A linear regression (normal-equation solver: one
+    distributed aggregation pass) is fitted on every station-hour before the last
+    ``holdout_days`` days of the data and scores those days. Returns
+    ``(model, predictions)``; ``predictions`` holds the scored (held-out) hours with
+    their baselines, for :func:`model_errors`."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
 
     usable = features.select(
-        "station_id", "hour", label,
+        "station_id", "hour", label, F.to_date("hour").alias("day"),
         *[F.col(c).cast("double").alias(c) for c in FEATURE_COLUMNS]).dropna()
+    # the split day: one scalar from a global max (combined map-side)
+    last = usable.agg(F.max("day")).first()[0]
+    if last is None:
+        raise ValueError("no complete feature rows to train on")
+    cutoff = F.date_sub(F.lit(last), holdout_days - 1)
     assembler = VectorAssembler(inputCols=list(FEATURE_COLUMNS), outputCol="features")
-    data = assembler.transform(usable)
+    train = assembler.transform(usable.where(F.col("day") < cutoff))
+    test = assembler.transform(usable.where(F.col("day") >= cutoff))
     model = LinearRegression(featuresCol="features", labelCol=label, solver="normal",
-                             regParam=0.0).fit(data)
-    scored = model.transform(data).select("station_id", "hour", label,
-                                          F.col("prediction").alias("predicted_occupancy_pct"))
+                             regParam=0.0).fit(train)
+    scored = model.transform(test).select(
+        "station_id", "hour", label, "lag_1", "moving_avg_3",
+        F.col("prediction").alias("predicted_occupancy_pct"))
     return model, scored
+
+
+def model_errors(scored: DataFrame, label: str = "occupancy_pct") -> DataFrame:
+    """B7 on the held-out day: MAE / RMSE of the regression next to the persistence and
+    moving-average baselines, on the same rows."""
+    long = scored.select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("model"), F.col(col).alias("pred"), F.col(label).alias("actual"))
+        for name, col in (("linear_regression", "predicted_occupancy_pct"),
+                          ("persistence", "lag_1"), ("moving_average_3", "moving_avg_3"))])).alias("r"))
+    err = F.col("r.pred") - F.col("r.actual")
+    return (long.groupBy(F.col("r.model").alias("model"))
+            .agg(F.count(F.lit(1)).alias("n"), _round6(F.avg(F.abs(err))).alias("mae"),
+                 _round6(F.sqrt(F.avg(err * err))).alias("rmse")))

@@ -29,5 +29,5 @@ def oracle_queries() -> dict[str, str]:
     for name in ("features_hourly", "baseline_errors", "sql_station_ranking", "sql_weather_impact",
                  "sql_hourly_profile"):
         q[name] = O.feature_sql(name)
-    # "predictions" (iterative model fit) has no SQL oracle: rows-only check.
+    # "predictions" and "model_errors" (model fit) have no SQL oracle: rows-only check.
     return q

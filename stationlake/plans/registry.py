@@ -212,6 +212,10 @@ def _predictions(spark, sf):
     return FT.train_and_score(FT.hourly_features(s.joined, s.weather.df))[1]
 
 
+def _model_errors(spark, sf):
+    return FT.model_errors(_predictions(spark, sf))
+
+
 def _stream_alerts(spark, sf):
     """B9 + B10 as streams: the derived raw availability is landed as CSV files in the
     shared scratch folder, ingested (availableNow) into a silver table and turned into
@@ -282,5 +286,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_weather_impact": _sql("weather_impact"),
     "sql_hourly_profile": _sql("hourly_profile"),
     "predictions": _predictions,
+    "model_errors": _model_errors,
     "stream_alerts": _stream_alerts,
 }

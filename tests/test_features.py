@@ -69,3 +69,28 @@ def test_sql_hourly_profile(spark):
                                "date date, date_key long, is_weekend boolean")
     out = sql_reports.run_report(spark, {"fact_occupancy": occ, "dim_date": dd}, "hourly_profile")
     assert sorted(tuple(r) for r in out.collect()) == [(8, True, 2, 20.0), (9, True, 1, 50.0)]
+
+
+def test_next_day_scoring_and_model_errors(spark):
+    """The model is fitted on earlier days and scores the last day only; on a target that
+    is an exact linear function of the features it recovers it."""
+    import random
+
+    rnd = random.Random(11)
+    rows = []
+    for day in range(1, 6):
+        for h in range(24):
+            lag, ma, t, r = rnd.uniform(0, 100), rnd.uniform(0, 100), rnd.uniform(-5, 30), rnd.uniform(0, 5)
+            wk = day in (4, 5)
+            y = 3 + 0.5 * lag + 0.25 * ma - 0.1 * t + 2 * r + 0.2 * h + (4 if wk else 0)
+            rows.append((1, dt.datetime(2024, 1, day, h), h, wk, t, r, lag, ma, y))
+    feats = spark.createDataFrame(rows, "station_id int, hour timestamp_ntz, hour_of_day int, is_weekend boolean, "
+                                        "temperature_c double, rain_mm double, lag_1 double, moving_avg_3 double, "
+                                        "occupancy_pct double")
+    model, scored = FT.train_and_score(feats)
+    got = scored.collect()
+    assert len(got) == 24 and {r.hour.day for r in got} == {5}
+    assert max(abs(r.predicted_occupancy_pct - r.occupancy_pct) for r in got) < 1e-6
+    errs = {r.model: r for r in FT.model_errors(scored).collect()}
+    assert errs["linear_regression"].mae < 1e-6 and errs["persistence"].mae > 1
+    assert {r.n for r in errs.values()} == {24}
