@@ -41,9 +41,6 @@ class Chain:
         sel = ", ".join(f"{e} AS {n}" for n, e in cols.items())
         return self._push(f"SELECT * REPLACE ({sel}) FROM {self.last}")
 
-    def select(self, body: str) -> Chain:
-        return self._push(body.replace("{prev}", self.last))
-
 
 def with_ctes(*parts: list[tuple[str, str]] | tuple[str, str], final: str) -> str:
     ctes: list[tuple[str, str]] = []

@@ -156,3 +156,9 @@ def test_keep_best_hot_key_combined_map_side(spark):
         (b[1] for b in best.values()), key=lambda r: tuple((x is None, str(x)) for x in r))
     plan = C.keep_best(df, ["k"], ["score"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan
+
+
+def test_report_and_strip(spark):
+    clean, rep = C.report_and_strip(C.apply_rules(fruit_df(spark), RULES))
+    assert clean.columns == ["id", "fruit"]
+    assert tuple(rep.first()) == (2, 2)
