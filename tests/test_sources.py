@@ -43,3 +43,11 @@ def test_derived_raw_tables_cover_inputs(spark):
     assert ra.columns == list(td.RAW_AVAILABILITY_COLUMNS)
     assert ra.count() == ev + ev // 10 + (1 if ev % 10 > 3 else 0)
     assert td.raw_weather(spark, SF_SMALL).columns == list(td.RAW_WEATHER_COLUMNS)
+
+
+def test_spread_only_for_single_split_inputs(spark, tmp_dir):
+    many = spark.range(1000).repartition(16)
+    assert td.spread(many, 8) is many                       # enough splits: untouched
+    one = spark.range(1000).coalesce(1)
+    spread = td.spread(one, 8)
+    assert spread.rdd.getNumPartitions() == 8 and spread.count() == 1000
