@@ -51,12 +51,15 @@ def run_silver(spark: SparkSession, raw: RawTables, out: str) -> DataFrame:
     return report
 
 
-def run_gold(spark: SparkSession, out: str) -> dict[str, str]:
+def run_gold(spark: SparkSession, out: str, max_parallel_jobs: int = 4) -> dict[str, str]:
     """Build and write the star schema from the silver parquet tables."""
-    paths = {}
-    for name, df in gold_tables(spark, out).items():
-        paths[name] = os.path.join(out, "gold", name)
-        write_table(df, paths[name])
+    tables = gold_tables(spark, out)
+    paths = {name: os.path.join(out, "gold", name) for name in tables}
+    # independent jobs over the same silver parquet: submitted together they share the
+    # executors (Spark schedules jobs from several threads concurrently)
+    with ThreadPoolExecutor(max_workers=max_parallel_jobs) as pool:
+        for f in [pool.submit(write_table, df, paths[name]) for name, df in tables.items()]:
+            f.result()
     return paths
 
 
