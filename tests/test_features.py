@@ -94,3 +94,17 @@ def test_next_day_scoring_and_model_errors(spark):
     errs = {r.model: r for r in FT.model_errors(scored).collect()}
     assert errs["linear_regression"].mae < 1e-6 and errs["persistence"].mae > 1
     assert {r.n for r in errs.values()} == {24}
+
+
+def test_sql_station_ranking_and_weather_impact(spark):
+    occ = spark.createDataFrame([(10.0, 1, 60, 7), (30.0, 1, 61, 7), (50.0, 2, 62, 8), (None, 2, 63, 8),
+                                 (20.0, 3, 64, None)],
+                                "occupancy_pct double, date_key long, time_key long, station_key long")
+    dom = spark.createDataFrame([(5, 1, 11), (4, 2, 12), (3, 3, 11)],
+                                "count long, date_key long, weather_condition_key long")
+    dw = spark.createDataFrame([("Rain", 11), ("Fog", 12)], "weather_condition string, weather_condition_key long")
+    tables = {"fact_occupancy": occ, "fact_dominant_weather": dom, "dim_weather": dw}
+    rank = sorted(tuple(r) for r in sql_reports.run_report(spark, tables, "station_ranking").collect())
+    assert rank == [(7, 2, 20.0), (8, 2, 50.0)]
+    impact = sorted(tuple(r) for r in sql_reports.run_report(spark, tables, "weather_impact").collect())
+    assert impact == [("Fog", 1, 2, 50.0), ("Rain", 2, 3, 20.0)]

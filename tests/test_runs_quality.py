@@ -80,3 +80,20 @@ def test_critical_episodes_exact_threshold(spark):
     got = [(r.start_time.strftime("%H:%M"), r.n_readings, r.duration_minutes)
            for r in Q.critical_episodes(j).collect()]
     assert got == [("08:00", 3, 31.0)]
+
+
+def test_null_audit_profile_and_daily_quality(spark):
+    d = dt.date(2025, 1, 1)
+    j = spark.createDataFrame([(1, None, None, 10), (1, 3, None, 10), (2, None, 4, None), (2, 1, 1, None)],
+                              "station_id int, bikes_available int, slots_free int, capacity int")
+    assert tuple(Q.null_audit(j).first()) == (1, 2, 2, 2)
+    w = spark.createDataFrame([("Rain",), ("Rain",), (None,), ("Sunny",)], "weather_condition string")
+    assert rows(Q.value_profile(w, "weather_condition")) == [("Rain", 2), ("Sunny", 1), (None, 1)]
+    av = spark.createDataFrame(
+        [(1, d, "2025-01-01 08:00:00", 5, 5), (1, d, "2025-01-01 08:05:00", 5, 5), (1, d, "2025-01-01 08:10:00", 5, 5),
+         (1, d, "2025-01-01 08:15:00", 2, 9), (3, d, "2025-01-01 09:00:00", 1, 1)],
+        "station_id int, date_partition date, timestamp string, bikes_available int, slots_free int")
+    st = spark.createDataFrame([(1, 10)], "station_id int, capacity int")
+    out = rows(Q.daily_quality(Q.with_capacity(av, st), Q.frozen_stations(av)))
+    # station 1: 4 readings, one (2 + 9) incoherent, one frozen run of 3; station 3: no station row
+    assert out == [(1, d, 4, 0, 0, 1, 1, 3), (3, d, 1, 0, 0, 0, 0, 0)]
