@@ -7,6 +7,7 @@ Each query takes ``(spark, sf_dir)``, derives the raw tables from the given data
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
@@ -20,7 +21,7 @@ from stationlake.operators import quality as Q
 from stationlake.plans import sql_reports
 from stationlake.operators.cleaning import SilverResult
 from stationlake.plans import silver
-from stationlake.session import ensure_checkpoint_dir
+from stationlake.session import scratch_path
 from stationlake.sources import testdata as td
 
 
@@ -54,20 +55,27 @@ def build_star(spark: SparkSession, sf_dir: str) -> Star:
 
 
 def _build_star(spark: SparkSession, sf_dir: str) -> Star:
-    """Silver tables checkpointed once into the shared checkpoint folder.
-
-    Every query of the session derives from them. Without the cut, each fact would
-    carry the whole cleaning lineage, and Catalyst pushes different filters into each
-    copy (e.g. ``isnotnull(station_id)`` inferred from an inner join), so the copies
-    differ and their shuffles cannot be reused: the cleaning would run once per fact.
-    A lost executor re-reads the checkpoint instead of recomputing it.
+    """Silver tables written once as parquet into the shared checkpoint folder.
+
+    Every query of the session reads them. Without the cut, each fact would carry the
+    whole cleaning lineage, and Catalyst pushes different filters into each copy (e.g.
+    ``isnotnull(station_id)`` inferred from an inner join), so the copies differ and their
+    shuffles cannot be reused: the cleaning would run once per fact. A parquet table
+    (rather than an RDD checkpoint) is computed once, keeps column pruning and filter
+    pushdown for every reader, and survives lost executors.
     """
-    ensure_checkpoint_dir(spark)
+    base = scratch_path(spark, f"star-{uuid.uuid4().hex}")
     raw_st = td.raw_stations(spark, sf_dir)
     st = silver.station_silver(raw_st)
     wx = silver.weather_silver(td.raw_weather(spark, sf_dir))
     av = silver.availability_silver(td.raw_availability(spark, sf_dir), raw_st)
-    st, wx, av = (replace(r, df=r.df.checkpoint(eager=True)) for r in (st, wx, av))
+
+    def cut(result: SilverResult, name: str) -> SilverResult:
+        path = f"{base}/{name}"
+        result.df.write.parquet(path)
+        return replace(result, df=spark.read.parquet(path))
+
+    st, wx, av = cut(st, "stations"), cut(wx, "weather"), cut(av, "availability")
     return Star(
         stations=st, weather=wx, availability=av,
         dim_station=D.dim_station(st.df),
@@ -220,9 +228,6 @@ def _stream_alerts(spark, sf):
     """B9 + B10 as streams: the derived raw availability is landed as CSV files in the
     shared scratch folder, ingested (availableNow) into a silver table and turned into
     alerts by the stateful stream; returns the alert table."""
-    import uuid
-
-    from stationlake.session import scratch_path
     from stationlake.streaming.jobs import run_streams
 
     base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
