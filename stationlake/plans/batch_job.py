@@ -28,8 +28,12 @@ class RawTables:
     weather: DataFrame
 
 
-def run_silver(spark: SparkSession, raw: RawTables, out: str) -> DataFrame:
-    """Write the three silver tables; return the quality report table (one row each)."""
+def run_silver(spark: SparkSession, raw: RawTables, out: str, *,
+               stations_csv: bool = False) -> DataFrame:
+    """Write the three silver tables; return the quality report table (one row each).
+
+    ``stations_csv`` also exports the station silver as CSV with a header (S5) — a
+    distributed write, not a collect to the driver."""
     st = silver.station_silver(raw.stations, observe=True)
     wx = silver.weather_silver(raw.weather, observe=True)
     av = silver.availability_silver(raw.availability, raw.stations, observe=True)
@@ -38,6 +42,9 @@ def run_silver(spark: SparkSession, raw: RawTables, out: str) -> DataFrame:
     jobs = [lambda: write_table(st.df, os.path.join(out, "silver", "stations")),
             lambda: write_partitioned(wx.df, os.path.join(out, "silver", "weather")),
             lambda: write_partitioned(av.df, os.path.join(out, "silver", "availability"))]
+    if stations_csv:
+        jobs.append(lambda: write_table(st.df, os.path.join(out, "export", "stations_csv"), "csv",
+                                        header="true"))
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
         for f in [pool.submit(j) for j in jobs]:
             f.result()

@@ -34,7 +34,10 @@ def test_stream_matches_batch_twin(spark, tmp_dir):
 def test_batch_job_observed_report(spark, tmp_dir):
     raw = batch_job.RawTables(td.raw_stations(spark, SF_SMALL), td.raw_availability(spark, SF_SMALL),
                              td.raw_weather(spark, SF_SMALL))
-    report = {r.table_name: r.asDict() for r in batch_job.run_silver(spark, raw, tmp_dir).collect()}
+    report = {r.table_name: r.asDict() for r in batch_job.run_silver(spark, raw, tmp_dir,
+                                                                      stations_csv=True).collect()}
+    exported = spark.read.option("header", True).csv(os.path.join(tmp_dir, "export", "stations_csv"))
+    assert exported.count() == spark.read.parquet(os.path.join(tmp_dir, "silver", "stations")).count()
     lazy = silver.availability_silver(raw.availability, raw.stations).report.first().asDict()
     got = report["availability_silver"]
     assert {k: got[k] for k in lazy} == lazy
