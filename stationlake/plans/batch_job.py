@@ -119,6 +119,25 @@ def read_raw_files(spark: SparkSession, stations: str, availability: str, weathe
         read_raw_csv(spark, weather, sep=";", mode=mode, header_columns=RAW_WEATHER_COLUMNS))
 
 
+def set_aside_malformed(raw: RawTables, out: str) -> RawTables:
+    """B1: with raw tables read in PERMISSIVE mode, write the malformed lines of each to
+    ``rejected/<table>`` (parquet, distributed) and keep only the well-formed rows."""
+    from stationlake.sources.csv import CORRUPT_RECORD
+
+    kept = []
+    for name, df in (("stations", raw.stations), ("availability", raw.availability),
+                     ("weather", raw.weather)):
+        if CORRUPT_RECORD not in df.columns:
+            kept.append(df)
+            continue
+        # (Spark refuses a raw CSV query that reads only the corrupt-record column, so the
+        # rejected rows keep their parsed fields next to the raw line)
+        df.where(F.col(CORRUPT_RECORD).isNotNull()).write.mode("overwrite").parquet(
+            os.path.join(out, "rejected", name))
+        kept.append(df.where(F.col(CORRUPT_RECORD).isNull()).drop(CORRUPT_RECORD))
+    return RawTables(*kept)
+
+
 def main(argv: list[str] | None = None) -> None:
     """``spark-submit -m stationlake.plans.batch_job --stations S --availability A --weather W --out O``"""
     import argparse
@@ -128,9 +147,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--availability", required=True)
     p.add_argument("--weather", required=True)
     p.add_argument("--out", required=True)
+    p.add_argument("--keep-malformed", action="store_true",
+                   help="read PERMISSIVE and write malformed lines to <out>/rejected/")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("stationlake-batch").getOrCreate()
-    raw = read_raw_files(spark, a.stations, a.availability, a.weather)
+    raw = read_raw_files(spark, a.stations, a.availability, a.weather,
+                         mode="PERMISSIVE" if a.keep_malformed else "DROPMALFORMED")
+    if a.keep_malformed:
+        raw = set_aside_malformed(raw, a.out)
     run_silver(spark, raw, a.out)
     run_gold(spark, a.out)
 

@@ -173,3 +173,27 @@ def test_batch_job_from_raw_csv_files(spark, tmp_dir):
     assert got.select(cols).exceptAll(exp.select(cols)).count() == 0
     assert exp.select(cols).exceptAll(got.select(cols)).count() == 0
     assert spark.read.parquet(os.path.join(out, "gold", "availability_daily_gold")).count() > 0
+
+
+def test_batch_job_keeps_malformed_rows_aside(spark, tmp_dir):
+    """B1: PERMISSIVE read — malformed lines go to rejected/, the rest is cleaned."""
+    raw_dir = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw_dir)
+    with open(os.path.join(raw_dir, "stations.csv"), "w") as f:
+        f.write("station_id,station_name,lat,lon,capacity\n1,Lille - Station 01,50.6,3.05,20\n"
+                "2,Lille - Station 02,50.6,3.05\n")
+    with open(os.path.join(raw_dir, "availability.csv"), "w") as f:
+        f.write("station_id;timestamp;bikes_available;slots_free\n1;2025-11-01 08:00;5;15\n"
+                "1;2025-11-01 08:05;5;15;extra\n1;2025-11-01 08:10;6;14\n")
+    with open(os.path.join(raw_dir, "weather.csv"), "w") as f:
+        f.write("timestamp;temperature_c;rain_mm;weather_condition\n2025-11-01 08:00;12,5;0;Rain\n")
+    out = os.path.join(tmp_dir, "job")
+    batch_job.main(["--stations", os.path.join(raw_dir, "stations.csv"),
+                    "--availability", os.path.join(raw_dir, "availability.csv"),
+                    "--weather", os.path.join(raw_dir, "weather.csv"), "--out", out, "--keep-malformed"])
+    assert spark.read.parquet(os.path.join(out, "rejected", "stations")).count() == 1
+    assert spark.read.parquet(os.path.join(out, "rejected", "availability")).count() == 1
+    assert spark.read.parquet(os.path.join(out, "rejected", "weather")).count() == 0
+    av = spark.read.parquet(os.path.join(out, "silver", "availability"))
+    assert sorted(r.bikes_available for r in av.collect()) == [5, 6]
+    assert spark.read.parquet(os.path.join(out, "silver", "stations")).count() == 1
