@@ -42,11 +42,13 @@ _DIGITS_TEXT = r"^\d+\z"
 _STRIP_IF_SEPARATOR = r"(?s)^(?=.*[./])" + _WS + r"*(.*?)" + _WS + r"*\z"
 _DATE_TOKEN = r"(?s)^([^ ]*) .*|^(.{0,10}).*"
 _TIME_TOKEN = r"(?s)^[^ ]* ([^ ]*).*|^.{0,10}(.*)"
-_DAY_FIRST = r"^\d{2}-\d{2}-\d{4}$"
-_DATE_SHAPES = r"^\d{2}-\d{2}-\d{4}$|^\d{4}-\d{2}-\d{2}$"
-_HOUR_MINUTE = r"^(\d{2}:\d{2})$"
+# (?d): only "\n" ends a line for ^ $ . (Java otherwise also counts \r, \u0085, ...),
+# the same reading of "$" as the rules' text
+_DAY_FIRST = r"(?d)^\d{2}-\d{2}-\d{4}$"
+_DATE_SHAPES = r"(?d)^\d{2}-\d{2}-\d{4}$|^\d{4}-\d{2}-\d{2}$"
+_HOUR_MINUTE = r"(?d)^(\d{2}:\d{2})$"
 _LONG_TIME = r"(?s)^(\d{2}:\d{2}:\d{2})[^\n].*"
-_DAY_FIRST_GROUPS = r"^(\d{2})-(\d{2})-(\d{4})$"
+_DAY_FIRST_GROUPS = r"(?d)^(\d{2})-(\d{2})-(\d{4})$"
 
 
 def _col(c: Column | str) -> Column:

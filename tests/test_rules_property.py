@@ -82,3 +82,10 @@ NUM = st.one_of(st.builds(lambda a, b, c, sep: f"{a}{b}{sep}{c}", st.sampled_fro
 def test_decimal_rules_match_model(spark, values):
     assert apply(spark, R.clean_temperature, values) == [model_decimal(v, -20, 50, True) for v in values]
     assert apply(spark, R.clean_rain_mm, values) == [model_decimal(v, 0, None, True) for v in values]
+
+
+def test_clean_date_line_terminators(spark):
+    """Only "\n" ends a line (as in the rule text): "\r" and friends are plain characters."""
+    values = ["01-11-2025\r 10:00", "2025-11-01 10:00\r", "01-11-2025\n", "2025-11-01 10:00:00\r",
+              "2025-11-01\u2028", "01/11/2025\x85 10:00"]
+    assert apply(spark, R.clean_date, values) == [model_date(v) for v in values]
