@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationlake.llm import quality_fm, quality_rules, url_filter
+from stationlake.llm import mixing, quality_fm, quality_rules, url_filter
 from stationlake.llm.common import read
 
 
@@ -16,12 +16,16 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(read(spark, sf_dir, "pages"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(read(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_classifier, op6_url_filters, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op4_quality_classifier, op6_url_filters, op8_mixing, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_filters": url_filter.oracle()}
+    return {"op6_url_filters": url_filter.oracle(), "op8_mixing": mixing.oracle()}
