@@ -82,3 +82,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, cols: list[str], rows: i
            .groupBy("doc_id").agg(F.max("label").alias("label"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     return docs.select("doc_id", *cols).join(F.broadcast(lab), "doc_id")
+
+
+class Remembered(dict):
+    """A function's results by key, at most 2 * ``limit`` of them: the keys not seen of late go first."""
+
+    def __init__(self, compute: Callable, limit: int) -> None:
+        super().__init__()
+        self.compute, self.limit, self.old = compute, limit, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationlake.llm import mixing, quality_fm, quality_rules, url_filter
+from stationlake.llm import bpe_automaton, mixing, quality_fm, quality_rules, url_filter, wavelet
 from stationlake.llm.common import read
 
 
+def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.binary_output(read(spark, sf_dir, "documents"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -16,6 +20,10 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(read(spark, sf_dir, "pages"))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_automaton.encode_documents(read(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(read(spark, sf_dir, "documents"))
 
@@ -24,7 +32,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_classifier, op6_url_filters, op8_mixing, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op2_token_ids, op4_quality_classifier, op6_url_filters, op7_bpe, op8_mixing, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
