@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationlake.llm import bpe_automaton, mixing, quality_fm, quality_rules, url_filter, wavelet
+from stationlake.llm import bpe_automaton, mixing, quality_fm, quality_rules, secrets, topk, url_filter, wavelet
 from stationlake.llm.common import read
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(read(spark, sf_dir, "documents"))
+
+
 def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.binary_output(read(spark, sf_dir, "documents"))
 
@@ -28,12 +32,17 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(read(spark, sf_dir, "documents"))
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_ids, op4_quality_classifier, op6_url_filters, op7_bpe, op8_mixing, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_token_ids, op4_quality_classifier, op6_url_filters, op7_bpe, op8_mixing, op9_topk, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_filters": url_filter.oracle(), "op8_mixing": mixing.oracle()}
+    return {"op6_url_filters": url_filter.oracle(), "op8_mixing": mixing.oracle(),
+            "op9_topk": topk.oracle()}
