@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationlake.llm import bpe_automaton, mixing, quality_fm, quality_rules, secrets, topk, url_filter, wavelet
+from stationlake.llm import bpe_automaton, mixing, quality_fm, quality_rules, secrets, topk, trie_join, url_filter, wavelet
 from stationlake.llm.common import read
 
 
@@ -20,6 +20,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_join.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(read(spark, sf_dir, "pages"))
 
@@ -40,7 +44,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_token_ids, op4_quality_classifier, op6_url_filters, op7_bpe, op8_mixing, op9_topk, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_token_ids, op4_quality_classifier, op5_jaccard_join, op6_url_filters, op7_bpe, op8_mixing, op9_topk, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
