@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationlake.llm import bpe_automaton, mixing, quality_fm, quality_rules, secrets, topk, trie_join, url_filter, wavelet
+from stationlake.llm import bpe_automaton, gru_lm, mixing, quality_fm, quality_rules, secrets, topk, trie_join, url_filter, wavelet
 from stationlake.llm.common import read
 
 
@@ -16,6 +16,10 @@ def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.binary_output(read(spark, sf_dir, "documents"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru_lm.score_documents(read(spark, sf_dir, "documents"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -44,7 +48,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_token_ids, op4_quality_classifier, op5_jaccard_join, op6_url_filters, op7_bpe, op8_mixing, op9_topk, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_token_ids, op3_lm_score, op4_quality_classifier, op5_jaccard_join, op6_url_filters, op7_bpe, op8_mixing, op9_topk, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

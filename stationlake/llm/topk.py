@@ -206,7 +206,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, block: int = BLOCK
     right = blocks.select("*", F.expr(f"pmod(xxhash64(block, 1), {groups})").alias("g"),
                           F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))).alias("qb"))
 
-    def found(key, qs: pd.DataFrame, xs: pd.DataFrame) -> pd.DataFrame:
+    def found(key: tuple, qs: pd.DataFrame, xs: pd.DataFrame) -> pd.DataFrame:
         names = ["qblock", "qpos", "query_id", "vec_id", "score"]
         out = []
         for q in qs.sort_values("block").to_dict("records"):
