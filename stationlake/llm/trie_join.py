@@ -46,7 +46,7 @@ from stationlake.llm.graph import components
 SIZE = 5
 PERCENT = 80
 PART = 4000  # classes a part
-RANGE = 8_000_000  # shingles a hash range
+RANGE = 2_000_000  # shingles a hash range
 BLOCK = 1024  # classes a block
 _SHIFT = np.uint64(16)  # hashes are counted by their upper 48 bits: a shared value counts too much, never too little
 
@@ -114,45 +114,43 @@ def unpack_counts(raw: bytes) -> np.ndarray:
 
 # ---- 1: classes
 
-def signatures(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """doc_id, cls, n, text of every row; the packed words only where a task first meets a class."""
+def signatures(docs: DataFrame) -> DataFrame:
+    """doc_id, cls, n_words, words of every row; the packed words only where a task first meets a class."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press, met = zstandard.ZstdCompressor(level=1), {}
+        press, met = zstandard.ZstdCompressor(level=1), set()
         for b in batches:
             cls, n, text = [], [], []
             for t in b.column(1).to_pylist():
                 toks = lowered(t)
                 c = class_of(toks)
-                first = c is not None and c not in met
-                if first:
-                    met[c] = len(shingles(toks, size))
                 cls.append(c)
-                n.append(met.get(c, 0))
-                text.append(press.compress(b" ".join(toks)) if first else None)
+                n.append(len(toks))
+                text.append(press.compress(b" ".join(toks)) if c is not None and c not in met else None)
+                met.add(c)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cls, pa.int64()), pa.array(n, pa.int64()),
-                                              pa.array(text, pa.binary())], names=["doc_id", "cls", "n", "words"])
+                                              pa.array(text, pa.binary())], names=["doc_id", "cls", "n_words", "words"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        signed, "doc_id long, cls long, n long, words binary")
+        signed, "doc_id long, cls long, n_words long, words binary")
 
 
 # ---- 2 and 3: counts, order, prefixes
 
 def prefixes(sigs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """cls, n, shared (ordered shingles of at least two classes), prefix, of every class that may have a partner."""
-    total = sigs.where("words is not null").agg(F.count("*").alias("k"), F.sum("n").alias("s")).first()
+    """cls, n of every class; shared (its ordered shingles of at least two classes) and prefix where it may have a partner."""
+    total = sigs.where("words is not null").agg(F.count("*").alias("k"), F.sum("n_words").alias("s")).first()
     parts, ranges = max(1, -(-total.k // PART)), max(1, -(-(total.s or 0) // RANGE))
-    classes = sigs.where("words is not null").select("cls", "n", "words", F.expr(f"pmod(xxhash64(cls), {parts})").alias("p"))
+    classes = sigs.where("words is not null").select("cls", "words", F.expr(f"pmod(xxhash64(cls), {parts})").alias("p"))
 
-    def sets(frame: pd.DataFrame) -> Iterator[tuple[int, int, np.ndarray]]:
+    def sets(frame: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
         frame = frame.drop_duplicates("cls")
         unzip = zstandard.ZstdDecompressor()
-        for c, n, raw in zip(frame["cls"], frame["n"], frame["words"], strict=True):
-            yield c, n, shingles(unzip.decompress(raw).split(), size)
+        for c, raw in zip(frame["cls"], frame["words"], strict=True):
+            yield c, shingles(unzip.decompress(raw).split(), size)
 
-    def sent(key, frame: pd.DataFrame) -> pd.DataFrame:
-        every = [np.unique(s >> _SHIFT) for _, _, s in sets(frame)]
+    def sent(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        every = [np.unique(s >> _SHIFT) for _, s in sets(frame)]
         values, counts = np.unique(np.concatenate(every), return_counts=True)
         of = ((values >> np.uint64(16)) * np.uint64(ranges)) >> np.uint64(32)
         cuts = np.searchsorted(of, np.arange(ranges + 1))
@@ -160,7 +158,7 @@ def prefixes(sigs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataF
                for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
         return pd.DataFrame(out, columns=["r", "p", "vals", "counts"])
 
-    def summed(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def summed(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         vals = [unpack(x) for x in frame["vals"]]
         counts = np.concatenate([unpack_counts(x) for x in frame["counts"]]).astype(np.int64)
         values, inv = np.unique(np.concatenate(vals), return_inverse=True)
@@ -173,22 +171,23 @@ def prefixes(sigs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataF
                 out.append((p, pack(v[t > 1]), pack_counts(t[t > 1])))
         return pd.DataFrame(out, columns=["p", "vals", "counts"])
 
-    def ordered(key, frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    def ordered(key: tuple, frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        vals = np.concatenate([unpack(x) for x in answers["vals"]] or [np.zeros(1, np.uint64)])
+        counts = np.concatenate([unpack_counts(x) for x in answers["counts"]] or [np.zeros(1, np.uint32)])
+        order = np.argsort(vals)
+        vals, counts = vals[order], counts[order]
         out = []
-        if len(answers):
-            vals = np.concatenate([unpack(x) for x in answers["vals"]])
-            counts = np.concatenate([unpack_counts(x) for x in answers["counts"]])
-            order = np.argsort(vals)
-            vals, counts = vals[order], counts[order]
-            for c, n, s in sets(frame):
-                b = s >> _SHIFT
-                at = np.minimum(np.searchsorted(vals, b), len(vals) - 1)
-                hit = vals[at] == b
-                open_ = prefix_length(n, percent) - int(n - hit.sum())  # one-class shingles come first
-                if open_ > 0:
-                    s, k = s[hit], counts[at[hit]]
-                    s = s[np.lexsort((s, k))]
-                    out.append((c, n, s.astype("<u8").tobytes(), s[:open_].view(np.int64)))
+        for c, s in sets(frame):
+            b, n = s >> _SHIFT, len(s)
+            at = np.minimum(np.searchsorted(vals, b), len(vals) - 1)
+            hit = (vals[at] == b) & (counts[at] > 1)
+            open_ = prefix_length(n, percent) - int(n - hit.sum())  # one-class shingles come first
+            if open_ > 0:
+                s, k = s[hit], counts[at[hit]]
+                s = s[np.lexsort((s, k))]
+                out.append((c, n, s.astype("<u8").tobytes(), s[:open_].view(np.int64)))
+            else:
+                out.append((c, n, None, None))
         return pd.DataFrame(out, columns=["cls", "n", "shared", "prefix"])
 
     answers = (classes.groupBy("p").applyInPandas(sent, "r long, p long, vals binary, counts binary")
@@ -339,11 +338,14 @@ def class_links(found: DataFrame, of: DataFrame, block: int = BLOCK, percent: in
 
 def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """doc_id, cls, n_shingles, root (null: no words), component_id of every row."""
-    sigs = staged(signatures(docs, size), "signatures")
-    found = staged(prefixes(sigs, size, percent), "prefixes")
+    sigs = staged(signatures(docs), "signatures")
+    classes = staged(prefixes(sigs, size, percent), "prefixes")
+    found = classes.where("prefix is not null")
     roots = components(class_links(found, clusters(found), block, percent), "links")
-    rows = (sigs.select("doc_id", "cls", "n").join(roots, sigs["cls"] == roots["node"], "left")
-            .select("doc_id", "cls", F.col("n").alias("n_shingles"), F.coalesce("root", "cls").alias("root")))
+    named = (classes.select(F.col("cls").alias("__cls"), "n").join(roots, F.col("__cls") == F.col("node"), "left")
+             .select("__cls", "n", F.coalesce("root", "__cls").alias("root")))
+    rows = (sigs.select("doc_id", "cls").join(named, F.col("cls") == F.col("__cls"), "left")
+            .select("doc_id", "cls", F.coalesce("n", F.lit(0).cast("long")).alias("n_shingles"), "root"))
     names = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return (rows.join(names.withColumnRenamed("root", "__root"), F.col("root") == F.col("__root"), "left")
             .select("doc_id", "cls", "n_shingles", "root", F.coalesce("least", "doc_id").alias("component_id")))
