@@ -134,10 +134,6 @@ class Staged:
         return df.select(*keep, self.result(ref).alias(out))
 
 
-def as_column(rule_output: Column | Staged) -> Column:
-    return rule_output.to_column() if isinstance(rule_output, Staged) else rule_output
-
-
 # --- U1 -------------------------------------------------------------------
 def clean_date(s: Column | str) -> Staged:
     """Normalise a timestamp text to ``yyyy-MM-dd HH:mm:ss`` (kept as a string).

@@ -22,7 +22,6 @@ ROW_CORRECTED = "row_corrected"
 VALUE_INVALID = "value_invalid"
 SCORE = "score"
 DATE_PARTITION = "date_partition"
-REPORT_COLUMNS = ("rows_raw", "rows_corrected", "rows_invalid", "rows_removed")
 
 
 @dataclass(frozen=True)
@@ -122,7 +121,9 @@ class SilverResult:
     ``report``  one-row DataFrame ``rows_raw, rows_corrected, rows_invalid, rows_removed``
                 (lazy; evaluates the cleaning once more if used separately);
     ``observations`` filled by the first action on ``df`` (e.g. the silver write), giving
-                the same counters without a second pass — see :meth:`observed_report`.
+                the same counters without a second pass — see :meth:`observed_report`. A stage
+                that Spark runs again after losing its shuffle output can add its rows a second
+                time: where the counters must be exact even then, evaluate ``report``.
     """
 
     df: DataFrame
@@ -143,9 +144,12 @@ class SilverResult:
 
 def to_silver(df: DataFrame, rules: Sequence[CleanRule], *, score: bool = False,
               dedup_keys: Sequence[str] | None = None, partition_col: str | None = None,
-              drop_cols: Sequence[str] | None = None, observe: bool = False) -> SilverResult:
+              drop_cols: Sequence[str] | None = None, observe: bool = False,
+              days: tuple[str, str] | None = None) -> SilverResult:
     """Raw → silver: clean, add ``date_partition``, report, dedup, drop empty rows.
 
+    ``days`` (first and last, inclusive) keeps only rows of those days, before the counters.
+
     Dedup (keep the lowest ``score`` per ``dedup_keys``) runs only when ``score`` is on,
     rows NULL in every column are removed, then ``drop_cols`` are dropped.
     """
@@ -153,6 +157,8 @@ def to_silver(df: DataFrame, rules: Sequence[CleanRule], *, score: bool = False,
     if partition_col:
         flagged = flagged.withColumn(
             DATE_PARTITION, F.substring(F.col(partition_col), 1, 10).try_cast("date"))
+        if days:
+            flagged = flagged.where(F.col(DATE_PARTITION).between(*[F.lit(d).cast("date") for d in days]))
     obs_pre = obs_post = None
     staged = flagged
     if observe:

@@ -14,8 +14,8 @@ CITY_PATTERN = r"^([A-Za-z\-]+) - Station"
 STATION_NUMBER_PATTERN = r"Station (\d+)"
 MINUTES_PER_DAY = 24 * 60
 
-DIM_DATE_COLUMNS = ("date", "year", "month", "day", "quarter", "day_of_week",
-                    "day_of_week_num", "is_weekend", "week_of_year", "iso_year", "date_key")
+UNKNOWN_STATION = -1
+STATION_COLUMNS = ("station_name", "lat", "lon", "capacity")
 
 
 def date_key(d) -> "F.Column":
@@ -28,15 +28,41 @@ def date_key(d) -> "F.Column":
     return F.date_format(d, "yyyyMMdd").cast("bigint")
 
 
+def one_per_station(station_silver: DataFrame) -> DataFrame:
+    """One row per known station id: the one with the fewest missing attributes, ties to the
+    smaller attribute values (NULL first). Rows whose id was rejected are left out."""
+    cols = [c for c in STATION_COLUMNS if c in station_silver.columns]
+    missing = sum((F.col(c).isNull().cast("int") for c in cols), F.lit(0))
+    best = (station_silver.where(F.col("station_id").isNotNull()).groupBy("station_id")
+            .agg(F.min(F.struct(missing.alias("__missing"), *cols)).alias("b")))
+    return best.select("station_id", *[F.col(f"b.{c}").alias(c) for c in cols])
+
+
 def dim_station(station_silver: DataFrame) -> DataFrame:
-    """Stations with city and number parsed from the name; ``station_key`` is the station
-    id (-1 for rows whose id was rejected). Whole-row duplicates are removed."""
+    """One row per station with city and number parsed from the name; ``station_key`` is the
+    station id. Rows whose id was rejected are one member, key -1, without attributes."""
+    known = one_per_station(station_silver.select("station_id", *STATION_COLUMNS))
+    unknown = (station_silver.where(F.col("station_id").isNull()).limit(1)
+               .select("station_id", *[F.lit(None).cast(known.schema[c].dataType).alias(c) for c in STATION_COLUMNS]))
     name = F.col("station_name")
-    return (station_silver.select("station_id", "station_name", "lat", "lon", "capacity")
+    return (known.unionByName(unknown)
             .withColumns({"city": F.regexp_extract(name, CITY_PATTERN, 1),
-                          "station_number": F.regexp_extract(name, STATION_NUMBER_PATTERN, 1)})
-            .dropDuplicates()
-            .withColumn("station_key", F.coalesce(F.col("station_id").cast("bigint"), F.lit(-1))))
+                          "station_number": F.regexp_extract(name, STATION_NUMBER_PATTERN, 1),
+                          "station_key": F.coalesce(F.col("station_id").cast("bigint"),
+                                                    F.lit(UNKNOWN_STATION).cast("bigint"))}))
+
+
+def station_key_check(station_silver: DataFrame, dim: DataFrame) -> DataFrame:
+    """One row: silver rows, dimension rows and keys, keys held twice, ids repeated in the silver
+    table, and silver rows without an id."""
+    keys = dim.groupBy("station_key").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_members"), F.count(F.lit(1)).alias("n_keys"),
+        F.count_if(F.col("n") > 1).alias("n_repeated_keys"))
+    ids = station_silver.groupBy("station_id").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_silver_rows"),
+        F.count_if(F.col("station_id").isNotNull() & (F.col("n") > 1)).alias("n_repeated_ids"),
+        F.coalesce(F.sum(F.when(F.col("station_id").isNull(), F.col("n"))), F.lit(0)).alias("n_without_id"))
+    return ids.join(F.broadcast(keys))  # one row each
 
 
 def dim_weather(weather_silver: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationlake.functions.numeric import pct, round2
-from stationlake.operators.dimensions import date_key
+from stationlake.operators.dimensions import date_key, one_per_station
 
 TOP_N = 5
 
@@ -43,14 +43,19 @@ def _date_key(df: DataFrame, dim_date: DataFrame | None, date_col: str = "date_p
     return df.join(dates, df[date_col] == dates["__date"], "left").drop("__date", date_col)
 
 
-def _station_key(df: DataFrame, dim_station: DataFrame) -> DataFrame:
+def _station_key(df: DataFrame, dim_station: DataFrame | None) -> DataFrame:
+    """Attach ``station_key`` for ``station_id``. Without a dimension the key is computed: rows
+    joined with the stations have an id that the dimension holds under exactly this key."""
+    if dim_station is None:
+        return df.withColumn("station_key", F.col("station_id").cast("bigint")).drop("station_id")
     st = dim_station.select(F.col("station_id").alias("__sid"), "station_key")
     return df.join(st, df["station_id"] == st["__sid"], "left").drop("__sid", "station_id")
 
 
 def join_stations(availability: DataFrame, stations: DataFrame) -> DataFrame:
-    """Availability readings with their station's attributes (inner join on the id)."""
-    return availability.join(stations.drop("date_partition"), "station_id", "inner")
+    """Availability readings with their station's attributes (inner join on the id; a station
+    that is listed twice counts once, so a reading stays one row)."""
+    return availability.join(one_per_station(stations.drop("date_partition")), "station_id", "inner")
 
 
 def fact_avg_bikes(availability: DataFrame, dim_date: DataFrame | None, dim_station: DataFrame) -> DataFrame:
@@ -61,7 +66,7 @@ def fact_avg_bikes(availability: DataFrame, dim_date: DataFrame | None, dim_stat
         "avg_bikes_available", "date_key", "station_key")
 
 
-def fact_occupancy(joined: DataFrame, dim_date: DataFrame | None, dim_station: DataFrame,
+def fact_occupancy(joined: DataFrame, dim_date: DataFrame | None, dim_station: DataFrame | None = None,
                    dim_time: DataFrame | None = None) -> DataFrame:
     """Occupancy ``bikes / (bikes + free slots) * 100`` per reading.
 
@@ -104,7 +109,8 @@ def fact_dominant_weather(weather: DataFrame, dim_date: DataFrame | None,
             .select("count", "date_key", "weather_condition_key"))
 
 
-def fact_saturation(joined: DataFrame, dim_date: DataFrame | None, dim_station: DataFrame) -> DataFrame:
+def fact_saturation(joined: DataFrame, dim_date: DataFrame | None,
+                    dim_station: DataFrame | None = None) -> DataFrame:
     """Share (%) of a station's readings of the day where bikes == capacity."""
     agg = joined.groupBy("date_partition", "station_id").agg(
         F.count(F.lit(1)).alias("__n"),
@@ -115,7 +121,7 @@ def fact_saturation(joined: DataFrame, dim_date: DataFrame | None, dim_station:
         "saturation_pct", "date_key", "station_key")
 
 
-def fact_top_saturated(joined: DataFrame, dim_date: DataFrame | None, dim_station: DataFrame,
+def fact_top_saturated(joined: DataFrame, dim_date: DataFrame | None, dim_station: DataFrame | None = None,
                        n: int = TOP_N, with_rank: bool = False) -> DataFrame:
     """The ``n`` most saturated stations per day (ties: smaller station key first).
 
@@ -130,7 +136,7 @@ def fact_top_saturated(joined: DataFrame, dim_date: DataFrame | None, dim_statio
     return ranked.select(*cols)
 
 
-def fact_top_array(joined: DataFrame, dim_date: DataFrame | None, dim_station: DataFrame,
+def fact_top_array(joined: DataFrame, dim_date: DataFrame | None, dim_station: DataFrame | None = None,
                    n: int = TOP_N) -> DataFrame:
     """C17: the top-``n`` per day as an ordered ``ARRAY<STRUCT<station_key, saturation_pct>>``.
 
@@ -156,7 +162,8 @@ def explode_top_array(df: DataFrame, col: str = "top_stations") -> DataFrame:
 def gold_daily(availability: DataFrame, weather: DataFrame, joined: DataFrame,
                dim_date: DataFrame | None, dim_station: DataFrame,
                dim_weather: DataFrame, dim_time: DataFrame | None = None) -> DataFrame:
-    """One row per day present in all four facts.
+    """One row per day present in all four facts (``dim_date=None`` computes the keys of
+    the dates, and those of stations wherever a reading was joined with its station).
 
     ``avg_bikes_available_day`` is the mean of the per-station daily averages,
     ``occupancy_pct_day`` the mean of the per-reading occupancies, with the day's
@@ -167,11 +174,12 @@ def gold_daily(availability: DataFrame, weather: DataFrame, joined: DataFrame,
     """
     avg_bikes = (fact_avg_bikes(availability, dim_date, dim_station)
                  .groupBy("date_key").agg(F.avg("avg_bikes_available").alias("__bikes")))
-    occupancy = (fact_occupancy(joined, dim_date, dim_station, dim_time)
+    key = None if dim_date is None else dim_station
+    occupancy = (fact_occupancy(joined, dim_date, key, dim_time)
                  .groupBy("date_key").agg(F.avg("occupancy_pct").alias("__occ")))
     dominant = fact_dominant_weather(weather, dim_date, dim_weather).select(
         "date_key", F.col("weather_condition_key").alias("weather_condition_key_day"))
-    top = fact_top_array(joined, dim_date, dim_station).withColumnRenamed(
+    top = fact_top_array(joined, dim_date, key).withColumnRenamed(
         "top_stations", "top_stations_day")
     days = (avg_bikes.join(dominant, "date_key").join(occupancy, "date_key")
             .join(top, "date_key"))
@@ -179,19 +187,31 @@ def gold_daily(availability: DataFrame, weather: DataFrame, joined: DataFrame,
         "date_key",
         round2(F.col("__bikes")).alias("avg_bikes_available_day"),
         round2(F.col("__occ")).alias("occupancy_pct_day"),
-        "weather_condition_key_day", "top_stations_day").orderBy("date_key")
+        "weather_condition_key_day", "top_stations_day")
 
 
-def nearest_hour_text(ts_text: Column) -> Column:
-    """Cleaned timestamp text rounded to the nearest hour (half past rounds up), as text."""
+def nearest_hour(ts_text: Column) -> Column:
+    """Cleaned timestamp text → the nearest hour (half past rounds up) as TIMESTAMP_NTZ."""
     t = reading_time(ts_text)
-    rounded = F.date_trunc("hour", t + F.expr("INTERVAL 30 MINUTES")).cast("timestamp_ntz")
-    return F.date_format(rounded, "yyyy-MM-dd HH:mm:ss")
+    return F.date_trunc("hour", t + F.expr("INTERVAL 30 MINUTES")).cast("timestamp_ntz")
+
+
+def nearest_hour_text(ts_text: Column) -> Column:
+    """:func:`nearest_hour` as text."""
+    return F.date_format(nearest_hour(ts_text), "yyyy-MM-dd HH:mm:ss")
 
 
 def enrich_with_weather(joined: DataFrame, weather: DataFrame) -> DataFrame:
-    """Readings with the weather of the nearest hour (left join on the hour text)."""
-    wx = weather.select(F.col("timestamp").alias("weather_timestamp"), "temperature_c",
-                        "rain_mm", "weather_condition")
-    r = joined.withColumn("timestamp_rounded", nearest_hour_text(F.col("timestamp")))
-    return r.join(wx, r["timestamp_rounded"] == wx["weather_timestamp"], "left")
+    """Readings with the weather of the nearest hour (left join on the hour).
+
+    An hour with several weather rows counts once: the row first by timestamp text, condition,
+    temperature and rain (NULL first), so a reading stays one row."""
+    cols = ["timestamp", "weather_condition", "temperature_c", "rain_mm"]
+    t = reading_time(F.col("timestamp"))
+    wx = (weather.select(*cols, t.alias("__wh")).where(F.col("__wh").isNotNull() & (F.date_trunc("hour", "__wh") == F.col("__wh")))
+          .groupBy("__wh").agg(F.min(F.struct(*cols)).alias("w"))
+          .select("__wh", F.col("w.timestamp").alias("weather_timestamp"), "w.temperature_c", "w.rain_mm",
+                  "w.weather_condition"))
+    r = joined.withColumn("__hour", nearest_hour(F.col("timestamp")))
+    r = r.withColumn("timestamp_rounded", F.date_format("__hour", "yyyy-MM-dd HH:mm:ss"))
+    return r.join(wx, r["__hour"] == wx["__wh"], "left").drop("__hour", "__wh")

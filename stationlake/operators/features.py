@@ -70,10 +70,15 @@ def baseline_errors(features: DataFrame) -> DataFrame:
                  _round6(F.sqrt(F.avg(err * err))).alias("rmse")))
 
 
+class NoTrainingRows(ValueError):
+    """There is no complete feature row before the held-out days."""
+
+
 def train_and_score(features: DataFrame, label: str = "occupancy_pct", holdout_days: int = 1):
     """Next-day batch scoring. A linear regression (normal-equation solver: one
     distributed aggregation pass) is fitted on every station-hour before the last
-    ``holdout_days`` days of the data and scores those days. Returns
+    ``holdout_days`` days of the data and scores those days. ``features`` is read three times
+    (last day, fit, score): pass a written table, not a long plan. Returns
     ``(model, predictions)``; ``predictions`` holds the scored (held-out) hours with
     their baselines, for :func:`model_errors`."""
     from pyspark.ml.feature import VectorAssembler
@@ -84,9 +89,9 @@ def train_and_score(features: DataFrame, label: str = "occupancy_pct", holdout_d
         *[F.col(c).cast("double").alias(c) for c in FEATURE_COLUMNS]).dropna()
     # the split day: one scalar from a global max (combined map-side)
     last = usable.agg(F.max("day")).first()[0]
-    if last is None:
-        raise ValueError("no complete feature rows to train on")
     cutoff = F.date_sub(F.lit(last), holdout_days - 1)
+    if last is None or not usable.where(F.col("day") < cutoff).limit(1).count():
+        raise NoTrainingRows("no complete feature rows to train on")
     assembler = VectorAssembler(inputCols=list(FEATURE_COLUMNS), outputCol="features")
     train = assembler.transform(usable.where(F.col("day") < cutoff))
     test = assembler.transform(usable.where(F.col("day") >= cutoff))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stationlake.operators.dimensions import one_per_station
 from stationlake.operators.facts import reading_time
-from stationlake.operators.runs import value_runs
+from stationlake.operators.runs import value_runs, with_run_start
 
 # Fixed report layout (one line each; counters filled in order).
 REPORT_TITLE = "Quality report - {}"
@@ -36,7 +37,7 @@ def incoherent_capacity(bikes: Column, slots: Column, capacity: Column) -> Colum
 
 def capacity_coherence(availability: DataFrame, stations: DataFrame, *group_cols: str) -> DataFrame:
     """Readings whose counts do not add up to the station capacity, per group."""
-    cap = stations.select("station_id", F.col("capacity").try_cast("int").alias("capacity"))
+    cap = one_per_station(stations.select("station_id", F.col("capacity").try_cast("int").alias("capacity")))
     df = availability.join(cap, "station_id", "inner")
     return df.groupBy(*group_cols).agg(F.count_if(incoherent_capacity(
         F.col("bikes_available"), F.col("slots_free"), F.col("capacity")))
@@ -101,6 +102,28 @@ def critical_episodes(joined: DataFrame, share_pct: int = CRITICAL_SHARE_PCT,
                     span.alias("duration_minutes")))
 
 
+def critical_readings(joined: DataFrame, share_pct: int = CRITICAL_SHARE_PCT) -> DataFrame:
+    """station_id, reading_time, critical, bikes_available, capacity of the readings that can be judged."""
+    return (joined.select(
+        "station_id", reading_time(F.col("timestamp")).alias("reading_time"),
+        is_critical(F.col("bikes_available"), F.col("capacity"), share_pct).alias("critical"),
+        "bikes_available", "capacity")
+        .where(F.col("critical").isNotNull() & F.col("reading_time").isNotNull() & F.col("station_id").isNotNull()))
+
+
+def critical_alerts(readings: DataFrame, minutes: int = CRITICAL_MINUTES) -> DataFrame:
+    """One alert a critical run, at its first reading more than ``minutes`` after its start
+    (of several readings at that time the one with the fewest bikes)."""
+    rows = with_run_start(readings, "station_id", "reading_time", ["critical"]).where("critical")
+    waited = (F.unix_timestamp(F.col("reading_time").cast("timestamp"))
+              - F.unix_timestamp(F.col("run_start").cast("timestamp"))) / 60.0
+    return (rows.withColumn("minutes_critical", waited).where(F.col("minutes_critical") > minutes)
+            .groupBy("station_id", "run_start")
+            .agg(F.min(F.struct("reading_time", "bikes_available", "capacity", "minutes_critical")).alias("a"))
+            .select("station_id", "run_start", F.col("a.reading_time").alias("alert_time"), "a.minutes_critical",
+                    "a.bikes_available", "a.capacity"))
+
+
 def daily_quality(joined_left: DataFrame, frozen: DataFrame) -> DataFrame:
     """Per station and day — readings, negative counts, incoherent capacities and
     frozen runs (by start day). One aggregation pass over the readings (the three
@@ -123,7 +146,7 @@ def daily_quality(joined_left: DataFrame, frozen: DataFrame) -> DataFrame:
 def with_capacity(availability: DataFrame, stations: DataFrame) -> DataFrame:
     """Availability ⟕ station capacity, with ``__matched`` telling whether a station row
     was found (used by :func:`daily_quality`)."""
-    cap = stations.select("station_id", F.col("capacity").try_cast("int").alias("capacity"),
-                          F.lit(True).alias("__matched"))
+    cap = one_per_station(stations.select("station_id", F.col("capacity").try_cast("int").alias("capacity"))
+                          ).withColumn("__matched", F.lit(True))
     return (availability.join(cap, "station_id", "left")
             .withColumn("__matched", F.coalesce("__matched", F.lit(False))))

@@ -1,4 +1,4 @@
-"""Runs of consecutive equal values per key (gaps and islands), split for skew.
+"""Runs of consecutive equal values per key (gaps and islands), split by day for hot keys.
 
 ``value_runs(df, key, order, values)`` returns one row per maximal run of consecutive
 rows (per ``key``, in ``order``) whose ``values`` are all equal:
@@ -7,146 +7,74 @@ rows (per ``key``, in ``order``) whose ``values`` are all equal:
 A window partitioned by the key would put every row of a key in one task; one station
 holding a third of all readings would make that task a third of the job. Instead:
 
-1. rows are range-partitioned on ``(key, order)`` — a hot key is cut by time into
-   several partitions — and sorted within each partition;
-2. each partition is scanned once (``mapInPandas``, batch by batch, carrying the open
-   run across batches) and emits its runs, marking runs that touch the partition's first
-   or last row of their key;
-3. only those boundary pieces (at most two per key and partition) are stitched: in key
-   order, a piece continues the previous one when both hold the same values and the
-   previous ended its partition while this one starts the next. Complete runs pass
-   through the same step alone in their group (a unique salt), so the Python scan runs
-   once and the runs are shuffled once.
+1. windows run by (key, day): a hot key is cut by day, and each day is collapsed to its
+   runs (one shuffle of the rows; the aggregation reuses its partitioning);
+2. a day's first and last run may continue in the neighbouring day. Only these (at most
+   two per key and day) are stitched, by a window over the key: a piece continues the
+   one before if that one ended its day, this one starts the next day with rows, and both
+   hold the same values. Runs inside a day are complete and pass by.
+
+Everything is built-in expressions.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, IntegerType, LongType, StructField,
-                               StructType)
-
-_PID = "__pid"
-
-# The scan below runs in Python workers; ship this module's code with the task so the
-# workers need no installed copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def _run_schema(df: DataFrame, key: str, order: str, values: Sequence[str]) -> StructType:
-    f = {x.name: x for x in df.schema.fields}
-    return StructType([
-        StructField(_PID, IntegerType(), False),
-        StructField(key, f[key].dataType, True),
-        *[StructField(v, f[v].dataType, True) for v in values],
-        StructField("start", f[order].dataType, True),
-        StructField("end", f[order].dataType, True),
-        StructField("n_readings", LongType(), False),
-        StructField("__head", BooleanType(), False),
-        StructField("__tail", BooleanType(), False),
-        StructField("__seq", LongType(), False),
-    ])
-
-
-def _same(a, b) -> bool:
-    return bool((a == b) or (pd.isna(a) and pd.isna(b)))
-
-
-def _scan_runs(key: str, order: str, values: list[str]):
-    cols = [key, *values]
-
-    def run_rows(pdf: pd.DataFrame) -> pd.DataFrame:
-        same = pd.Series(True, index=pdf.index)
-        for c in cols:
-            cur, prev = pdf[c], pdf[c].shift()
-            same &= (cur == prev) | (cur.isna() & prev.isna())
-        same.iloc[0] = False
-        g = pdf.groupby((~same).cumsum(), sort=False)
-        out = g[cols].first()
-        out["start"] = g[order].first()
-        out["end"] = g[order].last()
-        out["n_readings"] = g[order].size().astype("int64")
-        return out.reset_index(drop=True)
-
-    seq = [0]
-
-    def mark(ready: pd.DataFrame, prev_key, next_key, pid: int) -> pd.DataFrame:
-        keys = ready[key].astype(object)
-        before = keys.shift(1)
-        before.iloc[0] = prev_key
-        after = keys.shift(-1)
-        after.iloc[-1] = next_key
-        out = ready.copy()
-        out["__head"] = (keys != before).to_numpy()
-        out["__tail"] = (keys != after).to_numpy()
-        out[_PID] = pid
-        out["__seq"] = range(seq[0], seq[0] + len(out))
-        seq[0] += len(out)
-        return out
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pending = None          # last run so far; it may continue in the next batch
-        prev_key = object()     # key of the last emitted run (none yet)
-        pid = -1
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pid = int(pdf[_PID].iloc[0])
-            runs = run_rows(pdf)
-            if pending is not None:
-                if all(_same(pending[c].iat[0], runs[c].iat[0]) for c in cols):
-                    runs.loc[0, "start"] = pending["start"].iat[0]
-                    runs.loc[0, "n_readings"] += pending["n_readings"].iat[0]
-                else:
-                    runs = pd.concat([pending, runs], ignore_index=True)
-            pending = runs.iloc[[-1]].reset_index(drop=True)
-            ready = runs.iloc[:-1]
-            if len(ready):
-                yield mark(ready, prev_key, pending[key].iat[0], pid)
-                prev_key = ready[key].iat[-1]
-        if pending is not None:
-            yield mark(pending, prev_key, object(), pid)
-
-    return scan
-
-
-def value_runs(df: DataFrame, key: str, order: str, values: Sequence[str],
-               partitions: int | None = None) -> DataFrame:
-    values = list(values)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = (df.select(key, order, *values)
-            .where(F.col(key).isNotNull() & F.col(order).isNotNull())
-            .repartitionByRange(n, F.col(key), F.col(order))
-            .sortWithinPartitions(key, order, *values)
-            .withColumn(_PID, F.spark_partition_id()))
-    runs = rows.mapInPandas(_scan_runs(key, order, values), _run_schema(df, key, order, values))
-    return _stitch(runs, key, values)
-
-
-def _stitch(runs: DataFrame, key: str, values: list[str]) -> DataFrame:
-    """One pass over the scanned runs. A run that touches no partition edge is complete
-    and gets a unique salt, so it is alone in its window group; the edge pieces of a key
-    share salt -1 and are merged in key order. Grouping by (key, salt, group) reuses the
-    window's partitioning, so there is a single shuffle of the runs."""
-    piece = F.col("__head") | F.col("__tail")
-    salted = runs.withColumn("__salt", F.when(piece, F.lit(-1).cast("bigint")).otherwise(
-        F.col(_PID).cast("bigint") * F.lit(1 << 40) + F.col("__seq")))
-    w = Window.partitionBy(key, "__salt").orderBy("start", _PID)
-    prev_same = F.lit(True)
+
+
+def _changed(values: Sequence[str], w) -> Column:
+    """True where a row differs from the one before in the window (and on its first row)."""
+    same = F.row_number().over(w) > 1
     for v in values:
-        prev_same = prev_same & F.lag(F.col(v)).over(w).eqNullSafe(F.col(v))
-    joins = (prev_same & F.lag("__tail").over(w) & F.col("__head")
-             & (F.lag(_PID).over(w) < F.col(_PID)))
-    grouped = salted.withColumn(
-        "__grp", F.sum(F.when(F.coalesce(joins, F.lit(False)), 0).otherwise(1))
-        .over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = grouped.groupBy(key, "__salt", "__grp").agg(
-        *[F.first(v).alias(v) for v in values],
-        F.min("start").alias("start"), F.max("end").alias("end"),
-        F.sum("n_readings").alias("n_readings"))
-    return merged.select(key, *values, "start", "end", "n_readings")
+        same = same & F.lag(v).over(w).eqNullSafe(F.col(v))
+    return ~same
+
+
+def _numbered(df: DataFrame, key: str, order: str, values: list[str]) -> DataFrame:
+    """Rows with a key and an order, their day and the number of their run in that day."""
+    rows = (df.where(F.col(key).isNotNull() & F.col(order).isNotNull()).withColumn("__day", F.to_date(order)))
+    w = Window.partitionBy(key, "__day").orderBy(order, *values)
+    running = w.rowsBetween(Window.unboundedPreceding, 0)
+    return (rows.withColumn("__new", _changed(values, w))
+            .withColumn("__run", F.sum(F.col("__new").cast("int")).over(running)).drop("__new"))
+
+
+def _pieces(numbered: DataFrame, key: str, order: str, values: list[str]) -> tuple[DataFrame, DataFrame]:
+    """A day's runs that are complete, and those that touch its first or last row, the latter with
+    the group of pieces that make one run."""
+    pieces = (numbered.groupBy(key, "__day", "__run")
+              .agg(*[F.first(v).alias(v) for v in values], F.min(order).alias("start"),
+                   F.max(order).alias("end"), F.count(F.lit(1)).alias("n_readings")))
+    day = Window.partitionBy(key, "__day")
+    pieces = (pieces.withColumn("__head", F.col("__run") == 1)
+              .withColumn("__tail", F.col("__run") == F.max("__run").over(day)))
+    edge = F.col("__head") | F.col("__tail")
+    w = Window.partitionBy(key).orderBy("__day", "__run")
+    follows = F.lag("__tail").over(w) & F.col("__head") & ~_changed(values, w)
+    edges = (pieces.where(edge).withColumn("__new", ~F.coalesce(follows, F.lit(False)))
+             .withColumn("__group", F.sum(F.col("__new").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    return pieces.where(~edge), edges
+
+
+def value_runs(df: DataFrame, key: str, order: str, values: Sequence[str]) -> DataFrame:
+    values = list(values)
+    inner, edges = _pieces(_numbered(df.select(key, order, *values), key, order, values), key, order, values)
+    out = [key, *values, "start", "end", "n_readings"]
+    merged = (edges.groupBy(key, "__group")
+              .agg(*[F.first(v).alias(v) for v in values], F.min("start").alias("start"),
+                   F.max("end").alias("end"), F.sum("n_readings").alias("n_readings")))
+    return inner.select(*out).unionByName(merged.select(*out))
+
+
+def with_run_start(df: DataFrame, key: str, order: str, values: Sequence[str]) -> DataFrame:
+    """The rows that have a key and an order, with ``run_start``: the time of their run's first row."""
+    values = list(values)
+    rows = _numbered(df, key, order, values)
+    inner, edges = _pieces(rows, key, order, values)
+    first = F.min("start").over(Window.partitionBy(key, "__group"))
+    starts = (inner.select(key, "__day", "__run", F.col("start").alias("run_start"))
+              .unionByName(edges.select(key, "__day", "__run", first.alias("run_start"))))
+    return rows.join(starts, [key, "__day", "__run"]).drop("__day", "__run")

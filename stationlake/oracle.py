@@ -113,10 +113,11 @@ SELECT
             WHEN 'signup' THEN 'Drizzle'
             ELSE CASE WHEN {_m('k', 2, 0)} THEN 'Fog' ELSE 'Sunny' END END AS weather_condition
 FROM (
-  SELECT date_trunc('hour', ts) AS h, min(event_id) AS k,
-         arg_min(event_type, event_id) AS kind,
-         CAST(floor(arg_min(value, event_id)) AS BIGINT) AS v
-  FROM events GROUP BY 1)"""
+  SELECT h, min(k) AS k, CAST(floor(sum(s) / sum(n)) AS BIGINT) AS v,
+         first(kind ORDER BY n DESC, kind) AS kind
+  FROM (SELECT date_trunc('hour', ts) AS h, event_type AS kind, count(*) AS n, min(event_id) AS k,
+               sum(CAST(floor(value) AS BIGINT)) AS s FROM events GROUP BY 1, 2)
+  GROUP BY h)"""
 
 
 # --------------------------------------------------------------------------- rules
@@ -199,6 +200,7 @@ def _rule_bike_count(other: str, capacity: str):
     return stages, "{p}val", corrected, "({p}val IS NULL)"
 
 
+# The conditions the cleaning rules accept.
 WEATHER = ("Rain", "Cloudy", "Clear", "Drizzle", "Fog")
 
 
@@ -243,11 +245,12 @@ def silver_weather_ctes(prefix: str = "wx") -> tuple[list, str]:
     return ch.ctes, ch.last
 
 
-def silver_availability_ctes(prefix: str = "av") -> tuple[list, str]:
+def silver_availability_ctes(prefix: str = "av", readings: str = RAW_AVAILABILITY,
+                             stations: str = RAW_STATIONS) -> tuple[list, str]:
     """Flagged availability (before dedup) in ``{prefix}_flagged`` and the deduplicated
     silver in ``{prefix}_silver``."""
     src = (f"SELECT a.station_id, a.timestamp, a.bikes_available, a.slots_free, s.capacity "
-           f"FROM ({RAW_AVAILABILITY}) a LEFT JOIN (SELECT station_id, capacity FROM ({RAW_STATIONS})) s "
+           f"FROM ({readings}) a LEFT JOIN (SELECT station_id, min(capacity) AS capacity FROM ({stations}) GROUP BY station_id) s "
            f"ON a.station_id = s.station_id")
     ch = Chain(prefix, src)
     apply_rules(ch, [("station_id", _rule_positive_int()),
@@ -313,36 +316,49 @@ def pct(part: str, whole: str) -> str:
     return round2(f"(CAST({part} AS DOUBLE) / nullif(CAST({whole} AS DOUBLE), 0)) * 100.0")
 
 
+STATION_ONE = ("station_one", """
+SELECT station_id, station_name, lat, lon, capacity FROM (
+  SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY (station_name IS NULL)::INT + (lat IS NULL)::INT
+    + (lon IS NULL)::INT + (capacity IS NULL)::INT, station_name NULLS FIRST, lat NULLS FIRST, lon NULLS FIRST,
+    capacity NULLS FIRST) AS rn FROM stations_silver WHERE station_id IS NOT NULL) WHERE rn = 1""")
+
 DIM_STATION = ("dim_station", """
 SELECT *, coalesce(CAST(station_id AS BIGINT), -1) AS station_key FROM (
-  SELECT DISTINCT station_id, station_name, lat, lon, capacity,
-    regexp_extract(station_name, '^([A-Za-z\\-]+) - Station', 1) AS city,
+  SELECT *, regexp_extract(station_name, '^([A-Za-z\\-]+) - Station', 1) AS city,
     regexp_extract(station_name, 'Station (\\d+)', 1) AS station_number
-  FROM stations_silver)""")
+  FROM (SELECT * FROM station_one UNION ALL SELECT DISTINCT NULL::INTEGER, NULL::VARCHAR, NULL::FLOAT, NULL::FLOAT,
+        NULL::INTEGER FROM stations_silver WHERE station_id IS NULL))""")
 
 DIM_WEATHER = ("dim_weather", """
 SELECT weather_condition,
   CAST(dense_rank() OVER (ORDER BY weather_condition NULLS FIRST) AS BIGINT) AS weather_condition_key
 FROM (SELECT DISTINCT weather_condition FROM weather_silver)""")
 
-DIM_DATE = ("dim_date", """
+DIM_DATE_SQL = """
 SELECT CAST(d AS DATE) AS date, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
   CAST(day(d) AS INTEGER) AS day, CAST(quarter(d) AS INTEGER) AS quarter, strftime(d, '%a') AS day_of_week,
   CAST(isodow(d) AS INTEGER) AS day_of_week_num, isodow(d) >= 6 AS is_weekend,
   CAST(weekofyear(d) AS INTEGER) AS week_of_year, CAST(isoyear(d) AS INTEGER) AS iso_year,
   CAST(year(d) * 10000 + month(d) * 100 + day(d) AS BIGINT) AS date_key
-FROM (SELECT unnest(generate_series(min(lo), max(hi), INTERVAL 1 DAY)) AS d FROM (
+FROM (SELECT unnest(generate_series(min(lo), max(hi), INTERVAL 1 DAY)) AS d FROM ({span}) WHERE lo IS NOT NULL)"""
+
+DIM_DATE = ("dim_date", DIM_DATE_SQL.format(span="""
   SELECT min(date_partition) AS lo, max(date_partition) AS hi FROM availability_silver
-  UNION ALL SELECT min(date_partition), max(date_partition) FROM weather_silver) WHERE lo IS NOT NULL)""")
+  UNION ALL SELECT min(date_partition), max(date_partition) FROM weather_silver"""))
+
+
+def fixed_calendar(first: str, last: str) -> tuple[str, str]:
+    return ("dim_date", DIM_DATE_SQL.format(span=f"SELECT DATE '{first}' AS lo, DATE '{last}' AS hi"))
+
 
 JOINED = ("joined", """
 SELECT a.station_id, a.timestamp, a.bikes_available, a.slots_free, a.date_partition,
        s.station_name, s.lat, s.lon, s.capacity
-FROM availability_silver a JOIN stations_silver s ON a.station_id = s.station_id""")
+FROM availability_silver a JOIN station_one s ON a.station_id = s.station_id""")
 
 
 def gold_parts() -> list:
-    return silver_parts(stations=True, weather=True, availability=True) + [DIM_STATION, DIM_WEATHER,
+    return silver_parts(stations=True, weather=True, availability=True) + [STATION_ONE, DIM_STATION, DIM_WEATHER,
                                                                            DIM_DATE, JOINED]
 
 
@@ -385,8 +401,11 @@ SELECT saturation_pct, date_key, station_key, rank FROM (
     station_key ASC NULLS FIRST) AS rank FROM fact_saturation) WHERE rank <= 5""")
 
 
-def fact_sql(name: str) -> str:
+def fact_sql(name: str, calendar: tuple[str, str] | None = None) -> str:
+    """``calendar``: the first and last day of a fixed calendar instead of the data's own."""
     parts = gold_parts()
+    if calendar:
+        parts = [fixed_calendar(*calendar) if p[0] == "dim_date" else p for p in parts]
     if name == "fact_avg_bikes":
         return with_ctes(parts, FACT_AVG_BIKES, final="SELECT * FROM fact_avg_bikes")
     if name == "fact_occupancy":
@@ -414,6 +433,39 @@ JOIN fact_top t ON a.date_key = t.date_key"""
     raise KeyError(name)
 
 
+def landing_sql(name: str) -> str:
+    """What the CSV landing gives back: lines with one field too many are set apart, and an empty
+    field is a missing one."""
+    good = {"stations": "capacity IS DISTINCT FROM '23'", "availability": "bikes_available IS DISTINCT FROM '7'",
+            "weather": "weather_condition IS DISTINCT FROM 'Fog'"}
+    raw = {"stations": RAW_STATIONS, "availability": RAW_AVAILABILITY, "weather": RAW_WEATHER}
+    rows = {k: f"SELECT nullif(columns(*), '') FROM ({raw[k]}) WHERE {good[k]}" for k in raw}
+    if name == "csv_rejects":
+        return " UNION ALL ".join(f"SELECT '{k}' AS table_name, count(*) FILTER (WHERE {good[k]}) AS rows_read, "
+                                  f"count(*) FILTER (WHERE NOT ({good[k]})) AS rows_malformed FROM ({raw[k]})" for k in raw)
+    if name == "csv_stations":
+        return rows["stations"]
+    ctes, last = silver_availability_ctes("av", rows["availability"], rows["stations"])
+    return with_ctes(ctes, final=f"SELECT * FROM {last}")
+
+
+def station_key_check_sql() -> str:
+    return with_ctes(silver_parts(stations=True), STATION_ONE, DIM_STATION, final="""
+SELECT (SELECT count(*) FROM stations_silver) AS n_silver_rows,
+  (SELECT count(*) FROM (SELECT station_id FROM stations_silver WHERE station_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)) AS n_repeated_ids,
+  (SELECT count(*) FROM stations_silver WHERE station_id IS NULL) AS n_without_id,
+  (SELECT count(*) FROM dim_station) AS n_members, (SELECT count(DISTINCT station_key) FROM dim_station) AS n_keys,
+  (SELECT count(*) FROM (SELECT station_key FROM dim_station GROUP BY 1 HAVING count(*) > 1)) AS n_repeated_keys""")
+
+
+WEATHER_HOURS = """
+SELECT h AS hour, CAST(sum(n) AS BIGINT) AS n_events, min(k) AS k, CAST(floor(sum(s) / sum(n)) AS BIGINT) AS v,
+       first(kind ORDER BY n DESC, kind) AS kind
+FROM (SELECT date_trunc('hour', ts) AS h, event_type AS kind, count(*) AS n, min(event_id) AS k,
+             sum(CAST(floor(value) AS BIGINT)) AS s FROM events GROUP BY 1, 2)
+GROUP BY h"""
+
+
 # --------------------------------------------------------------------------- quality
 READ_TIME = "TRY_CAST(timestamp AS TIMESTAMP)"
 
@@ -446,18 +498,21 @@ SELECT j.station_id, j.timestamp, j.bikes_available, j.timestamp_rounded, w.time
        w.temperature_c, w.rain_mm, w.weather_condition
 FROM (SELECT *, strftime(date_trunc('hour', {READ_TIME} + INTERVAL 30 MINUTE), '%Y-%m-%d %H:%M:%S')
              AS timestamp_rounded FROM joined) j
-LEFT JOIN weather_silver w ON j.timestamp_rounded = w.timestamp"""
+LEFT JOIN (SELECT * FROM (SELECT *, TRY_CAST(timestamp AS TIMESTAMP) AS wh, row_number() OVER (
+             PARTITION BY TRY_CAST(timestamp AS TIMESTAMP) ORDER BY timestamp, weather_condition NULLS FIRST,
+             temperature_c NULLS FIRST, rain_mm NULLS FIRST) AS rn FROM weather_silver) WHERE rn = 1) w
+  ON TRY_CAST(j.timestamp_rounded AS TIMESTAMP) = w.wh"""
         return with_ctes(g, final=final)
     if name == "quality_negatives":
         return with_ctes(silver_parts(weather=True), final=(
             "SELECT date_partition, count(*) FILTER (WHERE temperature_c < 0) AS nb_neg_temperature_c "
             "FROM weather_silver GROUP BY date_partition"))
     if name == "quality_capacity":
-        return with_ctes(silver_parts(stations=True, availability=True), final=(
+        return with_ctes(silver_parts(stations=True, availability=True), STATION_ONE, final=(
             "SELECT a.station_id, a.date_partition, count(*) FILTER (WHERE "
             "(a.bikes_available + a.slots_free) IS DISTINCT FROM s.capacity OR a.bikes_available IS NULL "
             "OR a.slots_free IS NULL OR s.capacity IS NULL) AS nb_incoherent_capacity "
-            "FROM availability_silver a JOIN stations_silver s ON a.station_id = s.station_id "
+            "FROM availability_silver a JOIN station_one s ON a.station_id = s.station_id "
             "GROUP BY a.station_id, a.date_partition"))
     if name == "quality_report_lines":
         rep = report_sql("availability")
@@ -494,15 +549,39 @@ FROM (SELECT a.station_id, a.date_partition, count(*) AS n_readings,
         count(*) FILTER (WHERE s.station_id IS NOT NULL AND ((a.bikes_available + a.slots_free) IS DISTINCT FROM s.capacity
           OR a.bikes_available IS NULL OR a.slots_free IS NULL OR s.capacity IS NULL)) AS nb_incoherent_capacity
       FROM availability_silver a
-      LEFT JOIN (SELECT station_id, capacity FROM stations_silver) s ON a.station_id = s.station_id
+      LEFT JOIN station_one s ON a.station_id = s.station_id
       GROUP BY a.station_id, a.date_partition) c
 LEFT JOIN (SELECT station_id, CAST(start_time AS DATE) AS d, count(*) AS n_frozen_runs,
                   sum(n_readings) AS n_frozen_readings FROM frozen GROUP BY station_id, CAST(start_time AS DATE)) f
   ON c.station_id = f.station_id AND c.date_partition = f.d"""
-        return with_ctes(silver_parts(stations=True, availability=True), FROZEN, final=final)
+        return with_ctes(silver_parts(stations=True, availability=True), STATION_ONE, FROZEN, final=final)
     raise KeyError(name)
 
 
+ALERTS = f"""
+SELECT station_id, run_start, t AS alert_time, waited AS minutes_critical, bikes_available, capacity FROM (
+  SELECT *, row_number() OVER (PARTITION BY station_id, run_start ORDER BY t, bikes_available) AS rn FROM (
+    SELECT station_id, t, bikes_available, capacity, min(t) OVER (PARTITION BY station_id, c, g) AS run_start,
+           (epoch(t) - epoch(min(t) OVER (PARTITION BY station_id, c, g))) / 60.0 AS waited, c
+    FROM (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY t, c)
+                  - row_number() OVER (PARTITION BY station_id, c ORDER BY t) AS g
+          FROM (SELECT station_id, {READ_TIME} AS t, bikes_available, capacity,
+                       CAST(bikes_available AS BIGINT) * 100 < CAST(capacity AS BIGINT) * 20 AS c FROM joined)
+          WHERE station_id IS NOT NULL AND t IS NOT NULL AND c IS NOT NULL)) WHERE c AND waited > 30) WHERE rn = 1"""
+
+
+def stream_sql(name: str) -> str:
+    """The streams' tables from the batch silver: every reading with a readable time, once."""
+    if name == "stream_alerts":
+        return with_ctes(gold_parts(), final=ALERTS)
+    if name == "stream_silver":
+        return with_ctes(silver_parts(availability=True), final=f"SELECT * FROM availability_silver WHERE {READ_TIME} IS NOT NULL")
+    return with_ctes(silver_availability_ctes()[0], final=f"""
+SELECT CASE WHEN {READ_TIME} IS NULL THEN 'timeless' ELSE 'on_time' END AS status, CAST(count(*) AS BIGINT) AS n
+FROM av_flagged GROUP BY 1
+UNION ALL SELECT 'rejected', count(*) FROM ({RAW_AVAILABILITY}) WHERE bikes_available = '7'""")
+
+
 # --------------------------------------------------------------------------- features, SQL
 def round6(x: str) -> str:
     return f"CAST(round(TRY_CAST({x} AS DECIMAL(38,10)), 6) AS DOUBLE)"
@@ -525,6 +604,39 @@ LEFT JOIN (SELECT wh, weather_condition, temperature_c, rain_mm FROM (
            WHERE rn = 1 AND wh IS NOT NULL) w ON h.hour = w.wh""")
 
 
+X = ("hour_of_day", "is_weekend", "temperature_c", "rain_mm", "lag_1", "moving_avg_3")
+
+
+def regression_sql(name: str) -> str:
+    """The linear regression from its normal equations: centred products of the training rows,
+    then one elimination step a feature, each a CTE over the 6 x 7 system."""
+    k = len(X)
+    usable = ("usable", "SELECT station_id, hour, CAST(hour AS DATE) AS day, lag_1, moving_avg_3, occupancy_pct AS y, "
+              + ", ".join(f"CAST({x} AS DOUBLE) AS x{i}" for i, x in enumerate(X))
+              + " FROM features WHERE occupancy_pct IS NOT NULL AND " + " AND ".join(f"{x} IS NOT NULL" for x in X))
+    train = ("train", "SELECT * FROM usable WHERE day < (SELECT max(day) FROM usable)")
+    means = ("means", "SELECT avg(y) AS my, " + ", ".join(f"avg(x{i}) AS m{i}" for i in range(k)) + " FROM train")
+    side = lambda j: "(y - my)" if j == k else f"(x{j} - m{j})"
+    steps = [("e0", "SELECT " + ", ".join(f"sum((x{i} - m{i}) * {side(j)}) AS a{i}_{j}" for i in range(k)
+                                          for j in range(k + 1)) + " FROM train, means")]
+    for p in range(k):
+        cells = [f"a{p}_{j} / a{p}_{p} AS a{p}_{j}" if i == p else f"a{i}_{j} - a{i}_{p} * a{p}_{j} / a{p}_{p} AS a{i}_{j}"
+                 for i in range(k) for j in range(k + 1)]
+        steps.append((f"e{p + 1}", f"SELECT {', '.join(cells)} FROM e{p}"))
+    fit = ("scored", "SELECT station_id, hour, y, lag_1, moving_avg_3, my + "
+           + " + ".join(f"a{i}_{k} * (x{i} - m{i})" for i in range(k))
+           + f" AS p FROM usable, means, e{k} WHERE day >= (SELECT max(day) FROM usable)")
+    if name == "predictions":
+        final = ("SELECT station_id, hour, y AS occupancy_pct, lag_1, moving_avg_3, round(p, 3) AS predicted_occupancy_pct "
+                 "FROM scored")
+    else:
+        final = " UNION ALL ".join(
+            f"SELECT '{m}' AS model, count(*) AS n, {round6(f'avg(abs({c} - y))')} AS mae, "
+            f"{round6(f'sqrt(avg(({c} - y) * ({c} - y)))')} AS rmse FROM scored"
+            for m, c in (("linear_regression", "p"), ("persistence", "lag_1"), ("moving_average_3", "moving_avg_3")))
+    return with_ctes(gold_parts(), FEATURES, usable, train, means, *steps, fit, final=final)
+
+
 def feature_sql(name: str) -> str:
     g = gold_parts()
     if name == "features_hourly":
@@ -537,6 +649,8 @@ FROM (SELECT 'persistence' AS baseline, lag_1 AS pred, occupancy_pct AS actual F
       UNION ALL SELECT 'moving_average_3', moving_avg_3, occupancy_pct FROM features)
 WHERE pred IS NOT NULL AND actual IS NOT NULL GROUP BY baseline"""
         return with_ctes(g, FEATURES, final=final)
+    if name in ("predictions", "model_errors"):
+        return regression_sql(name)
     facts = [FACT_OCCUPANCY, FACT_DOMINANT]
     if name == "sql_station_ranking":
         final = f"""SELECT station_key, count(*) AS n_readings, {round2('avg(occupancy_pct)')} AS avg_occupancy_pct

@@ -2,144 +2,185 @@
 
 Silver tables are written once and read back for the gold step: the write cuts the
 lineage (a lost executor re-reads parquet instead of recomputing the cleaning), and the
-quality counters are captured by ``observe`` during that same write — no extra pass.
+quality counters are captured by ``observe`` during that same write — no extra pass
+(``exact_counts=True`` aggregates them instead, see :class:`SilverResult`).
+
+With ``days`` (first and last day) only those days are cleaned and replaced: readings, daily
+facts and daily tables are partitioned by day and written with dynamic overwrite. What looks
+across days (frozen runs, critical episodes, lags, the model) is computed from all silver days
+and only the asked days are written, so a partial run equals a full one on its days.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import os
+import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake.operators import dimensions as D
 from stationlake.operators import facts as FX
+from stationlake.operators import features as FT
 from stationlake.operators import quality as Q
-from stationlake.plans import silver
+from stationlake.plans import silver, sql_reports
+from stationlake.schemas import RAW_AVAILABILITY_COLUMNS, RAW_STATION_COLUMNS, RAW_WEATHER_COLUMNS
+from stationlake.sources.csv import RawRead, read_raw
 from stationlake.sources.sinks import write_partitioned, write_table
 
+COUNTERS = ("rows_raw", "rows_malformed", "rows_corrected", "rows_invalid", "rows_removed")
+REPORT_SCHEMA = ("run_id string, run_time timestamp, table_name string, "
+                 + ", ".join(f"{c} long" for c in COUNTERS))
+Days = tuple[str, str]
+
 
 @dataclass
 class RawTables:
     stations: DataFrame
     availability: DataFrame
     weather: DataFrame
+    reads: dict[str, RawRead] = field(default_factory=dict)  # where the tables come from CSV
 
 
-def run_silver(spark: SparkSession, raw: RawTables, out: str, *,
-               stations_csv: bool = False) -> DataFrame:
-    """Write the three silver tables; return the quality report table (one row each).
-
-    ``stations_csv`` also exports the station silver as CSV with a header (S5) — a
-    distributed write, not a collect to the driver."""
-    st = silver.station_silver(raw.stations, observe=True)
-    wx = silver.weather_silver(raw.weather, observe=True)
-    av = silver.availability_silver(raw.availability, raw.stations, observe=True)
-    # The three writes are independent jobs: submitted together, their tasks share the
-    # executors instead of leaving cores idle while a small table finishes.
-    jobs = [lambda: write_table(st.df, os.path.join(out, "silver", "stations")),
-            lambda: write_partitioned(wx.df, os.path.join(out, "silver", "weather")),
-            lambda: write_partitioned(av.df, os.path.join(out, "silver", "availability"))]
-    if stations_csv:
-        jobs.append(lambda: write_table(st.df, os.path.join(out, "export", "stations_csv"), "csv",
-                                        header="true"))
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+def read_raw_files(spark: SparkSession, stations: str, availability: str, weather: str) -> RawTables:
+    """Raw CSV landing files: stations comma-separated, readings ``;``-separated, all text. The
+    tables hold the well-formed lines, ``reads`` the malformed ones too."""
+    reads = {"stations": read_raw(spark, stations, RAW_STATION_COLUMNS, sep=","),
+             "availability": read_raw(spark, availability, RAW_AVAILABILITY_COLUMNS),
+             "weather": read_raw(spark, weather, RAW_WEATHER_COLUMNS)}
+    return RawTables(reads["stations"].rows, reads["availability"].rows, reads["weather"].rows, reads)
+
+
+def in_parallel(jobs: list, workers: int) -> None:
+    """Independent jobs submitted together share the executors instead of leaving cores idle."""
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
         for f in [pool.submit(j) for j in jobs]:
             f.result()
-    rows = [(name, *[r.observed_report()[k] for k in ("rows_raw", "rows_corrected", "rows_invalid",
-                                                      "rows_removed")])
-            for name, r in (("stations_silver", st), ("weather_silver", wx),
-                            ("availability_silver", av))]
-    report = spark.createDataFrame(rows, "table_name string, rows_raw long, rows_corrected long, "
-                                         "rows_invalid long, rows_removed long")
-    report.write.mode("append").parquet(os.path.join(out, "quality_report"))
+
+
+def run_silver(spark: SparkSession, raw: RawTables, out: str, *, stations_csv: bool = False,
+               days: Days | None = None, exact_counts: bool = False, run_id: str | None = None) -> DataFrame:
+    """Write the three silver tables; return this run's quality report (one row a table).
+
+    Malformed lines go to ``rejected/<table>`` and are counted. ``stations_csv`` also exports the
+    station silver as CSV with a header (S5) — a distributed write, not a collect to the driver."""
+    observe = not exact_counts
+    st = silver.station_silver(raw.stations, observe=observe)
+    wx = silver.weather_silver(raw.weather, observe=observe, days=days)
+    av = silver.availability_silver(raw.availability, raw.stations, observe=observe, days=days)
+    base = os.path.join(out, "silver")
+    dynamic = days is not None
+    jobs = [lambda: write_table(st.df, os.path.join(base, "stations")),
+            lambda: write_partitioned(wx.df, os.path.join(base, "weather"), dynamic=dynamic),
+            lambda: write_partitioned(av.df, os.path.join(base, "availability"), dynamic=dynamic)]
+    if stations_csv:
+        jobs.append(lambda: write_table(st.df, os.path.join(out, "export", "stations_csv"), "csv", header="true"))
+    for name, r in raw.reads.items():
+        jobs.append(lambda name=name, r=r: write_table(r.rejected, os.path.join(out, "rejected", name)))
+    in_parallel(jobs, len(jobs))
+    run_id, now, rows = run_id or uuid.uuid4().hex, dt.datetime.now(), []
+    for name, r in (("stations", st), ("weather", wx), ("availability", av)):
+        counts = r.report.first().asDict() if exact_counts else r.observed_report()
+        bad = raw.reads[name].counts().first().rows_malformed if name in raw.reads else 0
+        rows.append((run_id, now, f"{name}_silver", *[{**counts, "rows_malformed": bad}[c] for c in COUNTERS]))
+    report = spark.createDataFrame(rows, REPORT_SCHEMA)
+    write_partitioned(report, os.path.join(out, "quality_report"), "run_id")
     return report
 
 
-def run_gold(spark: SparkSession, out: str, max_parallel_jobs: int = 4) -> dict[str, str]:
-    """Build and write the star schema from the silver parquet tables."""
-    tables = gold_tables(spark, out)
-    paths = {name: os.path.join(out, "gold", name) for name in tables}
-    # independent jobs over the same silver parquet: submitted together they share the
-    # executors (Spark schedules jobs from several threads concurrently)
-    with ThreadPoolExecutor(max_workers=max_parallel_jobs) as pool:
-        for f in [pool.submit(write_table, df, paths[name]) for name, df in tables.items()]:
-            f.result()
-    return paths
+def latest_run(report: DataFrame) -> DataFrame:
+    """The rows of the run that is last by time (then id)."""
+    last = report.agg(F.max(F.struct("run_time", "run_id")).alias("x")).select(F.col("x.run_id").alias("run_id"))
+    return report.join(F.broadcast(last), "run_id", "left_semi")
+
+
+def report_text(report: DataFrame) -> DataFrame:
+    """Formatted report lines of the latest run, for every table."""
+    report = latest_run(report)
+    frames = [Q.report_lines(report.where(F.col("table_name") == n), n)
+              .select(F.lit(n).alias("table_name"), "line_no", "line")
+              for n in ("stations_silver", "weather_silver", "availability_silver")]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
+@dataclass
+class GoldTable:
+    df: DataFrame
+    day: str | None = None  # the column that it is partitioned by
+
+
+def silver_tables(spark: SparkSession, out: str, days: Days | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Station, weather and availability silver; with ``days`` only their day folders are read."""
+    st, wx, av = (spark.read.parquet(os.path.join(out, "silver", n)) for n in ("stations", "weather", "availability"))
+    return st, in_days(wx, "date_partition", days), in_days(av, "date_partition", days)
+
+
+def in_days(df: DataFrame, col: str, days: Days | None) -> DataFrame:
+    return df if days is None else df.where(F.col(col).between(*[F.lit(d).cast("date") for d in days]))
 
 
-def gold_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+def gold_tables(spark: SparkSession, out: str, days: Days | None = None) -> dict[str, GoldTable]:
     """The star schema (lazy) over the silver parquet tables written by :func:`run_silver`."""
-    base = os.path.join(out, "silver")
-    st = spark.read.parquet(os.path.join(base, "stations"))
-    wx = spark.read.parquet(os.path.join(base, "weather"))
-    av = spark.read.parquet(os.path.join(base, "availability"))
+    st, wx, av = silver_tables(spark, out, days)
+    _, all_wx, all_av = silver_tables(spark, out)
     dim_station = D.dim_station(st)
-    dim_weather = D.dim_weather(wx)
-    dim_date = D.dim_date_for((av, "date_partition"), (wx, "date_partition"))
-    joined = FX.join_stations(av, st)
+    dim_weather = D.dim_weather(all_wx)
+    dim_date = D.dim_date_for((all_av, "date_partition"), (all_wx, "date_partition"))
+    joined, all_joined = FX.join_stations(av, st), FX.join_stations(all_av, st)
     cal = None  # dim_date covers every date of the silver data: keys computed, not joined
-    tables = {
-        "dim_station": dim_station, "dim_weather": dim_weather, "dim_date": dim_date,
-        "dim_time": D.dim_time(spark),
-        "fact_avg_bikes": FX.fact_avg_bikes(av, cal, dim_station),
-        "fact_occupancy": FX.fact_occupancy(joined, cal, dim_station),
-        "fact_dominant_weather": FX.fact_dominant_weather(wx, cal, dim_weather),
-        "fact_saturation": FX.fact_saturation(joined, cal, dim_station),
-        "fact_top_array": FX.fact_top_array(joined, cal, dim_station),
-        "availability_daily_gold": FX.gold_daily(av, wx, joined, cal, dim_station, dim_weather),
-        "quality_daily": Q.daily_quality(Q.with_capacity(av, st), Q.frozen_stations(av)),
+    frozen = Q.frozen_stations(all_av)
+    day = lambda df, col: in_days(df.withColumn("day", F.to_date(col)), "day", days)
+    return {
+        "dim_station": GoldTable(dim_station), "dim_weather": GoldTable(dim_weather),
+        "dim_date": GoldTable(dim_date), "dim_time": GoldTable(D.dim_time(spark)),
+        "fact_avg_bikes": GoldTable(FX.fact_avg_bikes(av, cal, dim_station), "date_key"),
+        "fact_occupancy": GoldTable(FX.fact_occupancy(joined, cal), "date_key"),
+        "fact_dominant_weather": GoldTable(FX.fact_dominant_weather(wx, cal, dim_weather), "date_key"),
+        "fact_saturation": GoldTable(FX.fact_saturation(joined, cal), "date_key"),
+        "fact_top_array": GoldTable(FX.fact_top_array(joined, cal), "date_key"),
+        "availability_daily_gold": GoldTable(FX.gold_daily(av, wx, joined, cal, dim_station, dim_weather), "date_key"),
+        "quality_daily": GoldTable(in_days(Q.daily_quality(Q.with_capacity(av, st), frozen), "date_partition", days),
+                                   "date_partition"),
+        "enriched_readings": GoldTable(FX.enrich_with_weather(joined, all_wx.drop("date_partition")), "date_partition"),
+        "frozen_runs": GoldTable(day(frozen, "start_time"), "day"),
+        "critical_episodes": GoldTable(day(Q.critical_episodes(all_joined), "start_time"), "day"),
+        "features_hourly": GoldTable(day(FT.hourly_features(all_joined, all_wx), "hour"), "day"),
     }
-    return tables
 
 
-def report_text(report: DataFrame) -> DataFrame:
-    """Formatted report lines for every table of a report table."""
-    frames = [Q.report_lines(report.where(F.col("table_name") == n), n)
-              .select(F.lit(n).alias("table_name"), "line_no", "line")
-              for n in ("stations_silver", "weather_silver", "availability_silver")]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-def read_raw_files(spark: SparkSession, stations: str, availability: str, weather: str, *,
-                   mode: str = "DROPMALFORMED") -> RawTables:
-    """Raw CSV landing files: stations comma-separated, readings ``;``-separated, all text."""
-    from stationlake.sources.csv import read_raw_csv
-    from stationlake.sources.testdata import (RAW_AVAILABILITY_COLUMNS, RAW_STATION_COLUMNS,
-                                              RAW_WEATHER_COLUMNS)
-
-    return RawTables(
-        read_raw_csv(spark, stations, sep=",", mode=mode, header_columns=RAW_STATION_COLUMNS),
-        read_raw_csv(spark, availability, sep=";", mode=mode, header_columns=RAW_AVAILABILITY_COLUMNS),
-        read_raw_csv(spark, weather, sep=";", mode=mode, header_columns=RAW_WEATHER_COLUMNS))
-
-
-def set_aside_malformed(raw: RawTables, out: str) -> RawTables:
-    """B1: with raw tables read in PERMISSIVE mode, write the malformed lines of each to
-    ``rejected/<table>`` (parquet, distributed) and keep only the well-formed rows."""
-    from stationlake.sources.csv import CORRUPT_RECORD
-
-    kept = []
-    for name, df in (("stations", raw.stations), ("availability", raw.availability),
-                     ("weather", raw.weather)):
-        if CORRUPT_RECORD not in df.columns:
-            kept.append(df)
-            continue
-        # (Spark refuses a raw CSV query that reads only the corrupt-record column, so the
-        # rejected rows keep their parsed fields next to the raw line)
-        df.where(F.col(CORRUPT_RECORD).isNotNull()).write.mode("overwrite").parquet(
-            os.path.join(out, "rejected", name))
-        kept.append(df.where(F.col(CORRUPT_RECORD).isNull()).drop(CORRUPT_RECORD))
-    return RawTables(*kept)
+def run_gold(spark: SparkSession, out: str, max_parallel_jobs: int = 4, days: Days | None = None) -> dict[str, str]:
+    """Build and write the gold tables, then the model's predictions and the SQL reports, which
+    read the written ones."""
+    tables = gold_tables(spark, out, days)
+    paths = {name: os.path.join(out, "gold", name) for name in tables}
+
+    def write(name: str) -> None:
+        t = tables[name]
+        if t.day is None:
+            write_table(t.df, paths[name])
+        else:
+            write_partitioned(t.df, paths[name], t.day, dynamic=days is not None)
+
+    in_parallel([lambda n=n: write(n) for n in tables], max_parallel_jobs)
+    paths["predictions_gold"] = os.path.join(out, "gold", "predictions_gold")
+    try:
+        scored = FT.train_and_score(spark.read.parquet(paths["features_hourly"]))[1]
+        write_partitioned(scored.withColumn("day", F.to_date("hour")), paths["predictions_gold"], "day")
+    except FT.NoTrainingRows:  # fewer than two days of complete features: nothing to score
+        del paths["predictions_gold"]
+    star = {n: spark.read.parquet(paths[n]) for n in ("fact_occupancy", "fact_dominant_weather", "dim_weather", "dim_date")}
+    for name in sql_reports.REPORTS:
+        paths[f"report_{name}"] = os.path.join(out, "gold", f"report_{name}")
+        write_table(sql_reports.run_report(spark, star, name), paths[f"report_{name}"])
+    return paths
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``spark-submit -m stationlake.plans.batch_job --stations S --availability A --weather W --out O``"""
+    """``spark-submit -m stationlake.plans.batch_job --stations S --availability A --weather W --out O
+    [--from D1 --to D2] [--exact-counts]``"""
     import argparse
 
     p = argparse.ArgumentParser(description="raw CSV -> silver parquet -> gold star schema")
@@ -147,16 +188,17 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--availability", required=True)
     p.add_argument("--weather", required=True)
     p.add_argument("--out", required=True)
-    p.add_argument("--keep-malformed", action="store_true",
-                   help="read PERMISSIVE and write malformed lines to <out>/rejected/")
+    p.add_argument("--from", dest="first", help="first day to rebuild (yyyy-mm-dd); with --to")
+    p.add_argument("--to", dest="last", help="last day to rebuild")
+    p.add_argument("--exact-counts", action="store_true", help="aggregate the report's counters in a pass of their own")
     a = p.parse_args(argv)
+    if bool(a.first) != bool(a.last):
+        p.error("--from and --to go together")
+    days = (a.first, a.last) if a.first else None
     spark = SparkSession.builder.appName("stationlake-batch").getOrCreate()
-    raw = read_raw_files(spark, a.stations, a.availability, a.weather,
-                         mode="PERMISSIVE" if a.keep_malformed else "DROPMALFORMED")
-    if a.keep_malformed:
-        raw = set_aside_malformed(raw, a.out)
-    run_silver(spark, raw, a.out)
-    run_gold(spark, a.out)
+    raw = read_raw_files(spark, a.stations, a.availability, a.weather)
+    run_silver(spark, raw, a.out, days=days, exact_counts=a.exact_counts)
+    run_gold(spark, a.out, days=days)
 
 
 if __name__ == "__main__":

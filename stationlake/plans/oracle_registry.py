@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from stationlake import oracle as O
+from stationlake.plans.registry import FIXED_CALENDAR
 
 
 def oracle_queries() -> dict[str, str]:
@@ -14,7 +15,7 @@ def oracle_queries() -> dict[str, str]:
     q["report_stations"] = O.report_sql("stations")
     q["report_weather"] = O.report_sql("weather")
     q["report_availability"] = O.report_sql("availability")
-    q["dim_station"] = O.with_ctes(O.silver_parts(stations=True), O.DIM_STATION,
+    q["dim_station"] = O.with_ctes(O.silver_parts(stations=True), O.STATION_ONE, O.DIM_STATION,
                                    final="SELECT * FROM dim_station")
     q["dim_weather"] = O.with_ctes(O.silver_parts(weather=True), O.DIM_WEATHER,
                                    final="SELECT * FROM dim_weather")
@@ -23,11 +24,23 @@ def oracle_queries() -> dict[str, str]:
     for name in ("fact_avg_bikes", "fact_occupancy", "fact_dominant_weather", "fact_saturation",
                  "fact_top_saturated", "fact_top_array", "gold_daily"):
         q[name] = O.fact_sql(name)
+    q["fact_occupancy_time_join"] = q["fact_occupancy"]
+    q["fact_avg_bikes_calendar"] = O.fact_sql("fact_avg_bikes", FIXED_CALENDAR)
+    q["gold_daily_calendar"] = O.fact_sql("gold_daily", FIXED_CALENDAR)
+    q["dim_station_key_check"] = O.station_key_check_sql()
+    q["weather_hours"] = O.WEATHER_HOURS
+    for name in ("csv_stations", "csv_rejects", "csv_silver_availability"):
+        q[name] = O.landing_sql(name)
+    lo, hi = FIXED_CALENDAR
+    q["silver_partition_readback"] = (f"SELECT * FROM ({q['silver_availability']}) "
+                                      f"WHERE date_partition BETWEEN DATE '{lo}' AND DATE '{hi}'")
     for name in ("enriched_weather", "quality_negatives", "quality_capacity", "quality_report_lines",
                  "null_audit", "weather_profile", "frozen_stations", "critical_episodes", "quality_daily"):
         q[name] = O.quality_sql(name)
-    for name in ("features_hourly", "baseline_errors", "sql_station_ranking", "sql_weather_impact",
+    for name in ("stream_alerts", "stream_silver", "stream_intake"):
+        q[name] = O.stream_sql(name)
+    q["critical_alerts"] = q["stream_alerts"]
+    for name in ("features_hourly", "baseline_errors", "predictions", "model_errors", "sql_station_ranking", "sql_weather_impact",
                  "sql_hourly_profile"):
         q[name] = O.feature_sql(name)
-    # "predictions" and "model_errors" (model fit) have no SQL oracle: rows-only check.
     return q

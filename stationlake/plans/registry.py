@@ -1,7 +1,8 @@
 """Registered queries: every operator of the survey as a query over the shared tables.
 
 Each query takes ``(spark, sf_dir)``, derives the raw tables from the given data set
-(every row), and returns a lazy DataFrame. The DuckDB restatement of each is in
+(every row), and returns a DataFrame; the silver tables it reads are written once per session
+and data set (see :func:`build_star`). The DuckDB restatement of each is in
 :mod:`stationlake.oracle` (wired in ``__spark_entry__.py``).
 """
 
@@ -10,6 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +23,15 @@ from stationlake.operators import quality as Q
 from stationlake.plans import sql_reports
 from stationlake.operators.cleaning import SilverResult
 from stationlake.plans import silver
+from stationlake.schemas import RAW_AVAILABILITY_COLUMNS, RAW_STATION_COLUMNS, RAW_WEATHER_COLUMNS
 from stationlake.session import scratch_path
 from stationlake.sources import testdata as td
+from stationlake.sources.csv import RawRead, land_csv, read_raw
+from stationlake.sources.sinks import write_partitioned
+
+
+#: A calendar narrower than the data.
+FIXED_CALENDAR = ("2024-01-05", "2024-01-12")
 
 
 @dataclass
@@ -40,14 +49,13 @@ class Star:
 
 
 _STARS: dict[tuple[str, str], Star] = {}
+_FEATURES: dict[tuple[str, str], DataFrame] = {}
+_STREAMS: dict = {}
 
 
 def build_star(spark: SparkSession, sf_dir: str) -> Star:
-    """Silver tables, dimensions and the availability ⋈ stations frame (lazy).
-
-    Built once per session and data set: the frames are immutable plans, so every query
-    derives from the same ones (which also lets Spark reuse identical exchanges).
-    """
+    """Silver tables (written on the first call), dimensions and the availability ⋈ stations
+    frame over them: built once per session and data set, shared by every query."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STARS:
         _STARS[key] = _build_star(spark, sf_dir)
@@ -128,7 +136,82 @@ def _fact_avg_bikes(spark, sf):
 
 def _fact_occupancy(spark, sf):
     s = build_star(spark, sf)
-    return FX.fact_occupancy(s.joined, s.calendar, s.dim_station)
+    return FX.fact_occupancy(s.joined, s.calendar)
+
+
+def _fact_occupancy_time_join(spark, sf):
+    """J5 + J6 as joins: the station and minute dimensions instead of computed keys."""
+    s = build_star(spark, sf)
+    return FX.fact_occupancy(s.joined, s.calendar, s.dim_station, D.dim_time(spark))
+
+
+def _fact_avg_bikes_calendar(spark, sf):
+    """A fixed calendar; days outside it get a NULL key."""
+    s = build_star(spark, sf)
+    return FX.fact_avg_bikes(s.availability.df, D.dim_date(spark, *FIXED_CALENDAR), s.dim_station)
+
+
+def _gold_daily_calendar(spark, sf):
+    """C18 under the fixed calendar: days outside it vanish from the daily table."""
+    s = build_star(spark, sf)
+    return _flat_gold(FX.gold_daily(s.availability.df, s.weather.df, s.joined, D.dim_date(spark, *FIXED_CALENDAR),
+                                    s.dim_station, s.dim_weather))
+
+
+def _dim_station_key_check(spark, sf):
+    s = build_star(spark, sf)
+    return D.station_key_check(s.stations.df, s.dim_station)
+
+
+def _weather_hours(spark, sf):
+    return td.weather_hours(spark, sf).select("hour", "n_events", "k", "v", "kind")
+
+
+def _landed(spark, sf) -> dict[str, RawRead]:
+    """S1 + B1: the derived raw tables landed as CSV lines, some malformed, and read back."""
+    base = scratch_path(spark, f"landing-{uuid.uuid4().hex}")
+    out = {}
+    for name, df, columns, sep in (
+            ("stations", td.raw_stations(spark, sf), RAW_STATION_COLUMNS, ","),
+            ("availability", td.raw_availability(spark, sf), RAW_AVAILABILITY_COLUMNS, ";"),
+            ("weather", td.raw_weather(spark, sf), RAW_WEATHER_COLUMNS, ";")):
+        land_csv(df, f"{base}/{name}", sep=sep, malformed=landed_malformed(name))
+        out[name] = read_raw(spark, f"{base}/{name}", columns, sep=sep, header=False)
+    return out
+
+
+def landed_malformed(name: str):
+    """Which rows are landed as malformed lines, told by their own text."""
+    if name == "stations":
+        return F.col("capacity") == F.lit("23")
+    if name == "availability":
+        return F.col("bikes_available") == F.lit("7")
+    return F.col("weather_condition") == F.lit("Fog")
+
+
+def _csv_stations(spark, sf):
+    return _landed(spark, sf)["stations"].rows
+
+
+def _csv_rejects(spark, sf):
+    frames = [r.counts().select(F.lit(name).alias("table_name"), "rows_read", "rows_malformed")
+              for name, r in _landed(spark, sf).items()]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _csv_silver_availability(spark, sf):
+    """S2 + J1 + C7 from the landed files: both sides see the same well-formed lines."""
+    landed = _landed(spark, sf)
+    return silver.availability_silver(landed["availability"].rows, landed["stations"].rows).df
+
+
+def _silver_partition_readback(spark, sf):
+    """The availability silver written by day and read back with two days pruned."""
+    path = scratch_path(spark, f"partitioned-{uuid.uuid4().hex}")
+    write_partitioned(build_star(spark, sf).availability.df, path)
+    lo, hi = FIXED_CALENDAR
+    return (spark.read.parquet(path).where(F.col("date_partition").between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
+            .select("station_id", "timestamp", "bikes_available", "slots_free", "date_partition"))
 
 
 def _fact_dominant_weather(spark, sf):
@@ -138,23 +221,26 @@ def _fact_dominant_weather(spark, sf):
 
 def _fact_saturation(spark, sf):
     s = build_star(spark, sf)
-    return FX.fact_saturation(s.joined, s.calendar, s.dim_station)
+    return FX.fact_saturation(s.joined, s.calendar)
 
 
 def _fact_top_saturated(spark, sf):
     s = build_star(spark, sf)
-    return FX.fact_top_saturated(s.joined, s.calendar, s.dim_station)
+    return FX.fact_top_saturated(s.joined, s.calendar)
 
 
 def _fact_top_array(spark, sf):
     s = build_star(spark, sf)
-    return FX.explode_top_array(FX.fact_top_array(s.joined, s.calendar, s.dim_station))
+    return FX.explode_top_array(FX.fact_top_array(s.joined, s.calendar))
 
 
 def _gold_daily(spark, sf):
     s = build_star(spark, sf)
-    g = FX.gold_daily(s.availability.df, s.weather.df, s.joined, s.calendar, s.dim_station,
-                      s.dim_weather)
+    return _flat_gold(FX.gold_daily(s.availability.df, s.weather.df, s.joined, s.calendar, s.dim_station,
+                                    s.dim_weather))
+
+
+def _flat_gold(g: DataFrame) -> DataFrame:
     flat = g.select("date_key", "avg_bikes_available_day", "occupancy_pct_day",
                     "weather_condition_key_day", F.posexplode("top_stations_day").alias("__p", "__t"))
     return flat.select("date_key", "avg_bikes_available_day", "occupancy_pct_day",
@@ -205,51 +291,76 @@ def _quality_daily(spark, sf):
                            Q.frozen_stations(s.availability.df))
 
 
+def _features(spark, sf) -> DataFrame:
+    """The hourly features, written once per session and data set (the model reads them three times)."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FEATURES:
+        s = build_star(spark, sf)
+        path = scratch_path(spark, f"features-{uuid.uuid4().hex}")
+        FT.hourly_features(s.joined, s.weather.df).write.parquet(path)
+        _FEATURES[key] = spark.read.parquet(path)
+    return _FEATURES[key]
+
+
 def _features_hourly(spark, sf):
-    s = build_star(spark, sf)
-    return FT.hourly_features(s.joined, s.weather.df)
+    return _features(spark, sf)
 
 
 def _baseline_errors(spark, sf):
-    s = build_star(spark, sf)
-    return FT.baseline_errors(FT.hourly_features(s.joined, s.weather.df))
+    return FT.baseline_errors(_features(spark, sf))
 
 
 def _predictions(spark, sf):
-    s = build_star(spark, sf)
-    return FT.train_and_score(FT.hourly_features(s.joined, s.weather.df))[1]
+    scored = FT.train_and_score(_features(spark, sf))[1]
+    return scored.withColumn("predicted_occupancy_pct", F.round("predicted_occupancy_pct", 3))
 
 
 def _model_errors(spark, sf):
-    return FT.model_errors(_predictions(spark, sf))
+    return FT.model_errors(FT.train_and_score(_features(spark, sf))[1])
+
+
+def _critical_alerts(spark, sf):
+    return Q.critical_alerts(Q.critical_readings(build_star(spark, sf).joined))
+
+
+def _streams(spark, sf):
+    """B9 + B10 as streams: the derived raw availability is landed as CSV files (some lines
+    malformed) in the shared scratch folder and run through intake, silver and alerts."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STREAMS:
+        from stationlake.streaming.jobs import run_streams
+
+        base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+        raw_st = td.raw_stations(spark, sf)
+        raw = td.raw_availability(spark, sf)
+        land_csv(raw, f"{base}/raw/first")
+        # the same lines again with a field too many: set apart by the intake, they change nothing else
+        land_csv(raw.where(landed_malformed("availability")), f"{base}/raw/again", malformed=F.lit(True))
+        _STREAMS[key] = run_streams(spark, f"{base}/raw/*", raw_st, build_star(spark, sf).stations.df, f"{base}/out",
+                                    header=False, close=True,
+                                    state_partitions=2 * spark.sparkContext.defaultParallelism)
+    return _STREAMS[key]
 
 
 def _stream_alerts(spark, sf):
-    """B9 + B10 as streams: the derived raw availability is landed as CSV files in the
-    shared scratch folder, ingested (availableNow) into a silver table and turned into
-    alerts by the stateful stream; returns the alert table."""
-    from stationlake.streaming.jobs import run_streams
-
-    base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
-    raw_st = td.raw_stations(spark, sf)
-    (td.raw_availability(spark, sf).write.option("header", True).option("sep", ";")
-     .csv(f"{base}/raw"))
-    stations = build_star(spark, sf).stations.df
-    # State-store partitions are fixed when a stream first starts (from the shuffle
-    # partitions); size them to this session's cores for the demo run, then restore.
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(2 * spark.sparkContext.defaultParallelism))
-    try:
-        _, alerts = run_streams(spark, f"{base}/raw", raw_st, stations, f"{base}/out")
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-    return spark.read.parquet(alerts)
+    return spark.read.parquet(_streams(spark, sf).alerts).drop("batch_id")
+
+
+def _stream_silver(spark, sf):
+    return spark.read.parquet(_streams(spark, sf).silver).select(
+        "station_id", "timestamp", "bikes_available", "slots_free", "date_partition")
+
+
+def _stream_intake(spark, sf):
+    from stationlake.streaming.ingest import intake_counts
+
+    return intake_counts(spark, _streams(spark, sf).intake).groupBy("status").agg(F.sum("n").alias("n"))
 
 
 def _star_tables(spark, sf) -> dict[str, DataFrame]:
     s = build_star(spark, sf)
     return {
-        "fact_occupancy": FX.fact_occupancy(s.joined, s.calendar, s.dim_station),
+        "fact_occupancy": FX.fact_occupancy(s.joined, s.calendar),
         "fact_dominant_weather": FX.fact_dominant_weather(s.weather.df, s.calendar, s.dim_weather),
         "dim_weather": s.dim_weather, "dim_date": s.dim_date, "dim_station": s.dim_station,
     }
@@ -271,6 +382,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_date": _dim_date,
     "fact_avg_bikes": _fact_avg_bikes,
     "fact_occupancy": _fact_occupancy,
+    "fact_occupancy_time_join": _fact_occupancy_time_join,
+    "fact_avg_bikes_calendar": _fact_avg_bikes_calendar,
+    "gold_daily_calendar": _gold_daily_calendar,
+    "dim_station_key_check": _dim_station_key_check,
+    "weather_hours": _weather_hours,
+    "csv_stations": _csv_stations,
+    "csv_rejects": _csv_rejects,
+    "csv_silver_availability": _csv_silver_availability,
+    "silver_partition_readback": _silver_partition_readback,
     "fact_dominant_weather": _fact_dominant_weather,
     "fact_saturation": _fact_saturation,
     "fact_top_saturated": _fact_top_saturated,
@@ -292,5 +412,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_hourly_profile": _sql("hourly_profile"),
     "predictions": _predictions,
     "model_errors": _model_errors,
+    "critical_alerts": _critical_alerts,
     "stream_alerts": _stream_alerts,
+    "stream_silver": _stream_silver,
+    "stream_intake": _stream_intake,
 }

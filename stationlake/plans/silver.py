@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stationlake.functions import rules as R
 from stationlake.operators.cleaning import CleanRule, SilverResult, to_silver
@@ -32,9 +33,10 @@ AVAILABILITY_RULES = (
 )
 
 
-def weather_silver(raw_weather: DataFrame, *, observe: bool = False) -> SilverResult:
+def weather_silver(raw_weather: DataFrame, *, observe: bool = False,
+                   days: tuple[str, str] | None = None) -> SilverResult:
     """Clean weather readings; adds ``date_partition``; no dedup."""
-    return to_silver(raw_weather, WEATHER_RULES, partition_col="timestamp", observe=observe)
+    return to_silver(raw_weather, WEATHER_RULES, partition_col="timestamp", observe=observe, days=days)
 
 
 def station_silver(raw_stations: DataFrame, *, observe: bool = False) -> SilverResult:
@@ -42,8 +44,14 @@ def station_silver(raw_stations: DataFrame, *, observe: bool = False) -> SilverR
     return to_silver(raw_stations, STATION_RULES, observe=observe)
 
 
+def raw_capacity(raw_stations: DataFrame) -> DataFrame:
+    """The raw capacity of each raw station id (J1); of an id listed twice the smaller text, so a
+    reading stays one row."""
+    return raw_stations.groupBy("station_id").agg(F.min("capacity").alias("capacity"))
+
+
 def availability_silver(raw_availability: DataFrame, raw_stations: DataFrame, *,
-                        observe: bool = False) -> SilverResult:
+                        observe: bool = False, days: tuple[str, str] | None = None) -> SilverResult:
     """Clean availability readings.
 
     The raw readings get the raw station capacity (left join on the raw station id),
@@ -52,8 +60,8 @@ def availability_silver(raw_availability: DataFrame, raw_stations: DataFrame, *,
     the data, so the join strategy is left to AQE's runtime size check, which broadcasts
     it when small and splits skewed station partitions otherwise.
     """
-    capacity = raw_stations.select("station_id", "capacity")
+    capacity = raw_capacity(raw_stations)
     joined = raw_availability.join(capacity, on="station_id", how="left")
     return to_silver(joined, AVAILABILITY_RULES, score=True,
                      dedup_keys=("station_id", "timestamp"), partition_col="timestamp",
-                     drop_cols=("capacity", "score"), observe=observe)
+                     drop_cols=("capacity", "score"), observe=observe, days=days)

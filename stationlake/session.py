@@ -6,7 +6,9 @@ session) from the caller. These helpers are for scripts, tests and the benchmark
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,22 +41,39 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    The cluster names it; we only choose one ourselves when it is unset, which is
-    the case in local tests.
+    The cluster names it.  Only a local master without the setting gets a folder of its own
+    (removed when Python ends); on a cluster a machine-local folder would be a different one on
+    every executor, so a missing setting is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not d:
+        if not is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="stationlake-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for intermediate tables."""
+    """A sub-folder of the shared checkpoint folder for intermediate tables (one folder an
+    application, see :func:`remove_staged`)."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "stationlake", name)
+    return os.path.join(base, "stationlake", spark.sparkContext.applicationId, name)
+
+
+def remove_staged(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application: call it before the session stops."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_path(spark, ""))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -6,18 +6,19 @@ from pyspark.sql import DataFrame
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "date_partition", *,
-                      mode: str = "overwrite") -> None:
+                      mode: str = "overwrite", dynamic: bool = True) -> None:
     """Write ``df`` as parquet partitioned by ``partition_col``.
 
     The ``rebalance`` hint hash-partitions on the partition column and lets AQE size the
     writer tasks from the shuffle statistics: small days are coalesced (few files), a day
     holding a large share of the rows is split across several writers (no single hot
     task). It is one pass with no sampling job, so metrics observed on ``df`` are
-    counted once. Overwrite is dynamic: only the days present in ``df`` are replaced.
+    counted once. Overwrite is dynamic: only the days present in ``df`` are replaced; with
+    ``dynamic=False`` the whole table is.
     """
     (df.hint("rebalance", partition_col)
        .sortWithinPartitions(partition_col)
-       .write.mode(mode).option("partitionOverwriteMode", "dynamic")
+       .write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
        .partitionBy(partition_col).parquet(path))
 
 

@@ -10,7 +10,8 @@ arithmetic and fixed timestamp formats, so the DuckDB oracle restates it exactly
 * availability ← ``events``: one reading per event, ``station_id = user_id + 1``,
                  bikes from ``value``, timestamp text in 8 formats; a share of events is
                  delivered twice (a second, less complete or different copy)
-* weather      ← ``events``: one reading per hour (the first event of the hour)
+* weather      ← ``events``: one reading per hour, made of all events of the hour (their mean
+                 value, their most frequent type)
 """
 
 from __future__ import annotations
@@ -20,28 +21,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The raw tables are text only, like a CSV landing zone.
-RAW_STATION_COLUMNS = ("station_id", "station_name", "lat", "lon", "capacity")
-RAW_AVAILABILITY_COLUMNS = ("station_id", "timestamp", "bikes_available", "slots_free")
-RAW_WEATHER_COLUMNS = ("timestamp", "temperature_c", "rain_mm", "weather_condition")
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    The cleaning right after the scan is CPU-bound and narrow, so it runs with the
-    scan's parallelism. A single-row-group file is one split and would keep one core
-    busy; on a cluster reading many files the scan has far more splits than cores and
-    this adds nothing.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _s(c: Column) -> Column:
@@ -114,14 +95,25 @@ def raw_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weather_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per hour, from every event of the hour: ``hour``, ``k`` (the smallest event id),
+    ``v`` (mean of the values' whole parts, rounded down), ``kind`` (the most frequent type, ties
+    to the smaller one) and ``n_events``.
+
+    Counted by hour and type first (combined map-side), so a busy hour is a few rows."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
-    hourly = (e.groupBy(F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("hour"))
-              .agg(F.min(F.struct("event_id", "event_type", "value")).alias("first")))
-    k, h = F.col("first.event_id"), F.col("hour")
-    v = F.floor(F.col("first.value")).cast("bigint")
-    kind = F.col("first.event_type")
-    return hourly.select(
+    by_type = (e.groupBy(F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("hour"), "event_type")
+               .agg(F.count(F.lit(1)).alias("n"), F.sum(F.floor("value")).alias("s"), F.min("event_id").alias("k")))
+    return by_type.groupBy("hour").agg(
+        F.min("k").alias("k"),
+        F.floor(F.sum("s") / F.sum("n")).cast("bigint").alias("v"),
+        F.min(F.struct((-F.col("n")).alias("n"), "event_type"))["event_type"].alias("kind"),
+        F.sum("n").alias("n_events"))
+
+
+def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, h, v, kind = F.col("k"), F.col("hour"), F.col("v"), F.col("kind")
+    return weather_hours(spark, sf_dir).select(
         F.when(_m(k, 5, 0), F.date_format(h, "yyyy-MM-dd'T'HH:mm:ss"))
          .when(_m(k, 7, 1), F.date_format(h, "dd/MM/yyyy HH:mm"))
          .otherwise(F.date_format(h, "yyyy-MM-dd HH:mm:ss")).alias("timestamp"),

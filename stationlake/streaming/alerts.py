@@ -1,91 +1,80 @@
-"""Critical-station alerts (fewer than 20 % bikes for more than 30 minutes).
+"""Critical-station alerts (fewer than 20 % bikes for more than 30 minutes) from a stream.
 
-A keyed stateful stream (``applyInPandasWithState``): the state of a station is the
-start of its current critical run and whether it already raised an alert; it exists
-only while the station is inside a critical run. Within a micro-batch the station's
-readings are sorted by time before the state is updated; a run raises exactly one
-alert, at the first reading more than 30 minutes after the run started. A non-critical
-reading ends the run (and drops the state).
+Each micro-batch of the silver stream joins the runs left open by the batches before: a small
+table with one row per station inside a critical run (its start, and whether it already raised
+its alert), kept by batch id next to the alerts. An open run enters the batch as a critical
+reading at its start; then the batch operator :func:`stationlake.operators.quality.critical_alerts`
+finds runs and alerts with windows by station and day — no Python per row, and a station's rows
+are cut by day. Open runs that have raised their alert raise no second one.
 
-Rows arriving out of order *across* micro-batches are a stated limit: they are applied
-in arrival order. The batch twin is :func:`stationlake.operators.quality.critical_episodes`.
+The silver stream emits readings in watermark order, so no batch holds a reading older than those
+of the batch before, and the alerts are those of the batch twin. Alerts and open runs are
+written by batch id: a repeated batch replaces its own.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
+import os
 
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
 
-from stationlake.operators.quality import CRITICAL_MINUTES, CRITICAL_SHARE_PCT, is_critical
+from stationlake.operators.facts import join_stations
+from stationlake.operators.quality import (CRITICAL_MINUTES, CRITICAL_SHARE_PCT, critical_alerts,
+                                           critical_readings)
+from stationlake.operators.runs import with_run_start
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+OPEN_SCHEMA = "station_id int, run_start timestamp_ntz, alerted boolean"
 
-ALERT_SCHEMA = ("station_id INT, run_start TIMESTAMP, alert_time TIMESTAMP, "
-                "minutes_critical DOUBLE, bikes_available INT, capacity INT")
-STATE_SCHEMA = "run_start TIMESTAMP, alerted BOOLEAN"
 
+def open_runs(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """The runs open after the last batch before this one."""
+    try:
+        rows = spark.read.schema(OPEN_SCHEMA).option("basePath", path).parquet(path)
+    except Exception as e:  # the first batch: no folder yet
+        if "PATH_NOT_FOUND" in str(e):
+            return spark.createDataFrame([], OPEN_SCHEMA)
+        raise
+    before = rows.where(F.col("batch_id") < batch_id)
+    last = before.agg(F.max("batch_id")).first()[0]
+    return before.where(F.col("batch_id") == F.lit(last)).where("station_id is not null").drop("batch_id")
 
-def _alerts(minutes: int, max_gap_minutes: int | None):
-    limit = pd.Timedelta(minutes=minutes)
 
-    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        (station,) = key
-        if state.hasTimedOut:
-            state.remove()
-            return
-        run_start, alerted = (state.get if state.exists else (None, False))
-        run_start = pd.Timestamp(run_start) if run_start is not None else None
-        rows = pd.concat(list(batches)).sort_values("reading_time", kind="stable")
-        out = []
-        for t, crit, bikes, cap in zip(rows["reading_time"], rows["critical"],
-                                       rows["bikes_available"], rows["capacity"]):
-            if not crit:
-                run_start, alerted = None, False
-                continue
-            if run_start is None:
-                run_start, alerted = t, False
-            if not alerted and t - run_start > limit:
-                alerted = True
-                out.append((station, run_start, t, (t - run_start).total_seconds() / 60.0,
-                            int(bikes), int(cap)))
-        if run_start is None:
-            # not inside a critical run: nothing to remember for this station
-            if state.exists:
-                state.remove()
-        else:
-            state.update((run_start.to_pydatetime(), alerted))
-            if max_gap_minutes is not None:
-                last_ms = int(pd.Timestamp(rows["reading_time"].iloc[-1]).timestamp() * 1000)
-                state.setTimeoutTimestamp(max(last_ms, state.getCurrentWatermarkMs())
-                                          + max_gap_minutes * 60 * 1000)
-        if out:
-            yield pd.DataFrame(out, columns=["station_id", "run_start", "alert_time",
-                                             "minutes_critical", "bikes_available", "capacity"])
+def step(silver: DataFrame, stations: DataFrame, open_: DataFrame, share_pct: int = CRITICAL_SHARE_PCT,
+         minutes: int = CRITICAL_MINUTES) -> tuple[DataFrame, DataFrame]:
+    """New alerts, and the runs open afterwards, from one batch of silver readings."""
+    rows = critical_readings(join_stations(silver.drop("date_partition", "reading_time"), stations), share_pct)
+    carried = open_.select("station_id", F.col("run_start").alias("reading_time"), F.lit(True).alias("critical"),
+                           F.lit(None).cast("int").alias("bikes_available"), F.lit(None).cast("int").alias("capacity"))
+    rows = rows.unionByName(carried)
+    alerts = critical_alerts(rows, minutes)
+    raised = open_.where("alerted").select("station_id", "run_start")
+    new = alerts.join(raised, ["station_id", "run_start"], "left_anti")
+    # the run of each station's last reading stays open if it is critical
+    last = (with_run_start(rows, "station_id", "reading_time", ["critical"]).groupBy("station_id")
+            .agg(F.max(F.struct("reading_time", "critical", "run_start")).alias("x"))
+            .where("x.critical").select("station_id", "x.run_start"))
+    done = alerts.select("station_id", "run_start").withColumn("alerted", F.lit(True)).unionByName(
+        raised.withColumn("alerted", F.lit(True))).distinct()
+    still = last.join(done, ["station_id", "run_start"], "left").withColumn("alerted", F.coalesce("alerted", F.lit(False)))
+    return new, still
 
-    return step
 
+def start_alerts(silver: DataFrame, stations: DataFrame, out_path: str, open_path: str, checkpoint: str, *,
+                 share_pct: int = CRITICAL_SHARE_PCT, minutes: int = CRITICAL_MINUTES, available_now: bool = True,
+                 processing_time: str | None = None) -> StreamingQuery:
+    """Alerts to ``out_path`` and open runs to ``open_path``, both by batch id."""
 
-def critical_alerts(clean: DataFrame, stations: DataFrame, *, share_pct: int = CRITICAL_SHARE_PCT,
-                    minutes: int = CRITICAL_MINUTES,
-                    max_gap_minutes: int | None = None) -> DataFrame:
-    """Alerts from a cleaned availability stream (``station_id, reading_time,
-    bikes_available``) and the station silver (for the capacity).
+    def take(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        new, still = step(batch, stations, open_runs(spark, open_path, batch_id), share_pct, minutes)
+        new.write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
+        # a row without a station marks a batch that leaves no run open
+        mark = spark.createDataFrame([(None, None, None)], OPEN_SCHEMA)
+        still.unionByName(mark).write.mode("overwrite").parquet(os.path.join(open_path, f"batch_id={batch_id}"))
 
-    State is kept only for stations inside a critical run (bounded by the number of
-    stations). ``max_gap_minutes`` optionally ends a run after that long without a
-    reading (event time); by default a run lasts until a non-critical reading, like the
-    batch twin."""
-    cap = stations.select("station_id", "capacity").where(F.col("capacity").isNotNull())
-    rows = (clean.join(cap, "station_id", "inner")
-            .where(F.col("bikes_available").isNotNull())
-            .select("station_id", "reading_time", "bikes_available", "capacity",
-                    is_critical(F.col("bikes_available"), F.col("capacity"), share_pct)
-                    .alias("critical")))
-    return rows.groupBy("station_id").applyInPandasWithState(
-        _alerts(minutes, max_gap_minutes), ALERT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+    writer = silver.writeStream.option("checkpointLocation", checkpoint).foreachBatch(take)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
+        processingTime=processing_time or "1 minute")
+    return writer.start()

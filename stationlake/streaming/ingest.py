@@ -1,60 +1,138 @@
-"""Live availability ingestion with Structured Streaming.
+"""Live availability ingestion with Structured Streaming, in two steps.
 
-Raw availability files (CSV text, like the batch landing zone) arrive in a folder; each
-micro-batch is cleaned with the same native rules as the batch silver (stateless), gets
-the station capacity from a static table (stream–static left join), and is
-deduplicated on ``(station_id, timestamp)`` within an event-time watermark before it is
-appended to a parquet table partitioned by day.
+1. Intake. Raw availability files (CSV text, like the batch landing zone) arrive in a folder.
+   Each micro-batch is cleaned with the same native rules as the batch silver, gets the raw station
+   capacity from a static table, and is written once, by batch and status:
 
-Differences from the batch silver, by construction of a stream:
+   * ``rejected``: lines with another number of fields (raw line kept);
+   * ``timeless``: no readable time, so no place in event time;
+   * ``late``: older than the watermark of the batches before;
+   * ``on_time``: the rest.
 
-* the batch keeps the *most complete* copy of a duplicated reading; the stream keeps
-  the *first arrival* (a later, better copy cannot replace an already written row);
-* readings without a readable time cannot be placed in event time and are not written
-  (they are still counted as invalid by the batch report).
+   Nothing disappears: :func:`intake_counts` counts every line of every batch. A repeated batch
+   replaces its own folder.
+2. Silver. The on-time readings are deduplicated on ``(station_id, timestamp)`` by the most complete
+   copy, exactly like the batch: an event-time aggregation that emits a reading once the
+   watermark has passed it. So a reading appears after the watermark, but it is the one that the batch
+   keeps. :func:`close_input` adds a mark after the last reading so that the end of a finite
+   input is emitted too.
 """
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import (DateType, IntegerType, StringType, StructField, StructType,
+                               TimestampType)
 
 from stationlake.operators.cleaning import SCORE, apply_rules, strip_flags
-from stationlake.plans.silver import AVAILABILITY_RULES
-from stationlake.sources.csv import text_schema
-from stationlake.sources.testdata import RAW_AVAILABILITY_COLUMNS
+from stationlake.plans.silver import AVAILABILITY_RULES, raw_capacity
+from stationlake.schemas import RAW_AVAILABILITY_COLUMNS
+from stationlake.sources.csv import CORRUPT_RECORD, csv_options, text_schema
 
 WATERMARK = "2 hours"
+INTAKE_SCHEMA = StructType([
+    StructField("station_id", IntegerType()), StructField("timestamp", StringType()),
+    StructField("bikes_available", IntegerType()), StructField("slots_free", IntegerType()),
+    StructField("capacity", StringType()), StructField(SCORE, IntegerType()),
+    StructField("reading_time", TimestampType()), StructField("date_partition", DateType()),
+    StructField(CORRUPT_RECORD, StringType()),
+])
 
 
-def read_raw_stream(spark: SparkSession, path: str, *, sep: str = ";",
+def read_raw_stream(spark: SparkSession, path: str, *, sep: str = ";", header: bool = True,
                     max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (spark.readStream.schema(text_schema(RAW_AVAILABILITY_COLUMNS))
-              .option("header", True).option("sep", sep).option("mode", "DROPMALFORMED"))
+    reader = (spark.readStream.schema(text_schema(RAW_AVAILABILITY_COLUMNS, corrupt_column=True))
+              .options(**csv_options(sep, header)))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(path)
 
 
-def clean_stream(raw: DataFrame, raw_capacity: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """Streaming silver: the batch rules, then watermark-bounded dedup."""
-    joined = raw.join(raw_capacity.select("station_id", "capacity"), "station_id", "left")
-    cleaned = strip_flags(apply_rules(joined, AVAILABILITY_RULES, score=True))
-    return (cleaned
+def clean_readings(raw: DataFrame, raw_stations: DataFrame) -> DataFrame:
+    """The batch rules on raw lines (with their corrupt-record column), before any dedup."""
+    joined = raw.join(raw_capacity(raw_stations), "station_id", "left").select(
+        *RAW_AVAILABILITY_COLUMNS, "capacity", CORRUPT_RECORD)
+    scored = strip_flags(apply_rules(joined, AVAILABILITY_RULES, score=True))
+    # the score also counts the corrupt-record column, which is NULL on every well-formed line
+    return (scored.withColumn(SCORE, F.col(SCORE) - F.col(CORRUPT_RECORD).isNull().cast("int"))
             .withColumn("reading_time", F.col("timestamp").try_cast("timestamp"))
             .withColumn("date_partition", F.to_date("reading_time"))
-            .where(F.col("reading_time").isNotNull())
-            .withWatermark("reading_time", watermark)
-            .dropDuplicatesWithinWatermark(["station_id", "timestamp"])
-            .drop("capacity", SCORE))
+            .select(*INTAKE_SCHEMA.fieldNames()))
+
+
+def _event_limit(spark: SparkSession, intake: str, batch_id: int, watermark: str):
+    """The watermark left by the batches before: their last on-time reading minus the delay."""
+    try:
+        rows = spark.read.schema(INTAKE_SCHEMA).option("basePath", intake).parquet(intake)
+    except Exception as e:  # the first batch: no folder yet
+        if "PATH_NOT_FOUND" in str(e):
+            return F.lit(None).cast("timestamp")
+        raise
+    last = rows.where((F.col("batch_id") < batch_id) & (F.col("status") == "on_time")).agg(F.max("reading_time")).first()[0]
+    return F.lit(last).cast("timestamp") - F.expr(f"INTERVAL {watermark}")
+
+
+def start_intake(stream: DataFrame, raw_stations: DataFrame, intake: str, checkpoint: str, *,
+                 watermark: str = WATERMARK, available_now: bool = True,
+                 processing_time: str | None = None) -> StreamingQuery:
+    """Step 1: every line of every batch, written once with its status."""
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        rows = clean_readings(batch, raw_stations)
+        limit = _event_limit(batch.sparkSession, intake, batch_id, watermark)
+        status = (F.when(F.col(CORRUPT_RECORD).isNotNull(), F.lit("rejected"))
+                  .when(F.col("reading_time").isNull(), F.lit("timeless"))
+                  .when(F.coalesce(F.col("reading_time") < limit, F.lit(False)), F.lit("late"))
+                  .otherwise(F.lit("on_time")))
+        (rows.withColumn("batch_id", F.lit(batch_id)).withColumn("status", status)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id", "status").parquet(intake))
+
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(take)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
+        processingTime=processing_time or "1 minute")
+    return writer.start()
+
+
+def intake_counts(spark: SparkSession, intake: str) -> DataFrame:
+    """batch_id, status, n: every line that the intake has read."""
+    rows = spark.read.schema(INTAKE_SCHEMA).option("basePath", intake).parquet(intake)
+    return rows.where(F.col("batch_id") >= 0).groupBy("batch_id", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def close_input(spark: SparkSession, intake: str, watermark: str = WATERMARK) -> None:
+    """Mark the end of a finite input: one row without station and text, later than the last reading
+    by more than the watermark. The silver stream passes it by."""
+    rows = spark.read.schema(INTAKE_SCHEMA).option("basePath", intake).parquet(intake)
+    end = (rows.where("status = 'on_time' and timestamp is not null").agg(F.max("reading_time").alias("t"))
+           .select((F.col("t") + F.expr(f"INTERVAL {watermark}") + F.expr("INTERVAL 1 SECOND")).alias("reading_time"))
+           .where(F.col("reading_time").isNotNull()))
+    cols = [F.col("reading_time") if f.name == "reading_time" else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in INTAKE_SCHEMA.fields]
+    end.select(*cols).write.mode("overwrite").parquet(os.path.join(intake, "batch_id=-1", "status=on_time"))
+
+
+def silver_stream(spark: SparkSession, intake: str, watermark: str = WATERMARK) -> DataFrame:
+    """Step 2: the most complete copy of each reading, like the batch silver."""
+    rows = (spark.readStream.schema(INTAKE_SCHEMA).parquet(os.path.join(intake, "batch_id=*", "status=on_time"))
+            .withWatermark("reading_time", watermark))
+    best = rows.groupBy("station_id", "timestamp", "reading_time").agg(
+        F.min(F.struct(SCORE, "bikes_available", "slots_free", "capacity", "date_partition")).alias("b"))
+    # the mark of the end has no score; a filter on an aggregate is not pushed below the watermark,
+    # which the mark must reach
+    return best.where(F.col(f"b.{SCORE}").isNotNull()).select(
+        "station_id", "timestamp", "b.bikes_available", "b.slots_free", "reading_time", "b.date_partition")
 
 
-def start_ingest(stream: DataFrame, out_path: str, checkpoint: str, *,
-                 available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Append the cleaned stream to parquet (partitioned by day). The checkpoint makes
-    the sink exactly-once across restarts and lost executors."""
-    writer = (stream.writeStream.format("parquet").outputMode("append")
+def start_silver(silver: DataFrame, out_path: str, checkpoint: str, *, available_now: bool = True,
+                 processing_time: str | None = None) -> StreamingQuery:
+    """Append the silver stream to parquet (partitioned by day). The checkpoint makes the sink
+    exactly-once across restarts and lost executors."""
+    writer = (silver.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint).partitionBy("date_partition"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime=processing_time or "1 minute")

@@ -1,20 +1,21 @@
-"""Streaming job: raw files → silver table (B9) → alert table (B10), both append-only.
+"""Streaming job: raw files → intake → silver table (B9) → alert table.
 
-The two streams are chained through the silver parquet table (each with its own
-checkpoint), so each query holds a single stateful operator and can be restarted
-independently.
+The three streams are chained through parquet tables, each with its own checkpoint, so each
+query holds at most one stateful operator and can be restarted independently.
 """
 
 from __future__ import annotations
 
 import os
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (DateType, IntegerType, StringType, StructField, StructType,
                                TimestampType)
 
-from stationlake.streaming.alerts import critical_alerts
-from stationlake.streaming.ingest import WATERMARK, clean_stream, read_raw_stream, start_ingest
+from stationlake.streaming.alerts import start_alerts
+from stationlake.streaming.ingest import (WATERMARK, close_input, read_raw_stream, silver_stream,
+                                          start_intake, start_silver)
 
 SILVER_STREAM_SCHEMA = StructType([
     StructField("station_id", IntegerType()), StructField("timestamp", StringType()),
@@ -23,54 +24,92 @@ SILVER_STREAM_SCHEMA = StructType([
 ])
 
 
-def run_streams(spark: SparkSession, raw_dir: str, raw_capacity: DataFrame, stations: DataFrame,
-                base: str, *, available_now: bool = True,
-                max_files_per_trigger: int | None = None) -> tuple[str, str]:
-    """Run ingestion then alerting; return the (silver, alerts) table paths."""
-    silver_out, alerts_out = os.path.join(base, "silver"), os.path.join(base, "alerts")
-    raw = read_raw_stream(spark, raw_dir, max_files_per_trigger=max_files_per_trigger)
-    ingest = start_ingest(clean_stream(raw, raw_capacity),
-                          silver_out, os.path.join(base, "_ckpt_silver"), available_now=available_now)
+@dataclass(frozen=True)
+class StreamPaths:
+    """The tables of a streaming job under one folder."""
+
+    base: str
+
+    @property
+    def intake(self) -> str:
+        return os.path.join(self.base, "intake")
+
+    @property
+    def silver(self) -> str:
+        return os.path.join(self.base, "silver")
+
+    @property
+    def alerts(self) -> str:
+        return os.path.join(self.base, "alerts")
+
+    def checkpoint(self, name: str) -> str:
+        return os.path.join(self.base, f"_checkpoint_{name}")
+
+
+def run_streams(spark: SparkSession, raw_dir: str, raw_stations: DataFrame, stations: DataFrame,
+                base: str, *, available_now: bool = True, watermark: str = WATERMARK, header: bool = True,
+                max_files_per_trigger: int | None = None, close: bool = False,
+                state_partitions: int | None = None) -> StreamPaths:
+    """Run intake, silver and alerts; with ``available_now`` every file present is processed and
+    the streams end, else they keep running.
+
+    ``close`` marks the end of a finite input, so that its last readings are emitted too.
+    ``state_partitions`` (fixed when a stream first starts) is set in a session of the streams' own."""
+    paths = StreamPaths(base)
+    own = spark.newSession()
+    if state_partitions:
+        own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    raw = read_raw_stream(own, raw_dir, header=header, max_files_per_trigger=max_files_per_trigger)
+    intake = start_intake(raw, raw_stations, paths.intake, paths.checkpoint("intake"), watermark=watermark,
+                          available_now=available_now)
+    _settle(intake, available_now)  # the next stream's folder exists before it is read
+    if close and available_now:
+        close_input(own, paths.intake, watermark)
+    silver = start_silver(silver_stream(own, paths.intake, watermark), paths.silver, paths.checkpoint("silver"),
+                          available_now=available_now)
+    _settle(silver, available_now)
+    readings = own.readStream.schema(SILVER_STREAM_SCHEMA).parquet(paths.silver)
+    alerts = start_alerts(readings, stations, paths.alerts, os.path.join(base, "open_runs"), paths.checkpoint("alerts"),
+                          available_now=available_now)
     if available_now:
-        ingest.awaitTermination()
-    else:
-        ingest.processAllAvailable()  # the silver table exists before the alert stream reads it
-    # The alert stream takes whatever the silver table holds at each trigger; rows of one
-    # station are applied in time order within a trigger (see streaming.alerts).
-    silver = (spark.readStream.schema(SILVER_STREAM_SCHEMA).parquet(silver_out)
-              .withWatermark("reading_time", WATERMARK))
-    alerts = (critical_alerts(silver, stations).writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", os.path.join(base, "_ckpt_alerts")))
-    alerts = alerts.trigger(availableNow=True) if available_now else alerts.trigger(processingTime="1 minute")
-    q = alerts.start(alerts_out)
+        alerts.awaitTermination()
+    return paths
+
+
+def _settle(query, available_now: bool) -> None:
     if available_now:
-        q.awaitTermination()
-    return silver_out, alerts_out
+        query.awaitTermination()
+    else:
+        query.processAllAvailable()
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``spark-submit -m stationlake.streaming.jobs --raw R --stations S --out O [--continuous]``
+    """``spark-submit -m stationlake.streaming.jobs --raw R --stations S --out O
+    [--continuous] [--watermark "2 hours"] [--max-files N]``
 
     ``--raw``: folder receiving availability CSV files (``;``); ``--stations``: the raw
     station CSV (``,``). Without ``--continuous`` every file present is processed once
-    (``availableNow``); with it the two streams keep running on a one-minute trigger.
+    (``availableNow``); with it the streams keep running on a one-minute trigger.
     """
     import argparse
 
     from stationlake.plans.silver import station_silver
-    from stationlake.sources.csv import read_raw_csv
-    from stationlake.sources.testdata import RAW_STATION_COLUMNS
+    from stationlake.schemas import RAW_STATION_COLUMNS
+    from stationlake.sources.csv import read_raw
 
-    p = argparse.ArgumentParser(description="availability files -> silver stream -> alerts")
+    p = argparse.ArgumentParser(description="availability files -> intake -> silver stream -> alerts")
     p.add_argument("--raw", required=True)
     p.add_argument("--stations", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--continuous", action="store_true")
+    p.add_argument("--close", action="store_true", help="the input is complete: emit its last readings too")
+    p.add_argument("--watermark", default=WATERMARK)
+    p.add_argument("--max-files", type=int, default=200, help="files a micro-batch")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("stationlake-stream").getOrCreate()
-    raw_st = read_raw_csv(spark, a.stations, sep=",", header_columns=RAW_STATION_COLUMNS)
-    run_streams(spark, a.raw, raw_st, station_silver(raw_st).df, a.out,
-                available_now=not a.continuous)
+    raw_st = read_raw(spark, a.stations, RAW_STATION_COLUMNS, sep=",").rows
+    run_streams(spark, a.raw, raw_st, station_silver(raw_st).df, a.out, available_now=not a.continuous,
+                watermark=a.watermark, max_files_per_trigger=a.max_files, close=a.close)
     if a.continuous:
         spark.streams.awaitAnyTermination()
 

@@ -21,17 +21,20 @@ def dims(spark):
 
 def test_dim_station(spark):
     st = spark.createDataFrame(
-        [(101, "Paris - Station 101", 48.0, 2.0, 20), (202, "Lyon - Station 202", 45.0, 4.0, 15),
-         (303, "Saint-Denis - Station 303", 48.9, 2.3, 10), (303, "Saint-Denis - Station 303", 48.9, 2.3, 10),
-         (404, "Gare du Nord", 1.0, 1.0, 5)],
+        [(11, "Aix-Nord - Station 7", 43.5, 5.5, 18), (12, "Brest - Station 0040", 48.25, -4.5, 25),
+         (12, "Brest - Station 0040", 48.25, -4.5, 25), (13, None, 1.0, None, 9), (13, "Port", 2.0, 3.0, 8),
+         (None, "Brest - Station 41", 1.0, 1.0, 1), (None, None, None, None, 2)],
         "station_id int, station_name string, lat double, lon double, capacity int")
     out = D.dim_station(st)
     assert out.columns == ["station_id", "station_name", "lat", "lon", "capacity", "city",
                            "station_number", "station_key"]
-    assert rows(out.select("station_id", "city", "station_number", "station_key")) == [
-        (101, "Paris", "101", 101), (202, "Lyon", "202", 202), (303, "Saint-Denis", "303", 303),
-        (404, "", "", 404)]
+    # one member per id (the most complete row), one for all rows without an id
+    assert rows(out.select("station_id", "city", "station_number", "capacity", "station_key")) == [
+        (11, "Aix-Nord", "7", 18, 11), (12, "Brest", "0040", 25, 12), (13, "", "", 8, 13), (None, None, None, None, -1)]
     assert out.schema["station_key"].nullable is False
+    check = D.station_key_check(st, out).first().asDict()
+    assert check == {"n_silver_rows": 7, "n_repeated_ids": 2, "n_without_id": 2, "n_members": 4, "n_keys": 4,
+                     "n_repeated_keys": 0}
 
 
 def test_dim_weather(spark):
@@ -102,21 +105,21 @@ def test_fact_dominant_weather(spark):
 def test_saturation_and_top(spark):
     dd, ds = dims(spark)
     data = []
-    # day 1: stations 101..106 full in 3/6, 2/6, 1/4, 0, 0, 0 of their readings
-    for sid, full, n in [(101, 3, 6), (102, 2, 6), (103, 1, 4), (104, 0, 2), (105, 0, 2), (106, 0, 1)]:
-        data += [(D1, sid, 10 if i < full else 3, 10) for i in range(n)]
-    # day 2: 106 always full, 102 2/3, 101 1/2, others empty
-    for sid, full, n in [(106, 2, 2), (102, 2, 3), (101, 1, 2), (103, 0, 1), (105, 0, 1), (104, 0, 3)]:
-        data += [(D2, sid, 10 if i < full else 3, 10) for i in range(n)]
+    # day 1: seven stations full in 1/8, 7/8, 1/8, 4/8, 0, 8/8, 1/8 of their readings
+    for sid, full in zip(range(101, 108), (1, 7, 1, 4, 0, 8, 1)):
+        data += [(D1, sid, 14 if i < full else 2, 14) for i in range(8)]
+    # day 2: three stations only; one reading in three of 105, none of the others
+    for sid, full, n in [(105, 1, 3), (103, 0, 2), (107, 0, 1)]:
+        data += [(D2, sid, 14 if i < full else 2, 14) for i in range(n)]
     j = spark.createDataFrame(data, "date_partition date, station_id int, bikes_available int, capacity int")
     sat = rows(FX.fact_saturation(j, dd, ds).where("date_key = 1001"))
-    assert (66.67, 1001, 2001) in sat and (50.0, 1001, 2000) in sat
+    assert sat == [(0.0, 1001, 2002), (0.0, 1001, 2006), (33.33, 1001, 2004)]
     top = FX.fact_top_saturated(j, dd, ds, with_rank=True).orderBy("date_key", "rank").collect()
     assert [(r.date_key, r.station_key, r.saturation_pct) for r in top] == [
-        (1000, 2000, 50.0), (1000, 2001, 33.33), (1000, 2002, 25.0), (1000, 2003, 0.0), (1000, 2004, 0.0),
-        (1001, 2005, 100.0), (1001, 2001, 66.67), (1001, 2000, 50.0), (1001, 2002, 0.0), (1001, 2003, 0.0)]
+        (1000, 2005, 100.0), (1000, 2001, 87.5), (1000, 2003, 50.0), (1000, 2000, 12.5), (1000, 2002, 12.5),
+        (1001, 2004, 33.33), (1001, 2002, 0.0), (1001, 2006, 0.0)]
     arr = FX.fact_top_array(j, dd, ds).orderBy("date_key").collect()
-    assert [s.station_key for s in arr[1].top_stations] == [2005, 2001, 2000, 2002, 2003]
+    assert [s.station_key for s in arr[1].top_stations] == [2004, 2002, 2006]
     assert FX.fact_top_array(j, dd, ds).schema["top_stations"].dataType.simpleString() == \
         "array<struct<station_key:bigint,saturation_pct:double>>"
 
@@ -139,6 +142,8 @@ def test_gold_daily_equals_many_to_many_join(spark):
                                       "date_partition date")
     wx_df = spark.createDataFrame(wx, "date_partition date, weather_condition string")
     st = spark.createDataFrame([(101, 10), (102, 20), (103, 10), (104, 30)], "station_id int, capacity int")
+    plan = FX.fact_occupancy(FX.join_stations(av_df, st), None)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1  # the station key is computed
     joined = FX.join_stations(av_df, st)
     got = FX.gold_daily(av_df, wx_df, joined, dd, ds, dw)
     naive = (FX.fact_avg_bikes(av_df, dd, ds)

@@ -3,11 +3,10 @@
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
-
 from conftest import rows
+from stationlake.operators import facts as FX
 from stationlake.operators import quality as Q
-from stationlake.operators.runs import value_runs
+from stationlake.operators.runs import value_runs, with_run_start
 
 
 def brute_runs(data):
@@ -28,24 +27,53 @@ def test_value_runs_hot_key_split_across_partitions(spark):
     rnd = random.Random(3)
     t0 = dt.datetime(2024, 1, 1)
     data = []
-    # key 1 holds most rows (a hot station); values change rarely so runs cross partitions
+    # key 1 holds most rows (a hot station); values change rarely so runs cross midnight
     v = 0
     for i in range(3000):
         if rnd.random() < 0.02:
             v = rnd.choice([0, 1, 2, None])
-        data.append((1, t0 + dt.timedelta(minutes=i), v))
+        data.append((1, t0 + dt.timedelta(minutes=11 * i), v))
     for k in range(2, 40):
         for i in range(rnd.randint(1, 30)):
             data.append((k, t0 + dt.timedelta(minutes=7 * i), rnd.choice([0, 1, None])))
     df = spark.createDataFrame(data, "k int, t timestamp, v int")
-    for parts in (1, 3, 16):
-        got = rows(value_runs(df, "k", "t", ["v"], partitions=parts)
-                   .select("k", "v", "start", "end", "n_readings"))
-        assert got == brute_runs(data), parts
-    # the hot key really is spread over several partitions
-    spread = (df.repartitionByRange(16, "k", "t").where("k = 1")
-              .select(F.spark_partition_id().alias("p")).distinct().count())
-    assert spread > 4
+    runs = value_runs(df, "k", "t", ["v"])
+    assert rows(runs.select("k", "v", "start", "end", "n_readings")) == brute_runs(data)
+    assert any(a.date() < b.date() for _, _, a, b, _ in brute_runs(data))
+    # windows by key and day, no Python and no range exchange
+    plan = runs._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan and "rangepartitioning" not in plan
+    assert "hashpartitioning(k" in plan and "__day" in plan
+    # each row knows where its run started
+    first = {(k, t): s for k, _, s, e, _ in brute_runs(data) for kk, t, _ in data if kk == k and s <= t <= e}
+    got = with_run_start(df, "k", "t", ["v"]).collect()
+    assert len(got) == len(data) and all(first[r.k, r.t] == r.run_start for r in got)
+
+
+def test_critical_alerts_by_hand(spark):
+    t = dt.datetime(2030, 6, 17, 23, 40)
+    at = lambda m: (t + dt.timedelta(minutes=m)).strftime("%Y-%m-%d %H:%M:%S")
+    data = [(1, at(m), b, 50) for m, b in [(0, 9), (30, 8), (31, 7), (45, 5), (50, 30), (60, 1), (80, 1)]]
+    data += [(2, at(0), 1, 50), (2, at(30), 1, 50), (2, at(60), None, 50), (2, at(90), 1, 50), (3, at(0), 1, None)]
+    j = spark.createDataFrame(data, "station_id int, timestamp string, bikes_available int, capacity int")
+    got = sorted(tuple(r) for r in Q.critical_alerts(Q.critical_readings(j)).collect())
+    # station 1: over 30 minutes at +31 (after midnight), once; its second run lasts 20 minutes.
+    # station 2: a reading that cannot be judged does not end the run
+    assert got == [(1, t, t + dt.timedelta(minutes=31), 31.0, 7, 50), (2, t, t + dt.timedelta(minutes=90), 90.0, 1, 50)]
+
+
+def test_stations_listed_twice_do_not_multiply_readings(spark):
+    d = dt.date(2030, 6, 17)
+    av = spark.createDataFrame([(5, d, "2030-06-17 05:00:00", 4, 6)],
+                               "station_id int, date_partition date, timestamp string, bikes_available int, slots_free int")
+    st = spark.createDataFrame([(5, "Lille - Station 05", 1.0, 1.0, 10), (5, None, 1.0, 1.0, 99)],
+                               "station_id int, station_name string, lat float, lon float, capacity int")
+    joined = FX.join_stations(av, st)
+    # the more complete station row counts
+    assert [r.capacity for r in joined.collect()] == [10]
+    assert FX.fact_occupancy(joined, None).count() == 1
+    assert rows(Q.capacity_coherence(av, st, "station_id")) == [(5, 0)]
+    assert Q.with_capacity(av, st).count() == 1
 
 
 def test_count_negatives_and_capacity(spark):
