@@ -5,8 +5,9 @@
    anew by weight until no target is above.
 2. A source's documents are dealt by a hash into blocks of about ``block_docs`` documents.  A
    source draws its blocks ``floor(target / words)`` times whole; what is left is drawn from
-   its blocks in a permuted order, the last of them only up to the document (in hash order)
-   nearest to the target.  So no document is drawn more than ``MAX_EPOCHS`` times.
+   its blocks in a permuted order, the last of them only in part: going through its documents in hash
+   order, each one that still fits, and then the one of the others whose size comes nearest to what is
+   missing, if it brings the sum nearer.  So no document is drawn more than ``MAX_EPOCHS`` times.
 3. The drawn blocks are dealt to output shards by a binary tree: each node holds how many
    blocks of each source it has to place, and splits these quotas between the shards of its
    left and right half by drawing without replacement (selection sampling over the node's
@@ -82,7 +83,8 @@ def source_targets(sized: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
 
 
 def block_draws(sized: DataFrame, targets: DataFrame, seed: int = SEED) -> DataFrame:
-    """rank, block, epoch, max_key (null: the whole block), seq (from 0 in the source), words of each drawn block."""
+    """rank, block, epoch, seq (from 0 in the source) and words of each drawn block; a block that is
+    drawn in part has ``keys``, those of the documents that are drawn (at most a block's)."""
     in_block = (sized.join(targets.select("source", "rank", "n_blocks"), sized["source"].eqNullSafe(targets["source"]))
                 .select("rank", (F.col("__key") % F.col("n_blocks")).alias("block"), "__key", "__size"))
     blocks = in_block.groupBy("rank", "block").agg(F.sum("__size").alias("words"))
@@ -95,14 +97,30 @@ def block_draws(sized: DataFrame, targets: DataFrame, seed: int = SEED) -> DataF
                     .withColumn("__left", F.col("rest") - (F.col("__end") - F.col("words"))), "mix-blocks")
     times = F.col("epochs") + F.when(F.col("__end") <= F.col("rest"), 1).otherwise(0)
     whole = (blocks.where(times > 0).select("rank", "block", "words", F.explode(F.sequence(F.lit(0), times - 1))
-             .alias("epoch")).withColumn("max_key", F.lit(None).cast("long")))
+             .alias("epoch")).withColumn("keys", F.lit(None).cast("array<long>")))
     cut = blocks.where("words > 0 and __left > 0 and __left < words")
     units = (in_block.join(cut.select("rank", "block", "epochs", "__left"), ["rank", "block"])
              .groupBy("rank", "block", "epochs", "__left", "__key").agg(F.sum("__size").alias("u")))
-    until = F.sum("u").over(Window.partitionBy("rank", "block").orderBy("__key"))
-    part = (units.withColumn("__until", until).where(F.col("__until") - F.col("u") / 2 <= F.col("__left"))
-            .groupBy("rank", "block", "epochs").agg(F.sum("u").alias("words"), F.max("__key").alias("max_key"))
-            .select("rank", "block", "words", F.col("epochs").alias("epoch"), "max_key"))
+
+    def fill(acc, x):
+        """Take one more document if it fits."""
+        return F.when(x["u"] <= acc["room"], F.struct(
+            (acc["room"] - x["u"]).alias("room"), F.concat(acc["keys"], F.array(x["__key"])).alias("keys"),
+            (acc["words"] + x["u"]).alias("words"))).otherwise(acc)
+
+    start = F.struct(F.col("__left").alias("room"), F.array().cast("array<long>").alias("keys"),
+                     F.lit(0).cast("long").alias("words"))
+    part = (units.groupBy("rank", "block", "epochs", "__left")
+            .agg(F.array_sort(F.collect_list(F.struct("__key", "u"))).alias("units"))
+            .withColumn("f", F.aggregate("units", start, fill)))
+    others = F.filter("units", lambda x: ~F.array_contains(F.col("f.keys"), x["__key"])
+                      & (F.abs(x["u"] - F.col("f.room")) < F.col("f.room")))
+    part = (part.withColumn("plus", F.array_min(F.transform(others, lambda x: F.struct(
+                F.abs(x["u"] - F.col("f.room")).alias("off"), x["__key"].alias("key"), x["u"].alias("u")))))
+            .select("rank", "block", (F.col("f.words") + F.coalesce("plus.u", F.lit(0))).alias("words"),
+                    F.col("epochs").alias("epoch"),
+                    F.when(F.col("plus").isNull(), F.col("f.keys")).otherwise(
+                        F.concat("f.keys", F.array("plus.key"))).alias("keys")).where(F.size("keys") > 0))
     order = Window.partitionBy("rank").orderBy("epoch", hashed(f"order:{seed}", *map(F.col, ("rank", "epoch", "block"))))
     return whole.unionByName(part).withColumn("seq", F.row_number().over(order) - 1)
 
@@ -176,11 +194,11 @@ def mix(docs: DataFrame, block_docs: int = BLOCK_DOCS, shard_words: int = SHARD_
     """All columns of the drawn documents and ``__shard``: rows repeat as often as they are drawn."""
     _, targets, draws = draw(docs, block_docs, shard_words, seed)
     t = targets.select(F.col("source").alias("__source"), F.col("rank").alias("__rank"), F.col("n_blocks").alias("__n"))
-    d = draws.select(F.col("rank").alias("__rank"), F.col("block").alias("__block"), F.col("max_key").alias("__max"),
+    d = draws.select(F.col("rank").alias("__rank"), F.col("block").alias("__block"), F.col("keys").alias("__keys"),
                      F.col("shard").alias("__shard"), F.col("epoch").alias("__epoch"))
     out = (docs.select("*", *with_size(docs, seed)).join(t, F.col("source").eqNullSafe(F.col("__source")))
            .withColumn("__block", F.col("__key") % F.col("__n")).join(d, ["__rank", "__block"])
-           .where("__max is null or __key <= __max"))
+           .where("__keys is null or array_contains(__keys, __key)"))
     local = hashed(f"local:{seed}", F.col("__shard"), F.col("__epoch"), F.col("__key"))
     return (out.withColumn("__local", local).repartition("__shard").sortWithinPartitions("__shard", "__local", "doc_id")
             .select(*docs.columns, "__shard"))
@@ -190,20 +208,20 @@ def taken(docs: DataFrame, block_docs: int = BLOCK_DOCS, shard_words: int = SHAR
     """doc_id, size, source_size, target, taken, shards (where its draws lie) of every document."""
     sized, targets, draws = draw(docs, block_docs, shard_words, seed)
     per = draws.groupBy("rank", "block").agg(
-        F.sum(F.col("max_key").isNull().cast("long")).alias("whole"), F.max("max_key").alias("max_key"))
+        F.sum(F.col("keys").isNull().cast("long")).alias("whole"), F.first("keys", True).alias("keys"))
     t = targets.withColumnRenamed("source", "__source")
     return (sized.join(t, F.col("source").eqNullSafe(F.col("__source")))
             .withColumn("block", F.col("__key") % F.col("n_blocks")).join(per, ["rank", "block"], "left")
             .select("doc_id", F.col("__size").alias("size"), "source_size", "target",
                     (F.col("__size") * (F.coalesce("whole", F.lit(0)) + F.coalesce(
-                        (F.col("__key") <= F.col("max_key")).cast("long"), F.lit(0)))).alias("taken")))
+                        F.array_contains("keys", F.col("__key")).cast("long"), F.lit(0)))).alias("taken")))
 
 
 def oracle(block_docs: int = BLOCK_DOCS, seed: int = SEED) -> str:
     """DuckDB SQL of the query: the level by sorting sources, the draws by window sums."""
     h = lambda *p: f"CAST('0x' || substr(md5(concat_ws(':', {', '.join(p)})), 1, 15) AS BIGINT)"
     return f"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
 k AS (SELECT *, {h(f"'doc:{seed}'", "coalesce(doc_id::VARCHAR, 'null')", "size::VARCHAR")} AS key FROM d),
 s AS (SELECT source, count(*) AS n_docs, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank, sum(source_size) OVER ()::BIGINT AS total,
@@ -221,8 +239,14 @@ g AS (SELECT rank, block, rest, sum(size)::BIGINT AS words, {h(f"'block:{seed}'"
       FROM b GROUP BY ALL),
 m AS (SELECT *, sum(words) OVER (PARTITION BY rank ORDER BY perm, block) AS upto FROM g),
 u AS (SELECT rank, block, key, sum(size)::BIGINT AS u FROM b GROUP BY ALL),
-v AS (SELECT *, sum(u) OVER (PARTITION BY rank, block ORDER BY key) AS until FROM u)
-SELECT b.doc_id, b.size, b.source_size, b.target, (b.size * (b.epochs + CASE WHEN m.upto <= b.rest THEN 1
-       WHEN b.rest - (m.upto - m.words) > 0 AND m.words > 0 AND v.until - v.u / 2 <= b.rest - (m.upto - m.words) THEN 1
-       ELSE 0 END))::BIGINT AS taken
-FROM b JOIN m USING (rank, block) JOIN v USING (rank, block, key)"""
+x AS (SELECT u.*, m.rest - (m.upto - m.words) AS room, row_number() OVER (PARTITION BY rank, block ORDER BY key) AS i
+      FROM u JOIN m USING (rank, block) WHERE m.upto > m.rest AND m.rest - (m.upto - m.words) > 0),
+p AS (SELECT rank, block, 0::BIGINT AS i, any_value(room) AS room, NULL::BIGINT AS key, 0::BIGINT AS u, false AS fits
+      FROM x GROUP BY rank, block
+      UNION ALL SELECT x.rank, x.block, x.i, CASE WHEN x.u <= p.room THEN p.room - x.u ELSE p.room END, x.key, x.u, x.u <= p.room
+      FROM p JOIN x ON p.rank = x.rank AND p.block = x.block AND x.i = p.i + 1),
+y AS (SELECT *, min(room) OVER (PARTITION BY rank, block) AS missing FROM p),
+z AS (SELECT *, row_number() OVER (PARTITION BY rank, block ORDER BY fits, abs(u - missing), key) AS near FROM y WHERE i > 0),
+v AS (SELECT rank, block, key, fits OR (near = 1 AND abs(u - missing) < missing) AS drawn FROM z)
+SELECT b.doc_id, b.size, b.source_size, b.target, (b.size * (b.epochs + CASE WHEN m.upto <= b.rest OR v.drawn THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM b JOIN m USING (rank, block) LEFT JOIN v USING (rank, block, key)"""

@@ -39,10 +39,20 @@ def test_taken_is_near_the_target_and_bounded(spark, make_docs):
         t[0] += r.taken
         t[1] = max(t[1], r.size)
     for (_, target), (words, largest) in per.items():
-        assert abs(words - target) <= 3 * largest
+        assert abs(words - target) <= largest / 2
     assert sum(t for _, t in per) == pytest.approx(sum(r.size for r in rows))
 
 
+def test_each_source_is_near_its_target(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    words, target = {}, {}
+    source = {r.doc_id: r.source for r in docs.select("doc_id", "source").collect()}
+    for r in mixing.taken(docs).collect():
+        words[source[r.doc_id]] = words.get(source[r.doc_id], 0) + r.taken
+        target[source[r.doc_id]] = r.target
+    assert all(abs(words[s] / t - 1) < 0.005 for s, t in target.items())
+
+
 def test_targets_by_hand(spark):
     sized = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 1)], "source string, __size long")
     t = {r.source: r.target for r in mixing.source_targets(sized).collect()}
