@@ -296,7 +296,7 @@ def class_links(found: DataFrame, of: DataFrame, block: int = BLOCK, percent: in
             .withColumn("blocks", F.ceil(F.col("size") / F.lit(block)).cast("long"))
             .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks"))))
     rows = staged(rows, "cluster-rows")
-    packs = max(1, -(-rows.where("blocks = 1").count() // (8 * block)))
+    packs = max(1, -(-rows.where("blocks = 1").count() // block))
     whole = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(packs)))
     schema = "a long, b long"
     within = (rows.withColumn("label", F.col("cls")).withColumn("probe", F.lit(False))
