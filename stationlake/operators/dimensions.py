@@ -62,7 +62,8 @@ def station_key_check(station_silver: DataFrame, dim: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_silver_rows"),
         F.count_if(F.col("station_id").isNotNull() & (F.col("n") > 1)).alias("n_repeated_ids"),
         F.coalesce(F.sum(F.when(F.col("station_id").isNull(), F.col("n"))), F.lit(0)).alias("n_without_id"))
-    return ids.join(F.broadcast(keys))  # one row each
+    both = ids.unionByName(keys, allowMissingColumns=True)  # one row each, put side by side
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def dim_weather(weather_silver: DataFrame) -> DataFrame:
