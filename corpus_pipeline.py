@@ -12,7 +12,6 @@ never reaches the encoder.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stationlake.llm import bpe_automaton, mixing, quality_fm, secrets, trie_join
 from stationlake.llm.common import read, staged
@@ -20,8 +19,7 @@ from stationlake.llm.common import read, staged
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality classifier rejects (score below 0.5)."""
-    model = quality_fm.train(docs, read(spark, sf_dir, "labels"))
-    return docs.where(quality_fm.score_column(model) >= F.lit(0.5))
+    return quality_fm.keep_good(docs, quality_fm.train(docs, read(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,10 +38,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from stationlake.llm.common import Remembered
+from stationlake.llm.common import Remembered, in_slices, kept
 
-MAX_STATES = 250_000
-MAX_CHUNKS = 200_000
+MAX_STATES = 100_000
+MAX_CHUNKS = 100_000
 
 
 @lru_cache(maxsize=1)
@@ -103,7 +103,7 @@ class Automaton:
                 before, a = self.born[a], self.right[a]
             else:
                 before, b = self.born[b] + 1, self.left[b]
-        if len(self.arcs) >= 4 * MAX_STATES:
+        if len(self.arcs) >= 2 * MAX_STATES:
             self.arcs.clear()
         self.arcs[t, x] = out
         return out
@@ -277,10 +277,9 @@ class WordTokenizer:
         return n, ids.hexdigest(), decoded.hexdigest()
 
 
-@lru_cache(maxsize=2)
 def load(path: str) -> WordTokenizer:
-    """One compiled automaton a worker process."""
-    return WordTokenizer(path)
+    """The compiled automaton and its tables, kept by a worker process."""
+    return kept(f"automaton {path}", lambda: WordTokenizer(path))
 
 
 def default_path() -> str:
@@ -296,7 +295,7 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = load(path)
-        for b in batches:
+        for b in in_slices(batches):
             out = [tok.digest(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.string()),

@@ -1,8 +1,7 @@
-"""Helpers shared by the operators: shared folder, staged tables, words, folds, sampling."""
+"""Helpers shared by the operators: staged tables, words, folds, sampling, tables kept by workers."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -10,29 +9,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationlake.session import scratch_path
+
 #: The white space of every contract: space and \t \n \v \f \r.  ``bytes.split()`` cuts exactly there.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` as the cluster names it.
-
-    Only a local master without a setting gets a folder of its own: on a cluster a
-    machine-local folder would be seen by one machine only, so that raises.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
-            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
-        d = tempfile.mkdtemp(prefix="stationlake-llm-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    return d.rstrip("/")
-
-
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the application's folder in the cluster's shared one (``spark.checkpoint.dir``)."""
+    return scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -58,16 +43,11 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-def map_rows(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> DataFrame:
-    """``mapInArrow`` of a function of one record batch."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = fn(b)
-            if out is not None:
-                yield out
-
-    return df.mapInArrow(run, schema)
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Arrow batches a few rows at a time, so that only so many texts become Python objects at once."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, cols: list[str], rows: int) -> DataFrame:
@@ -100,3 +80,20 @@ class Remembered(dict):
             self.clear()
         self[key] = value
         return value
+
+
+_KEPT: dict[str, object] = {}
+
+
+def forget() -> None:
+    """Drop what :func:`kept` holds: for tasks that keep nothing."""
+    _KEPT.clear()
+
+
+def kept(name: str, make: Callable):
+    """A table that a worker process keeps between its tasks; asking for another one drops it, so
+    operators that run one after the other do not add up."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]

@@ -24,17 +24,17 @@ from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import fold, labelled_sample
+from stationlake.llm.common import fold, forget, in_slices, labelled_sample
 
 WORD_BINS = 1 << 14
 RANK = 4
 FIT_ROWS = 6000
 EPOCHS = 12
+TOGETHER = 128  # documents whose vectors are held at a time
 SYMBOLS = b"#*$%&|<>"
 
 _KIND = np.zeros(256, np.uint8)  # of a byte: 1 upper, 2 lower, 3 digit, 4 symbol, 5 end mark, 6 other ASCII punctuation
@@ -92,10 +92,12 @@ class FactorisationMachine:
     def scores(self, texts: list[str | None], chars: list[int | None]) -> np.ndarray:
         if not texts:
             return np.zeros(0)
-        xs = [vector(t, c) for t, c in zip(texts, chars, strict=True)]
-        z = self.logits(np.concatenate([i for i, _ in xs]), np.concatenate([x for _, x in xs]),
-                        np.cumsum([len(i) for i, _ in xs]))
-        return 1 / (1 + np.exp(-np.clip(z.astype(np.float64), -30, 30)))
+        out = []
+        for at in range(0, len(texts), TOGETHER):
+            xs = [vector(t, c) for t, c in zip(texts[at:at + TOGETHER], chars[at:at + TOGETHER], strict=True)]
+            out.append(self.logits(np.concatenate([i for i, _ in xs]), np.concatenate([x for _, x in xs]),
+                                   np.cumsum([len(i) for i, _ in xs])))
+        return 1 / (1 + np.exp(-np.clip(np.concatenate(out).astype(np.float64), -30, 30)))
 
 
 def fit(xs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, epochs: int = EPOCHS, rank: int = RANK,
@@ -159,19 +161,30 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Facto
     return fit(xs, np.array([x[2] for x in rows], np.float64))
 
 
-def score_column(model: FactorisationMachine, text: str = "text", n_chars: str = "n_chars") -> F.Column:
-    """The score as a column of a table with these two columns."""
+def keep_good(docs: DataFrame, model: FactorisationMachine, least: float = 0.5) -> DataFrame:
+    """All columns of the documents that score ``least`` or more."""
+    text, chars = docs.columns.index("text"), docs.columns.index("n_chars")
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series, chars: pd.Series) -> pd.Series:
-        return pd.Series(model.scores([t if isinstance(t, str) else None for t in texts],
-                                      [None if c is None or c != c else int(c) for c in chars]), dtype="float64")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        for b in in_slices(batches):
+            yield b.filter(pa.array(model.scores(b.column(text).to_pylist(), b.column(chars).to_pylist()) >= least))
 
-    return score(F.col(text), F.col(n_chars).cast("double"))
+    return docs.mapInArrow(run, docs.schema)
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
     model = train(docs, labels, fit_rows)
-    return (docs.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), score_column(model).alias("score"))
-            .select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        for b in in_slices(batches):
+            s = model.scores(b.column(2).to_pylist(), b.column(3).to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s, pa.float64()),
+                                              pa.array((s >= 0.5).astype(np.int32))],
+                                             names=["doc_id", "held_out", "score", "predicted"])
+
+    return docs.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "text", "n_chars").mapInArrow(
+        scored, f"doc_id {id_type}, held_out boolean, score double, predicted int")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import labelled_sample
+from stationlake.llm.common import forget, in_slices, labelled_sample
 
 WORD_BINS = 1 << 14
 GRAM_BINS = 1 << 13
@@ -199,7 +199,8 @@ def apply_rules(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS,
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        forget()
+        for b in in_slices(batches):
             out = [judge(t, model, threshold) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *(pa.array([o[k] for o in out], t) for k, t in enumerate(types))],

@@ -30,7 +30,6 @@ empty table gives an empty result; texts of any length are taken whole; other co
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -39,13 +38,14 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from stationlake.llm.common import Remembered, staged
+from stationlake.llm.common import Remembered, in_slices, kept, staged
 from stationlake.llm.graph import components
 
 SIZE = 5
 PERCENT = 80
-PART = 4000  # classes a part
+PART = 1500  # classes a part
 RANGE = 2_000_000  # shingles a hash range
 BLOCK = 1024  # classes a block
 _SHIFT = np.uint64(16)  # hashes are counted by their upper 48 bits: a shared value counts too much, never too little
@@ -53,16 +53,16 @@ _SHIFT = np.uint64(16)  # hashes are counted by their upper 48 bits: a shared va
 
 # ---- sets
 
-@lru_cache(maxsize=1)
-def _hashes() -> Remembered:
-    return Remembered(xxhash.xxh3_64_intdigest, 300_000)
+def word_hashes() -> Remembered:
+    """64-bit hashes of the words seen of late."""
+    return kept("word hashes", lambda: Remembered(xxhash.xxh3_64_intdigest, 100_000))
 
 
 def shingles(toks: list[bytes], size: int = SIZE) -> np.ndarray:
     """The distinct shingle hashes of a word sequence, sorted."""
     if not toks:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_hashes().__getitem__, toks), np.uint64, len(toks))
+    h = np.fromiter(map(word_hashes().__getitem__, toks), np.uint64, len(toks))
     n = min(size, len(h))
     acc = h[:len(h) - n + 1] + np.uint64(n)
     for k in range(1, n):
@@ -119,7 +119,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press, met = zstandard.ZstdCompressor(level=1), set()
-        for b in batches:
+        for b in in_slices(batches):
             cls, n, text = [], [], []
             for t in b.column(1).to_pylist():
                 toks = lowered(t)
@@ -351,16 +351,24 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, b
             .select("doc_id", "cls", "n_shingles", "root", F.coalesce("least", "doc_id").alias("component_id")))
 
 
+def with_class(docs: DataFrame) -> DataFrame:
+    """All columns and ``__cls``, the class of the text."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in in_slices(batches):
+            cls = pa.array([class_of(lowered(t)) for t in b.column(at).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*b.columns, cls], names=[*b.schema.names, "__cls"])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__cls", LongType())]))
+
+
 def keep_one(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """All columns of one document a component (the least doc_id); wordless documents all stay."""
     rows = near_duplicates(docs, size, percent, block)
     kept = (rows.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "cls")).alias("x"))
             .select(F.col("x.doc_id").alias("__id"), F.col("x.cls").alias("__kept")))
 
-    @F.pandas_udf("long")
-    def cls(texts: pd.Series) -> pd.Series:
-        return pd.Series([class_of(lowered(t if isinstance(t, str) else None)) for t in texts], dtype="Int64")
-
-    named = docs.withColumn("__cls", cls("text"))
+    named = with_class(docs)
     one = named.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__cls") == F.col("__kept")), "left_semi")
     return (one.dropDuplicates(["doc_id", "__cls"]).unionByName(named.where("__cls is null"))).select(*docs.columns)
