@@ -110,17 +110,22 @@ def block_draws(sized: DataFrame, targets: DataFrame, seed: int = SEED) -> DataF
 
     start = F.struct(F.col("__left").alias("room"), F.array().cast("array<long>").alias("keys"),
                      F.lit(0).cast("long").alias("words"))
+    def with_nearest(f):
+        """The filled draw and the document that brings it nearest, if one does."""
+        others = F.filter("units", lambda x: (F.abs(x["u"] - f["room"]) < f["room"]) & ~F.array_contains(f["keys"], x["__key"]))
+        plus = F.array_min(F.transform(others, lambda x: F.struct(
+            F.abs(x["u"] - f["room"]).alias("off"), x["__key"].alias("key"), x["u"].alias("u"))))
+        return F.struct(f["keys"].alias("keys"), f["words"].alias("words"), plus.alias("plus"))
+
+    # (the fold is bound to a lambda's variable, so it is computed once and not for every use)
     part = (units.groupBy("rank", "block", "epochs", "__left")
             .agg(F.array_sort(F.collect_list(F.struct("__key", "u"))).alias("units"))
-            .withColumn("f", F.aggregate("units", start, fill)))
-    others = F.filter("units", lambda x: ~F.array_contains(F.col("f.keys"), x["__key"])
-                      & (F.abs(x["u"] - F.col("f.room")) < F.col("f.room")))
-    part = (part.withColumn("plus", F.array_min(F.transform(others, lambda x: F.struct(
-                F.abs(x["u"] - F.col("f.room")).alias("off"), x["__key"].alias("key"), x["u"].alias("u")))))
-            .select("rank", "block", (F.col("f.words") + F.coalesce("plus.u", F.lit(0))).alias("words"),
+            .select("rank", "block", "epochs", F.explode(F.transform(
+                F.array(F.aggregate("units", start, fill)), with_nearest)).alias("f"))
+            .select("rank", "block", (F.col("f.words") + F.coalesce("f.plus.u", F.lit(0))).alias("words"),
                     F.col("epochs").alias("epoch"),
-                    F.when(F.col("plus").isNull(), F.col("f.keys")).otherwise(
-                        F.concat("f.keys", F.array("plus.key"))).alias("keys")).where(F.size("keys") > 0))
+                    F.when(F.col("f.plus").isNull(), F.col("f.keys")).otherwise(
+                        F.concat("f.keys", F.array("f.plus.key"))).alias("keys")).where(F.size("keys") > 0))
     order = Window.partitionBy("rank").orderBy("epoch", hashed(f"order:{seed}", *map(F.col, ("rank", "epoch", "block"))))
     return whole.unionByName(part).withColumn("seq", F.row_number().over(order) - 1)
 
