@@ -33,12 +33,11 @@ def main() -> None:
     av = silver.availability_silver(td.raw_availability(spark, sf), raw_st).df
     st = silver.station_silver(raw_st).df
     joined = FX.join_stations(av, st)
-    from stationlake.operators import dimensions as D
-    dim_station = D.dim_station(st)
     cases = [
         ("Availability silver (raw → rules → dedup)", av),
-        ("Daily top-5 saturated stations over the silver", FX.fact_top_saturated(joined, None, dim_station)),
-        ("Frozen stations (run detection, split for hot keys)", Q.frozen_stations(av)),
+        ("Daily top-5 saturated stations over the silver", FX.fact_top_saturated(joined, None)),
+        ("Frozen stations (runs by station and day, edges stitched)", Q.frozen_stations(av)),
+        ("Critical alerts (rows with their run's start)", Q.critical_alerts(Q.critical_readings(joined))),
     ]
     out = ["# PLANS", "",
            f"Physical plans (`explain(\"formatted\")`, tree part, before AQE re-planning) at `{sf}`,",
