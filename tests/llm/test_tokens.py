@@ -58,7 +58,7 @@ def test_binary_output_edge_cases(spark, make_docs, byte_level):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.integers(0, 50256) | st.integers(0, 3), max_size=300), st.sampled_from([8, 64, 1 << 15]))
+@given(st.lists(st.integers(0, 50256) | st.integers(0, 3) | st.sampled_from([2 ** 31, 2 ** 32 - 1]), max_size=300), st.sampled_from([8, 64, 1 << 15]))
 def test_wavelet_matrix_is_the_sequence(ids, block):
     a = np.array(ids, np.uint32)
     w = wavelet.WaveletFile(wavelet.build(a, [1, None], [len(ids), 0], block))
