@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 
@@ -27,6 +28,9 @@ DEFAULT_CONF = {
 }
 
 
+_STAGED: set[str] = set()
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "stationlake", driver_memory: str = "8g",
                   extra: dict | None = None) -> SparkSession:
@@ -61,15 +65,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="stationlake-ckpt-")
         atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
+    return d.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for intermediate tables (one folder an
-    application, see :func:`remove_staged`)."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "stationlake", spark.sparkContext.applicationId, name)
+    application: removed by :func:`remove_staged`, and when Python ends if it is on a file system
+    that the driver sees)."""
+    top = os.path.join(ensure_checkpoint_dir(spark), "stationlake", spark.sparkContext.applicationId)
+    seen = re.sub(r"^file:/+", "/", top)
+    if seen.startswith("/") and seen not in _STAGED:
+        _STAGED.add(seen)
+        atexit.register(shutil.rmtree, seen, ignore_errors=True)
+    return os.path.join(top, name)
 
 
 def remove_staged(spark: SparkSession) -> None:
