@@ -56,12 +56,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, cols: list[str], rows: i
     Training rows are those whose crc32 fold modulo 3 is not 1.  The labels are reduced to
     one per id (the larger one), the first ``rows`` of them by a hash of the id are taken:
     the side that is broadcast is bounded by the parameter ``rows``, whatever the table's size.
+    Rows that repeat an id give one row, the first by a hash of ``cols``.
     """
     lab = (labels.select("doc_id", F.col("quality").cast("int").alias("label"))
            .where("doc_id is not null and label in (0, 1)").where(fold("doc_id", 3) != 1)
            .groupBy("doc_id").agg(F.max("label").alias("label"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    return docs.select("doc_id", *cols).join(F.broadcast(lab), "doc_id")
+    one = F.min(F.struct(F.xxhash64(*cols).alias("__h"), *cols, "label"))  # combined before the shuffle
+    return (docs.select("doc_id", *cols).join(F.broadcast(lab), "doc_id")
+            .groupBy("doc_id").agg(one.alias("__one")).select("doc_id", *(f"__one.{c}" for c in cols), "__one.label"))
 
 
 class Remembered(dict):

@@ -123,3 +123,15 @@ def test_vocabulary_is_the_plain_search():
         plain = [sum(bool(re.search(rf"(?<![a-z0-9]){t}(?![a-z0-9])", low)) for t in ts)
                  for ts in (url_filter.STRICT, url_filter.SOFT)]
         assert list(voc.hits(u)) == plain
+
+
+def test_labelled_sample_has_one_row_an_id(spark, make_docs):
+    from stationlake.llm.common import labelled_sample
+
+    docs = make_docs([(i, f"text {i}") for i in range(60)] + [(8, f"again {i}") for i in range(100)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality long")
+    ids = [i for i in range(60) if crc32(str(i).encode()) % 3 != 1]
+    got = [labelled_sample(docs.repartition(n), labels, ["text", "n_chars"], 1000).collect() for n in (1, 5)]
+    assert sorted(r.doc_id for r in got[0]) == ids and set(got[0]) == set(got[1])
+    assert all(r.label == r.doc_id % 2 and r.n_chars == len(r.text) for r in got[0])
+    assert 8 in ids and len(labelled_sample(docs, labels, ["text"], 20).collect()) == 20
