@@ -8,9 +8,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -32,9 +29,3 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="run-", dir="/tmp")
-
-
-def rows(df, order=None):
-    cols = df.columns
-    out = [tuple(r[c] for c in cols) for r in df.collect()]
-    return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))

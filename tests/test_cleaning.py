@@ -5,7 +5,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from stationlake.functions.rules import _result
 from stationlake.operators import cleaning as C
 from stationlake.plans import silver

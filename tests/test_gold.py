@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from stationlake.operators import dimensions as D
 from stationlake.operators import facts as FX
 from stationlake.functions.numeric import round2

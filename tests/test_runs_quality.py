@@ -3,7 +3,7 @@
 import datetime as dt
 import random
 
-from conftest import rows
+from helpers import rows
 from stationlake.operators import facts as FX
 from stationlake.operators import quality as Q
 from stationlake.operators.runs import value_runs, with_run_start

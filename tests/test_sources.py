@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_MID, SF_SMALL
+from helpers import SF_MID, SF_SMALL
 from stationlake.plans.silver import availability_silver, station_silver
 from stationlake.schemas import RAW_AVAILABILITY_COLUMNS, RAW_STATION_COLUMNS, RAW_WEATHER_COLUMNS
 from stationlake.sources import csv as S

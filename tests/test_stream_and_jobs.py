@@ -7,7 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from stationlake.functions import rules as R
 from stationlake.operators import facts as FX
 from stationlake.operators import quality as Q
