@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationlake.llm import bpe_automaton, gru_lm, mixing, quality_fm, quality_rules, secrets, topk, trie_join, url_filter, wavelet
+from stationlake.llm import (bpe_automaton, gru_lm, html_crf, mixing, prefix_trie, quality_fm, quality_rules, secrets, setm, topk,
+                             trie_join, url_filter, wavelet)
 from stationlake.llm.common import read
 
 
@@ -48,9 +49,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_token_ids, op3_lm_score, op4_quality_classifier, op5_jaccard_join, op6_url_filters, op7_bpe, op8_mixing, op9_topk, op10_quality_rules)}
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.extract(read(spark, sf_dir, "pages"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(read(spark, sf_dir, "conversations"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setm.collocations(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_secrets, op2_token_ids, op3_lm_score, op4_quality_classifier, op5_jaccard_join, op6_url_filters, op7_bpe, op8_mixing, op9_topk,
+    op10_quality_rules, op11_html_extraction, op12_prefix_trie, op13_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op6_url_filters": url_filter.oracle(), "op8_mixing": mixing.oracle(),
-            "op9_topk": topk.oracle()}
+            "op9_topk": topk.oracle(), "op12_prefix_trie": prefix_trie.oracle(), "op13_collocations": setm.oracle()}
