@@ -43,6 +43,7 @@ ENDS = b".,;:!?\n\v\f\r"
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + ENDS + b"\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * len(ENDS) + b" ")
 CHUNK = 4 << 20
 RANGE_GROUPS = 1_500_000  # word occurrences a hash range stands for
+PARTS = 16
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -295,8 +296,12 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, to
             big = lambda c: F.col(c).cast("decimal(19,0)")
             out = out.where(F.coalesce(big("longer") * 100 < big("a") * covered, F.lit(True)))
         scored.append(out.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score"))
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    best = (reduce(DataFrame.unionByName, scored).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top))
+    # a lang's phrases are ranked in PARTS parts first, so at most PARTS * top of them meet in one task
+    order = (F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
+    ranked = lambda df, *by: (df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+                              .where(F.col("rank") <= top))
+    best = reduce(DataFrame.unionByName, scored).withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    best = ranked(ranked(best, "lang", "part").drop("part", "rank"), "lang")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
