@@ -21,10 +21,13 @@ def _round6(c):
     return F.round(c.try_cast("decimal(38,10)"), 6).cast("double")
 
 
-def hourly_features(joined: DataFrame, weather: DataFrame) -> DataFrame:
+def hourly_features(joined: DataFrame, weather: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """One row per station and hour with the mean occupancy, calendar features, the
     weather of that hour and lagged occupancy (previous observed hour, moving average
-    of the previous three observed hours)."""
+    of the previous three observed hours).
+
+    ``before`` (station_id, hour, occupancy_pct): each station's last hours ahead of the readings given,
+    where those are only some days' (see :mod:`stationlake.plans.daily_state`); they only feed the lags."""
     t = reading_time(F.col("timestamp"))
     hourly = (joined.select(
         "station_id",
@@ -42,7 +45,9 @@ def hourly_features(joined: DataFrame, weather: DataFrame) -> DataFrame:
         "__wh", "__w.weather_condition", "__w.temperature_c", "__w.rain_mm")
     w = Window.partitionBy("station_id").orderBy("hour")
     prev = w.rowsBetween(-MOVING_WINDOW, -1)
-    return (hourly.join(wx, hourly["hour"] == wx["__wh"], "left").drop("__wh")
+    if before is not None:
+        hourly = hourly.unionByName(before.withColumn("n_readings", F.lit(None).cast("bigint")))
+    rows = (hourly.join(wx, hourly["hour"] == wx["__wh"], "left").drop("__wh")
             .select("station_id", "hour",
                     F.hour("hour").alias("hour_of_day"),
                     (F.weekday("hour") + 1).alias("day_of_week_num"),
@@ -51,6 +56,7 @@ def hourly_features(joined: DataFrame, weather: DataFrame) -> DataFrame:
                     "occupancy_pct", "n_readings",
                     F.lag("occupancy_pct").over(w).alias("lag_1"),
                     _round6(F.avg("occupancy_pct").over(prev)).alias("moving_avg_3")))
+    return rows if before is None else rows.where("n_readings is not null")
 
 
 def baseline_errors(features: DataFrame) -> DataFrame:
@@ -103,6 +109,54 @@ def train_and_score(features: DataFrame, label: str = "occupancy_pct", holdout_d
     return model, scored
 
 
+# ------------------------------------------------------------------ mergeable normal equations
+MOMENT_TERMS = (*FEATURE_COLUMNS, "occupancy_pct")
+
+
+def _usable(features: DataFrame) -> DataFrame:
+    """The complete rows, every term as a double."""
+    return features.select("station_id", "hour", F.to_date("hour").alias("day"),
+                           *[F.col(c).cast("double").alias(c) for c in MOMENT_TERMS]).dropna()
+
+
+def day_moments(features: DataFrame) -> DataFrame:
+    """What the normal equations need of every day: number, sums and products of the features and the label
+    (``n``, ``s_i``, ``p_i_j``). Days add up: a new day is one new row, and no old day is read again."""
+    k = len(MOMENT_TERMS)
+    x = [F.col(c) for c in MOMENT_TERMS]
+    return _usable(features).groupBy("day").agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(x[i]).alias(f"s_{i}") for i in range(k)],
+        *[F.sum(x[i] * x[j]).alias(f"p_{i}_{j}") for i in range(k) for j in range(i, k)])
+
+
+def solve_moments(moments: DataFrame) -> tuple[float, list[float]]:
+    """Intercept and coefficients of the least-squares fit over the given days: the sums of all days are one row of
+    36 numbers, solved on the driver. Features that are sums of others get the smallest weights."""
+    import numpy as np
+
+    k = len(MOMENT_TERMS)
+    r = moments.agg(*[F.sum(c).alias(c) for c in moments.columns if c != "day"]).first()
+    if not r["n"]:
+        raise NoTrainingRows("no complete feature rows to train on")
+    mean = np.array([r[f"s_{i}"] for i in range(k)]) / r["n"]
+    prod = np.array([[r[f"p_{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) / r["n"] - np.outer(mean, mean)
+    weights = np.linalg.lstsq(prod[:-1, :-1], prod[:-1, -1], rcond=1e-12)[0]
+    return float(mean[-1] - mean[:-1] @ weights), weights.tolist()
+
+
+def score_last_days(features: DataFrame, moments: DataFrame, holdout_days: int = 1) -> DataFrame:
+    """B8 from the days' moments: fitted on the days before the last ``holdout_days``, scoring those days, as
+    :func:`train_and_score` does with a pass over all features."""
+    last = moments.agg(F.max("day")).first()[0]
+    cutoff = F.date_sub(F.lit(last), holdout_days - 1)
+    if last is None:
+        raise NoTrainingRows("no complete feature rows to train on")
+    base, weights = solve_moments(moments.where(F.col("day") < cutoff))
+    fitted = sum((F.col(c) * F.lit(w) for c, w in zip(FEATURE_COLUMNS, weights, strict=True)), F.lit(base))
+    return (_usable(features).where(F.col("day") >= cutoff)
+            .select("station_id", "hour", "occupancy_pct", "lag_1", "moving_avg_3", fitted.alias("predicted_occupancy_pct")))
+
+
 def model_errors(scored: DataFrame, label: str = "occupancy_pct") -> DataFrame:
     """B7 on the held-out day: MAE / RMSE of the regression next to the persistence and
     moving-average baselines, on the same rows."""

@@ -85,6 +85,11 @@ def is_critical(bikes: Column, capacity: Column, share_pct: int = CRITICAL_SHARE
     return bikes.cast("bigint") * 100 < capacity.cast("bigint") * share_pct
 
 
+def run_minutes(start: Column, end: Column) -> Column:
+    """Minutes from a run's first to its last reading."""
+    return (F.unix_timestamp(end.cast("timestamp")) - F.unix_timestamp(start.cast("timestamp"))) / 60.0
+
+
 def critical_episodes(joined: DataFrame, share_pct: int = CRITICAL_SHARE_PCT,
                       minutes: int = CRITICAL_MINUTES) -> DataFrame:
     """B10 (batch): episodes where a station stays under ``share_pct`` % of its capacity
@@ -94,8 +99,7 @@ def critical_episodes(joined: DataFrame, share_pct: int = CRITICAL_SHARE_PCT,
         is_critical(F.col("bikes_available"), F.col("capacity"), share_pct).alias("critical"))
     runs = value_runs(rows.where(F.col("critical").isNotNull()), "station_id", "reading_time",
                       ["critical"])
-    span = (F.unix_timestamp(F.col("end").cast("timestamp"))
-            - F.unix_timestamp(F.col("start").cast("timestamp"))) / 60.0
+    span = run_minutes(F.col("start"), F.col("end"))
     return (runs.where(F.col("critical") & (span > minutes))
             .select("station_id", F.col("start").alias("start_time"),
                     F.col("end").alias("end_time"), "n_readings",

@@ -78,3 +78,30 @@ def with_run_start(df: DataFrame, key: str, order: str, values: Sequence[str]) -
     starts = (inner.select(key, "__day", "__run", F.col("start").alias("run_start"))
               .unionByName(edges.select(key, "__day", "__run", first.alias("run_start"))))
     return rows.join(starts, [key, "__day", "__run"]).drop("__day", "__run")
+
+
+# ------------------------------------------------------------------ runs kept by day
+PIECE = ("start", "end", "n_readings", "run", "head", "tail", "day")
+
+
+def day_pieces(df: DataFrame, key: str, order: str, values: Sequence[str]) -> DataFrame:
+    """The runs of every (key, day) by themselves: ``key, *values`` and :data:`PIECE`. ``head`` and ``tail`` mark
+    those that hold the day's first and last row: only they can be parts of longer runs."""
+    values = list(values)
+    numbered = _numbered(df.select(key, order, *values), key, order, values)
+    pieces = (numbered.groupBy(key, F.col("__day").alias("day"), F.col("__run").cast("int").alias("run"))
+              .agg(*[F.first(v).alias(v) for v in values], F.min(order).alias("start"),
+                   F.max(order).alias("end"), F.count(F.lit(1)).alias("n_readings")))
+    return (pieces.withColumn("head", F.col("run") == 1)
+            .withColumn("tail", F.col("run") == F.max("run").over(Window.partitionBy(key, "day"))).select(key, *values, *PIECE))
+
+
+def chained(edges: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
+    """First and last pieces of days (at most two a key and day), in order, with the number of their run (``chain``)
+    and what the run holds up to each piece (``run_start``, ``n_so_far``)."""
+    w = Window.partitionBy(key).orderBy("day", "run")
+    follows = F.coalesce(F.lag("tail").over(w) & F.col("head") & ~_changed(list(values), w), F.lit(False))
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    numbered = edges.withColumn("__new", (~follows).cast("int")).withColumn("chain", F.sum("__new").over(upto)).drop("__new")
+    own = Window.partitionBy(key, "chain").orderBy("day", "run").rowsBetween(Window.unboundedPreceding, 0)
+    return numbered.withColumn("run_start", F.min("start").over(own)).withColumn("n_so_far", F.sum("n_readings").over(own))

@@ -558,6 +558,19 @@ LEFT JOIN (SELECT station_id, CAST(start_time AS DATE) AS d, count(*) AS n_froze
     raise KeyError(name)
 
 
+def cube_sql() -> str:
+    return with_ctes(silver_parts(stations=True, availability=True), STATION_ONE, final=f"""
+SELECT station_id, date_partition, count(*) AS n_readings, count(*) FILTER (WHERE known) AS n_matched, count(b) AS n_bikes,
+       CAST(coalesce(sum(b), 0) AS BIGINT) AS sum_bikes, count(*) FILTER (WHERE known AND b = c) AS n_full, count(occ) AS n_occupancy,
+       CAST(coalesce(sum(CAST(occ AS DECIMAL(28,2))), 0) AS DOUBLE) AS sum_occupancy, count(*) FILTER (WHERE b < 0) AS nb_neg_bikes_available,
+       count(*) FILTER (WHERE s < 0) AS nb_neg_slots_free,
+       count(*) FILTER (WHERE known AND ((b + s) IS DISTINCT FROM c OR b IS NULL OR s IS NULL OR c IS NULL)) AS nb_incoherent_capacity
+FROM (SELECT a.station_id, a.date_partition, a.bikes_available AS b, a.slots_free AS s, o.capacity AS c, o.station_id IS NOT NULL AS known,
+             CASE WHEN o.station_id IS NOT NULL THEN {pct('a.bikes_available', 'a.bikes_available + a.slots_free')} END AS occ
+      FROM availability_silver a LEFT JOIN station_one o ON a.station_id = o.station_id)
+GROUP BY station_id, date_partition""")
+
+
 ALERTS = f"""
 SELECT station_id, run_start, t AS alert_time, waited AS minutes_critical, bikes_available, capacity FROM (
   SELECT *, row_number() OVER (PARTITION BY station_id, run_start ORDER BY t, bikes_available) AS rn FROM (

@@ -5,10 +5,12 @@ lineage (a lost executor re-reads parquet instead of recomputing the cleaning),
 quality counters are captured by ``observe`` during that same write — no extra pass
 (``exact_counts=True`` aggregates them instead, see :class:`SilverResult`).
 
-With ``days`` (first and last day) only those days are cleaned and replaced: readings, daily
+With ``days`` (first and last day) only those days are cleaned, read and replaced: readings, daily
 facts and daily tables are partitioned by day and written with dynamic overwrite. What looks
-across days (frozen runs, critical episodes, lags, the model) is computed from all silver days
-and only the asked days are written, so a partial run equals a full one on its days.
+across days (frozen runs, critical episodes, lags, the model) is carried from day to day in the small tables
+of ``state/`` (:mod:`stationlake.plans.daily_state`), and runs that go on from earlier days are corrected there,
+so a partial run equals a full one without reading the silver of any other day. The daily facts and checks
+are projected from one station-day cube, written by day too.
 """
 
 from __future__ import annotations
@@ -21,12 +23,15 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegerType, StructField
 
+from stationlake.operators import cube as CB
 from stationlake.operators import dimensions as D
 from stationlake.operators import facts as FX
 from stationlake.operators import features as FT
 from stationlake.operators import quality as Q
 from stationlake.plans import silver, sql_reports
+from stationlake.plans.daily_state import DailyHours, DailyRuns, Days, merge_days, read_days, stored_days
 from stationlake.schemas import RAW_AVAILABILITY_COLUMNS, RAW_STATION_COLUMNS, RAW_WEATHER_COLUMNS
 from stationlake.sources.csv import RawRead, read_raw
 from stationlake.sources.sinks import write_partitioned, write_table
@@ -34,7 +39,6 @@ from stationlake.sources.sinks import write_partitioned, write_table
 COUNTERS = ("rows_raw", "rows_malformed", "rows_corrected", "rows_invalid", "rows_removed")
 REPORT_SCHEMA = ("run_id string, run_time timestamp, table_name string, "
                  + ", ".join(f"{c} long" for c in COUNTERS))
-Days = tuple[str, str]
 
 
 @dataclass
@@ -122,39 +126,110 @@ def in_days(df: DataFrame, col: str, days: Days | None) -> DataFrame:
     return df if days is None else df.where(F.col(col).between(*[F.lit(d).cast("date") for d in days]))
 
 
+def next_day(day: str) -> str:
+    d = dt.date.fromisoformat(day)
+    return str(d + dt.timedelta(1)) if d < dt.date.max else day
+
+
+def frozen_state(out: str) -> DailyRuns:
+    """B2 by day: runs of equal counts, listed from ``FROZEN_MIN_READINGS`` readings on."""
+    return DailyRuns(os.path.join(out, "state", "frozen"), (StructField("bikes_available", IntegerType()), StructField("slots_free", IntegerType())),
+                     lambda: F.col("n_readings") >= Q.FROZEN_MIN_READINGS)
+
+
+def critical_state(out: str) -> DailyRuns:
+    """B10 by day: runs of critical readings, listed beyond ``CRITICAL_MINUTES``."""
+    return DailyRuns(os.path.join(out, "state", "critical"), (StructField("critical", BooleanType()),),
+                     lambda: F.col("critical") & (Q.run_minutes(F.col("start"), F.col("end")) > Q.CRITICAL_MINUTES))
+
+
+def frozen_readings(availability: DataFrame) -> DataFrame:
+    return availability.select("station_id", FX.reading_time(F.col("timestamp")).alias("reading_time"), "bikes_available", "slots_free")
+
+
+def frozen_rows(runs: DataFrame) -> DataFrame:
+    return runs.select("station_id", "bikes_available", "slots_free", F.col("start").alias("start_time"),
+                       F.col("end").alias("end_time"), "n_readings")
+
+
+def critical_rows(runs: DataFrame) -> DataFrame:
+    return runs.select("station_id", F.col("start").alias("start_time"), F.col("end").alias("end_time"), "n_readings",
+                       Q.run_minutes(F.col("start"), F.col("end")).alias("duration_minutes"))
+
+
 def gold_tables(spark: SparkSession, out: str, days: Days | None = None) -> dict[str, GoldTable]:
-    """The star schema (lazy) over the silver parquet tables written by :func:`run_silver`."""
+    """The star schema (lazy) over the silver parquet tables written by :func:`run_silver`, and over the cube and the
+    states that :func:`take_days` has written for the same days. Only the given days' readings are read."""
     st, wx, av = silver_tables(spark, out, days)
-    _, all_wx, all_av = silver_tables(spark, out)
+    _, all_wx, _ = silver_tables(spark, out)
     dim_station = D.dim_station(st)
     dim_weather = D.dim_weather(all_wx)
-    dim_date = D.dim_date_for((all_av, "date_partition"), (all_wx, "date_partition"))
-    joined, all_joined = FX.join_stations(av, st), FX.join_stations(all_av, st)
+    dates = sorted(d for n in ("availability", "weather") for d in stored_days(spark, os.path.join(out, "silver", n), "date_partition"))
+    dim_date = D.dim_date(spark, dates[0], dates[-1]) if dates else D.dim_date_for((all_wx, "date_partition"))
+    near_wx = in_days(all_wx, "date_partition", days and (days[0], next_day(days[1])))
+    joined = FX.join_stations(av, st)
     cal = None  # dim_date covers every date of the silver data: keys computed, not joined
-    frozen = Q.frozen_stations(all_av)
-    day = lambda df, col: in_days(df.withColumn("day", F.to_date(col)), "day", days)
+    cube = in_days(spark.read.parquet(os.path.join(out, "state", "station_day")), "date_partition", days)
+    frozen = frozen_rows(frozen_state(out).runs(spark, days))
+    day = lambda df, col: df.withColumn("day", F.to_date(col))
+    before = DailyHours(os.path.join(out, "state", "hours")).before(spark, days)
     return {
         "dim_station": GoldTable(dim_station), "dim_weather": GoldTable(dim_weather),
         "dim_date": GoldTable(dim_date), "dim_time": GoldTable(D.dim_time(spark)),
-        "fact_avg_bikes": GoldTable(FX.fact_avg_bikes(av, cal, dim_station), "date_key"),
+        "fact_avg_bikes": GoldTable(CB.cube_avg_bikes(cube), "date_key"),
         "fact_occupancy": GoldTable(FX.fact_occupancy(joined, cal), "date_key"),
         "fact_dominant_weather": GoldTable(FX.fact_dominant_weather(wx, cal, dim_weather), "date_key"),
-        "fact_saturation": GoldTable(FX.fact_saturation(joined, cal), "date_key"),
-        "fact_top_array": GoldTable(FX.fact_top_array(joined, cal), "date_key"),
-        "availability_daily_gold": GoldTable(FX.gold_daily(av, wx, joined, cal, dim_station, dim_weather), "date_key"),
-        "quality_daily": GoldTable(in_days(Q.daily_quality(Q.with_capacity(av, st), frozen), "date_partition", days),
-                                   "date_partition"),
-        "enriched_readings": GoldTable(FX.enrich_with_weather(joined, all_wx.drop("date_partition")), "date_partition"),
+        "fact_saturation": GoldTable(CB.cube_saturation(cube), "date_key"),
+        "fact_top_array": GoldTable(CB.cube_top_array(cube), "date_key"),
+        "availability_daily_gold": GoldTable(CB.cube_gold_daily(cube, wx, dim_weather), "date_key"),
+        "quality_daily": GoldTable(CB.cube_daily_quality(cube, frozen), "date_partition"),
+        "enriched_readings": GoldTable(FX.enrich_with_weather(joined, near_wx.drop("date_partition")), "date_partition"),
         "frozen_runs": GoldTable(day(frozen, "start_time"), "day"),
-        "critical_episodes": GoldTable(day(Q.critical_episodes(all_joined), "start_time"), "day"),
-        "features_hourly": GoldTable(day(FT.hourly_features(all_joined, all_wx), "hour"), "day"),
+        "critical_episodes": GoldTable(day(critical_rows(critical_state(out).runs(spark, days)), "start_time"), "day"),
+        "features_hourly": GoldTable(day(FT.hourly_features(joined, wx, before), "hour"), "day"),
     }
 
 
-def run_gold(spark: SparkSession, out: str, max_parallel_jobs: int = 4, days: Days | None = None) -> dict[str, str]:
-    """Build and write the gold tables, then the model's predictions and the SQL reports, which
-    read the written ones."""
-    tables = gold_tables(spark, out, days)
+def take_days(spark: SparkSession, out: str, days: Days | None = None, max_parallel_jobs: int = 4) -> None:
+    """Write the given days' cube, and take their readings into the run states."""
+    st, _, av = silver_tables(spark, out, days)
+    joined = FX.join_stations(av, st)
+    in_parallel([
+        lambda: write_partitioned(CB.station_day_cube(av, st), os.path.join(out, "state", "station_day"), dynamic=days is not None),
+        lambda: frozen_state(out).take(frozen_readings(av), days),
+        lambda: critical_state(out).take(Q.critical_readings(joined).select("station_id", "reading_time", "critical"), days),
+    ], max_parallel_jobs)
+
+
+def correct_earlier_days(spark: SparkSession, out: str, days: Days) -> None:
+    """Bring the rows of runs that began before the given days up to date: in the listed runs, and the frozen counts
+    of the daily quality table. Reads the run tables' folders of those first days, rewrites those that change."""
+    gold = lambda name: os.path.join(out, "gold", name)
+    for name, state, rows in (("frozen_runs", frozen_state(out), frozen_rows), ("critical_episodes", critical_state(out), critical_rows)):
+        began, now = state.earlier(spark, days)
+        began = began.withColumnRenamed("start", "start_time")
+        listed = rows(now).withColumn("day", F.to_date("start_time"))
+        first_days = [str(r.day) for r in began.select(F.to_date("start_time").alias("day")).distinct().collect()]
+        was = read_days(spark, gold(name), listed.schema, first_days).join(began, ["station_id", "start_time"], "left_semi").select(listed.columns)
+        differ = was.exceptAll(listed).unionByName(listed.exceptAll(was))
+        touched = sorted(str(r.day) for r in differ.select("day").distinct().collect())
+        if not touched:
+            continue
+        in_touched = F.col("day").isin([dt.date.fromisoformat(d) for d in touched])
+        merge_days(spark, gold(name), listed.schema, listed.where(in_touched), began, ["station_id", "start_time"], touched)
+        if name == "frozen_runs":
+            path = os.path.join(out, "state", "station_day")
+            cube = read_days(spark, path, spark.read.parquet(path).schema, touched, "date_partition")
+            write_partitioned(CB.cube_daily_quality(cube, read_days(spark, gold(name), listed.schema, touched).drop("day")), gold("quality_daily"))
+
+
+def run_gold(spark: SparkSession, out: str, max_parallel_jobs: int = 4, days: Days | None = None,
+             only: tuple[str, ...] | None = None) -> dict[str, str]:
+    """Build and write the gold tables, then the model's moments and predictions and the SQL reports, which
+    read the written ones. ``only`` names the gold tables to write (then without reports); it must hold
+    ``frozen_runs``, ``critical_episodes``, ``features_hourly`` and ``quality_daily``, which later days go on from."""
+    take_days(spark, out, days, max_parallel_jobs)
+    tables = {n: t for n, t in gold_tables(spark, out, days).items() if only is None or n in only}
     paths = {name: os.path.join(out, "gold", name) for name in tables}
 
     def write(name: str) -> None:
@@ -165,12 +240,19 @@ def run_gold(spark: SparkSession, out: str, max_parallel_jobs: int = 4, days: Da
             write_partitioned(t.df, paths[name], t.day, dynamic=days is not None)
 
     in_parallel([lambda n=n: write(n) for n in tables], max_parallel_jobs)
+    if days:
+        correct_earlier_days(spark, out, days)
+    DailyHours(os.path.join(out, "state", "hours")).take(spark, paths["features_hourly"], days)
     paths["predictions_gold"] = os.path.join(out, "gold", "predictions_gold")
+    moments, features = os.path.join(out, "state", "moments"), spark.read.parquet(paths["features_hourly"])
+    write_partitioned(FT.day_moments(in_days(features, "day", days)), moments, "day", dynamic=days is not None)
     try:
-        scored = FT.train_and_score(spark.read.parquet(paths["features_hourly"]))[1]
+        scored = FT.score_last_days(features, spark.read.parquet(moments))
         write_partitioned(scored.withColumn("day", F.to_date("hour")), paths["predictions_gold"], "day")
     except FT.NoTrainingRows:  # fewer than two days of complete features: nothing to score
         del paths["predictions_gold"]
+    if only is not None:
+        return paths
     star = {n: spark.read.parquet(paths[n]) for n in ("fact_occupancy", "fact_dominant_weather", "dim_weather", "dim_date")}
     for name in sql_reports.REPORTS:
         paths[f"report_{name}"] = os.path.join(out, "gold", f"report_{name}")

@@ -43,4 +43,12 @@ def oracle_queries() -> dict[str, str]:
     for name in ("features_hourly", "baseline_errors", "predictions", "model_errors", "sql_station_ranking", "sql_weather_impact",
                  "sql_hourly_profile"):
         q[name] = O.feature_sql(name)
+    q["station_day_cube"] = O.cube_sql()
+    q["cube_gold_daily"] = q["gold_daily"]
+    q["cube_quality_daily"] = q["quality_daily"]
+    # the daily runs: what one run over all days gives, of the readings that have a day
+    for daily, whole in (("daily_frozen_runs", "frozen_stations"), ("daily_critical_episodes", "critical_episodes"),
+                         ("daily_features", "features_hourly"), ("daily_predictions", "predictions")):
+        q[daily] = q[whole]
+    q["daily_quality"] = f"SELECT * FROM ({q['quality_daily']}) WHERE date_partition IS NOT NULL"
     return q

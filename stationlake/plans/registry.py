@@ -16,11 +16,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationlake.operators import cube as CB
 from stationlake.operators import dimensions as D
 from stationlake.operators import facts as FX
 from stationlake.operators import features as FT
 from stationlake.operators import quality as Q
-from stationlake.plans import sql_reports
+from stationlake.plans import batch_job, sql_reports
 from stationlake.operators.cleaning import SilverResult
 from stationlake.plans import silver
 from stationlake.schemas import RAW_AVAILABILITY_COLUMNS, RAW_STATION_COLUMNS, RAW_WEATHER_COLUMNS
@@ -51,6 +52,8 @@ class Star:
 _STARS: dict[tuple[str, str], Star] = {}
 _FEATURES: dict[tuple[str, str], DataFrame] = {}
 _STREAMS: dict = {}
+_CUBES: dict[tuple[str, str], DataFrame] = {}
+_DAILY: dict[tuple[str, str], str] = {}
 
 
 def build_star(spark: SparkSession, sf_dir: str) -> Star:
@@ -357,6 +360,68 @@ def _stream_intake(spark, sf):
     return intake_counts(spark, _streams(spark, sf).intake).groupBy("status").agg(F.sum("n").alias("n"))
 
 
+def _cube(spark, sf) -> DataFrame:
+    """The station-day cube, built in two halves of the readings and merged."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _CUBES:
+        s = build_star(spark, sf)
+        path = scratch_path(spark, f"cube-{uuid.uuid4().hex}")
+        first = F.hash("station_id", "timestamp") % 2 == 0
+        halves = [CB.station_day_cube(s.availability.df.where(h), s.stations.df) for h in (first, ~first)]
+        CB.merge_cubes(*halves).write.parquet(path)
+        _CUBES[key] = spark.read.parquet(path)
+    return _CUBES[key]
+
+
+def _station_day_cube(spark, sf):
+    return _cube(spark, sf).withColumn("sum_occupancy", F.col("sum_occupancy").cast("double"))
+
+
+def _cube_gold_daily(spark, sf):
+    s = build_star(spark, sf)
+    return _flat_gold(CB.cube_gold_daily(_cube(spark, sf), s.weather.df, s.dim_weather))
+
+
+def _cube_quality_daily(spark, sf):
+    return CB.cube_daily_quality(_cube(spark, sf), Q.frozen_stations(build_star(spark, sf).availability.df))
+
+
+#: Where the daily runs cut the data: the first run takes all days up to the first date, the others go on from there.
+RUN_ENDS = ("2024-01-15", "2024-01-16", "9999-12-31")
+DAILY_TABLES = ("frozen_runs", "critical_episodes", "features_hourly", "quality_daily")
+
+
+def _daily_job(spark, sf) -> str:
+    """The batch job over the silver of this data, run once and then day range by day range: every range reads its own
+    days and the states left by the ones before."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _DAILY:
+        s = build_star(spark, sf)
+        out = scratch_path(spark, f"daily-{uuid.uuid4().hex}")
+        begin = "0001-01-01"
+        for k, end in enumerate(RUN_ENDS):
+            between = F.col("date_partition").between(F.lit(begin).cast("date"), F.lit(end).cast("date"))
+            write_partitioned(s.availability.df.where(between), f"{out}/silver/availability")
+            if k == 0:
+                s.stations.df.write.parquet(f"{out}/silver/stations")
+                write_partitioned(s.weather.df, f"{out}/silver/weather")
+            batch_job.run_gold(spark, out, days=None if k == 0 else (begin, end), only=DAILY_TABLES)
+            begin = batch_job.next_day(end)
+        _DAILY[key] = out
+    return _DAILY[key]
+
+
+def _daily(name: str, *cols: str):
+    return lambda spark, sf: spark.read.parquet(f"{_daily_job(spark, sf)}/gold/{name}").select(*cols)
+
+
+def _daily_predictions(spark, sf):
+    """The last run's scored day (the table keeps those of the runs before)."""
+    scored = spark.read.parquet(f"{_daily_job(spark, sf)}/gold/predictions_gold")
+    scored = scored.where(F.col("day") == F.lit(scored.agg(F.max("day")).first()[0])).drop("day")
+    return scored.withColumn("predicted_occupancy_pct", F.round("predicted_occupancy_pct", 3))
+
+
 def _star_tables(spark, sf) -> dict[str, DataFrame]:
     s = build_star(spark, sf)
     return {
@@ -413,6 +478,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "predictions": _predictions,
     "model_errors": _model_errors,
     "critical_alerts": _critical_alerts,
+    "station_day_cube": _station_day_cube,
+    "cube_gold_daily": _cube_gold_daily,
+    "cube_quality_daily": _cube_quality_daily,
+    "daily_frozen_runs": _daily("frozen_runs", "station_id", "bikes_available", "slots_free", "start_time", "end_time", "n_readings"),
+    "daily_critical_episodes": _daily("critical_episodes", "station_id", "start_time", "end_time", "n_readings", "duration_minutes"),
+    "daily_features": _daily("features_hourly", "station_id", "hour", "hour_of_day", "day_of_week_num", "is_weekend", "temperature_c",
+                             "rain_mm", "weather_condition", "occupancy_pct", "n_readings", "lag_1", "moving_avg_3"),
+    "daily_quality": _daily("quality_daily", "station_id", "date_partition", "n_readings", "nb_neg_bikes_available", "nb_neg_slots_free",
+                            "nb_incoherent_capacity", "n_frozen_runs", "n_frozen_readings"),
+    "daily_predictions": _daily_predictions,
     "stream_alerts": _stream_alerts,
     "stream_silver": _stream_silver,
     "stream_intake": _stream_intake,
