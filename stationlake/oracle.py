@@ -583,15 +583,23 @@ SELECT station_id, run_start, t AS alert_time, waited AS minutes_critical, bikes
           WHERE station_id IS NOT NULL AND t IS NOT NULL AND c IS NOT NULL)) WHERE c AND waited > 30) WHERE rn = 1"""
 
 
-def stream_sql(name: str) -> str:
-    """The streams' tables from the batch silver: every reading with a readable time, once."""
+def stream_sql(name: str, first_cut: str, late_day: str, late_station: str) -> str:
+    """The streams' tables from the batch silver: every reading with a readable time, once. One day's readings come
+    again too late, and one reading exactly two hours before the last one ahead of ``first_cut``."""
     if name == "stream_alerts":
         return with_ctes(gold_parts(), final=ALERTS)
+    silver = silver_parts(availability=True)
     if name == "stream_silver":
-        return with_ctes(silver_parts(availability=True), final=f"SELECT * FROM availability_silver WHERE {READ_TIME} IS NOT NULL")
+        return with_ctes(silver, final=f"SELECT * FROM availability_silver WHERE {READ_TIME} IS NOT NULL")
+    if name == "stream_day_silver":
+        return with_ctes(silver, final=f"""
+SELECT station_id, timestamp, bikes_available, slots_free, date_partition FROM availability_silver
+UNION ALL SELECT {late_station}, strftime(t, '%Y-%m-%d %H:%M:%S'), NULL, NULL, CAST(t AS DATE)
+FROM (SELECT max({READ_TIME}) - INTERVAL 2 HOUR AS t FROM availability_silver WHERE {READ_TIME} < TIMESTAMP '{first_cut}')""")
     return with_ctes(silver_availability_ctes()[0], final=f"""
 SELECT CASE WHEN {READ_TIME} IS NULL THEN 'timeless' ELSE 'on_time' END AS status, CAST(count(*) AS BIGINT) AS n
 FROM av_flagged GROUP BY 1
+UNION ALL SELECT 'late', 1 + count(*) FROM av_flagged WHERE CAST({READ_TIME} AS DATE) = DATE '{late_day}'
 UNION ALL SELECT 'rejected', count(*) FROM ({RAW_AVAILABILITY}) WHERE bikes_available = '7'""")
 
 

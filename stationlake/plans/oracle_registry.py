@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from stationlake import oracle as O
-from stationlake.plans.registry import FIXED_CALENDAR
+from stationlake.plans.registry import FIXED_CALENDAR, LATE_DAY, LATE_STATION, STREAM_CUTS
 
 
 def oracle_queries() -> dict[str, str]:
@@ -37,8 +37,8 @@ def oracle_queries() -> dict[str, str]:
     for name in ("enriched_weather", "quality_negatives", "quality_capacity", "quality_report_lines",
                  "null_audit", "weather_profile", "frozen_stations", "critical_episodes", "quality_daily"):
         q[name] = O.quality_sql(name)
-    for name in ("stream_alerts", "stream_silver", "stream_intake"):
-        q[name] = O.stream_sql(name)
+    for name in ("stream_alerts", "stream_silver", "stream_intake", "stream_day_silver"):
+        q[name] = O.stream_sql(name, STREAM_CUTS[0], LATE_DAY, LATE_STATION)
     q["critical_alerts"] = q["stream_alerts"]
     for name in ("features_hourly", "baseline_errors", "predictions", "model_errors", "sql_station_ranking", "sql_weather_impact",
                  "sql_hourly_profile"):

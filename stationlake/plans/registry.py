@@ -22,7 +22,8 @@ from stationlake.operators import facts as FX
 from stationlake.operators import features as FT
 from stationlake.operators import quality as Q
 from stationlake.plans import batch_job, sql_reports
-from stationlake.operators.cleaning import SilverResult
+from stationlake.functions import rules as R
+from stationlake.operators.cleaning import CleanRule, SilverResult, apply_rules, strip_flags
 from stationlake.plans import silver
 from stationlake.schemas import RAW_AVAILABILITY_COLUMNS, RAW_STATION_COLUMNS, RAW_WEATHER_COLUMNS
 from stationlake.session import scratch_path
@@ -326,22 +327,41 @@ def _critical_alerts(spark, sf):
     return Q.critical_alerts(Q.critical_readings(build_star(spark, sf).joined))
 
 
+#: Where the raw files of the streams are cut: each part is landed and run before the next one.
+STREAM_CUTS = ("2024-01-12 00:00:00", "2024-01-20 00:00:00")
+LATE_DAY = "2024-01-05"  # its readings are landed a second time with the second part, long past the watermark
+LATE_STATION = "999999999"  # and a reading of this station exactly at the watermark
+
+
 def _streams(spark, sf):
-    """B9 + B10 as streams: the derived raw availability is landed as CSV files (some lines
-    malformed) in the shared scratch folder and run through intake, silver and alerts."""
+    """B9 + B10 as streams over three parts of the derived raw availability, landed one after the other as CSV files
+    (some lines malformed, some late) in the shared scratch folder: intake, silver, alerts, day silver."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _STREAMS:
+        from stationlake.streaming.ingest import WATERMARK
         from stationlake.streaming.jobs import run_streams
 
         base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
         raw_st = td.raw_stations(spark, sf)
         raw = td.raw_availability(spark, sf)
-        land_csv(raw, f"{base}/raw/first")
-        # the same lines again with a field too many: set apart by the intake, they change nothing else
-        land_csv(raw.where(landed_malformed("availability")), f"{base}/raw/again", malformed=F.lit(True))
-        _STREAMS[key] = run_streams(spark, f"{base}/raw/*", raw_st, build_star(spark, sf).stations.df, f"{base}/out",
-                                    header=False, close=True,
-                                    state_partitions=2 * spark.sparkContext.defaultParallelism)
+        timed = strip_flags(apply_rules(raw.withColumn("t", F.col("timestamp")), [CleanRule("t", R.clean_date)]))
+        t = F.col("t").try_cast("timestamp")
+        cuts = [F.lit(c).cast("timestamp") for c in STREAM_CUTS]
+        part = F.when(t >= cuts[1], 2).when(t >= cuts[0], 1).otherwise(0)
+        at_limit = timed.where(part == 0).agg(F.max(t).alias("m")).select(
+            F.lit(LATE_STATION).alias("station_id"),
+            F.date_format(F.col("m") - F.expr(f"INTERVAL {WATERMARK}"), "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+            F.lit("").alias("bikes_available"), F.lit("").alias("slots_free"))
+        for k in range(3):
+            land_csv(timed.where(part == k).select(*RAW_AVAILABILITY_COLUMNS), f"{base}/raw/part-{k}")
+            if k == 0:
+                # some lines again with a field too many: set apart by the intake, they change nothing else
+                land_csv(raw.where(landed_malformed("availability")), f"{base}/raw/again", malformed=F.lit(True))
+            if k == 1:
+                land_csv(timed.where(F.to_date(t) == F.lit(LATE_DAY).cast("date")).select(*RAW_AVAILABILITY_COLUMNS), f"{base}/raw/late")
+                land_csv(at_limit, f"{base}/raw/limit")
+            _STREAMS[key] = run_streams(spark, f"{base}/raw/*", raw_st, build_star(spark, sf).stations.df, f"{base}/out",
+                                        header=False, close=k == 2, state_partitions=2 * spark.sparkContext.defaultParallelism)
     return _STREAMS[key]
 
 
@@ -354,6 +374,11 @@ def _stream_silver(spark, sf):
         "station_id", "timestamp", "bikes_available", "slots_free", "date_partition")
 
 
+def _stream_day_silver(spark, sf):
+    return spark.read.parquet(_streams(spark, sf).day_silver).select("station_id", "timestamp", "bikes_available", "slots_free",
+                                                                     "date_partition")
+
+
 def _stream_intake(spark, sf):
     from stationlake.streaming.ingest import intake_counts
 
@@ -491,4 +516,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_alerts": _stream_alerts,
     "stream_silver": _stream_silver,
     "stream_intake": _stream_intake,
+    "stream_day_silver": _stream_day_silver,
 }

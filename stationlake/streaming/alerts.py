@@ -2,21 +2,21 @@
 
 Each micro-batch of the silver stream joins the runs left open by the batches before: a small
 table with one row per station inside a critical run (its start, and whether it already raised
-its alert), kept by batch id next to the alerts. An open run enters the batch as a critical
+its alert), kept in two slots (:mod:`stationlake.streaming.state`). An open run enters the batch as a critical
 reading at its start; then the batch operator :func:`stationlake.operators.quality.critical_alerts`
 finds runs and alerts with windows by station and day — no Python per row, and a station's rows
 are cut by day. Open runs that have raised their alert raise no second one.
 
 The silver stream emits readings in watermark order, so no batch holds a reading older than those
-of the batch before, and the alerts are those of the batch twin. Alerts and open runs are
-written by batch id: a repeated batch replaces its own.
+of the batch before, and the alerts are those of the batch twin. Alerts are written by batch id:
+a repeated batch replaces its own, and finds the open runs that it started from.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,23 +24,11 @@ from stationlake.operators.facts import join_stations
 from stationlake.operators.quality import (CRITICAL_MINUTES, CRITICAL_SHARE_PCT, critical_alerts,
                                            critical_readings)
 from stationlake.operators.runs import with_run_start
+from stationlake.streaming.state import leave, left_by_last_batch
 
 OPEN_SCHEMA = "station_id int, run_start timestamp_ntz, alerted boolean"
 
 
-def open_runs(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    """The runs open after the last batch before this one."""
-    try:
-        rows = spark.read.schema(OPEN_SCHEMA).option("basePath", path).parquet(path)
-    except Exception as e:  # the first batch: no folder yet
-        if "PATH_NOT_FOUND" in str(e):
-            return spark.createDataFrame([], OPEN_SCHEMA)
-        raise
-    before = rows.where(F.col("batch_id") < batch_id)
-    last = before.agg(F.max("batch_id")).first()[0]
-    return before.where(F.col("batch_id") == F.lit(last)).where("station_id is not null").drop("batch_id")
-
-
 def step(silver: DataFrame, stations: DataFrame, open_: DataFrame, share_pct: int = CRITICAL_SHARE_PCT,
          minutes: int = CRITICAL_MINUTES) -> tuple[DataFrame, DataFrame]:
     """New alerts, and the runs open afterwards, from one batch of silver readings."""
@@ -64,15 +52,13 @@ def step(silver: DataFrame, stations: DataFrame, open_: DataFrame, share_pct: in
 def start_alerts(silver: DataFrame, stations: DataFrame, out_path: str, open_path: str, checkpoint: str, *,
                  share_pct: int = CRITICAL_SHARE_PCT, minutes: int = CRITICAL_MINUTES, available_now: bool = True,
                  processing_time: str | None = None) -> StreamingQuery:
-    """Alerts to ``out_path`` and open runs to ``open_path``, both by batch id."""
+    """Alerts to ``out_path`` by batch id, the runs open after the last batch to ``open_path``."""
 
     def take(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        new, still = step(batch, stations, open_runs(spark, open_path, batch_id), share_pct, minutes)
+        new, still = step(batch, stations, left_by_last_batch(spark, open_path, OPEN_SCHEMA, batch_id), share_pct, minutes)
         new.write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
-        # a row without a station marks a batch that leaves no run open
-        mark = spark.createDataFrame([(None, None, None)], OPEN_SCHEMA)
-        still.unionByName(mark).write.mode("overwrite").parquet(os.path.join(open_path, f"batch_id={batch_id}"))
+        leave(still, open_path, OPEN_SCHEMA, batch_id)
 
     writer = silver.writeStream.option("checkpointLocation", checkpoint).foreachBatch(take)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(

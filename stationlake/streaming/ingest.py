@@ -6,21 +6,25 @@
 
    * ``rejected``: lines with another number of fields (raw line kept);
    * ``timeless``: no readable time, so no place in event time;
-   * ``late``: older than the watermark of the batches before;
+   * ``late``: not newer than the watermark of the batches before;
    * ``on_time``: the rest.
 
-   Nothing disappears: :func:`intake_counts` counts every line of every batch. A repeated batch
-   replaces its own folder.
+   Nothing disappears: :func:`intake_counts` counts every line of every batch. A batch appears whole (its folder
+   is renamed into place, which file systems do at once and object stores file by file).
 2. Silver. The on-time readings are deduplicated on ``(station_id, timestamp)`` by the most complete
    copy, exactly like the batch: an event-time aggregation that emits a reading once the
    watermark has passed it. So a reading appears after the watermark, but it is the one that the batch
    keeps. :func:`close_input` adds a mark after the last reading so that the end of a finite
    input is emitted too.
+3. Day silver. :func:`start_day_silver` merges the emitted readings, then the late and timeless ones
+   (:func:`set_aside_stream`), into a table by day: the most complete copy of each reading again, touched days
+   only. So the day silver is the batch silver, whatever arrives when.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,9 +35,13 @@ from pyspark.sql.types import (DateType, IntegerType, StringType, StructField, S
 from stationlake.operators.cleaning import SCORE, apply_rules, strip_flags
 from stationlake.plans.silver import AVAILABILITY_RULES, raw_capacity
 from stationlake.schemas import RAW_AVAILABILITY_COLUMNS
+from stationlake.session import scratch_path
 from stationlake.sources.csv import CORRUPT_RECORD, csv_options, text_schema
+from stationlake.sources.sinks import write_partitioned
+from stationlake.streaming.state import leave, left_by_last_batch
 
 WATERMARK = "2 hours"
+LAST_SCHEMA = "reading_time timestamp"
 INTAKE_SCHEMA = StructType([
     StructField("station_id", IntegerType()), StructField("timestamp", StringType()),
     StructField("bikes_available", IntegerType()), StructField("slots_free", IntegerType()),
@@ -64,33 +72,44 @@ def clean_readings(raw: DataFrame, raw_stations: DataFrame) -> DataFrame:
             .select(*INTAKE_SCHEMA.fieldNames()))
 
 
-def _event_limit(spark: SparkSession, intake: str, batch_id: int, watermark: str):
-    """The watermark left by the batches before: their last on-time reading minus the delay."""
-    try:
-        rows = spark.read.schema(INTAKE_SCHEMA).option("basePath", intake).parquet(intake)
-    except Exception as e:  # the first batch: no folder yet
-        if "PATH_NOT_FOUND" in str(e):
-            return F.lit(None).cast("timestamp")
-        raise
-    last = rows.where((F.col("batch_id") < batch_id) & (F.col("status") == "on_time")).agg(F.max("reading_time")).first()[0]
-    return F.lit(last).cast("timestamp") - F.expr(f"INTERVAL {watermark}")
+def publish(rows: DataFrame, folder: str, hidden: str) -> None:
+    """Write ``rows`` by status and put the finished folder in place by a rename, so that a reader of the intake sees a
+    batch whole or not at all. A batch that is there already (a repeated one) stays as it is."""
+    spark = rows.sparkSession
+    jvm = spark.sparkContext._jvm
+    to = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = to.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(to):
+        return
+    rows.write.mode("overwrite").partitionBy("status").parquet(hidden)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(hidden), to):
+        raise OSError(f"cannot rename {hidden} to {folder}")
 
 
 def start_intake(stream: DataFrame, raw_stations: DataFrame, intake: str, checkpoint: str, *,
                  watermark: str = WATERMARK, available_now: bool = True,
                  processing_time: str | None = None) -> StreamingQuery:
-    """Step 1: every line of every batch, written once with its status."""
+    """Step 1: every line of every batch, written once with its status.
+
+    A reading is late if it is not newer than the last on-time reading of the batches before minus the
+    delay: the very readings that an event-time aggregation drops. That last reading is one row of state."""
+    state = os.path.join(intake, "_last")
 
     def take(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         rows = clean_readings(batch, raw_stations)
-        limit = _event_limit(batch.sparkSession, intake, batch_id, watermark)
+        last = left_by_last_batch(spark, state, LAST_SCHEMA, batch_id).agg(F.max("reading_time")).first()[0]
+        limit = F.lit(last).cast("timestamp") - F.expr(f"INTERVAL {watermark}")
         status = (F.when(F.col(CORRUPT_RECORD).isNotNull(), F.lit("rejected"))
                   .when(F.col("reading_time").isNull(), F.lit("timeless"))
-                  .when(F.coalesce(F.col("reading_time") < limit, F.lit(False)), F.lit("late"))
+                  .when(F.coalesce(F.col("reading_time") <= limit, F.lit(False)), F.lit("late"))
                   .otherwise(F.lit("on_time")))
-        (rows.withColumn("batch_id", F.lit(batch_id)).withColumn("status", status)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id", "status").parquet(intake))
+        folder = os.path.join(intake, f"batch_id={batch_id}")
+        publish(rows.withColumn("status", status), folder, os.path.join(intake, f"_batch-{batch_id}"))
+        own = spark.read.schema(StructType([*INTAKE_SCHEMA, StructField("status", StringType())])).parquet(folder)
+        newest = own.where("status = 'on_time'").agg(F.max("reading_time").alias("t"))
+        leave(newest.select(F.greatest("t", F.lit(last).cast("timestamp")).alias("reading_time")), state, LAST_SCHEMA, batch_id)
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(take)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
@@ -125,7 +144,7 @@ def silver_stream(spark: SparkSession, intake: str, watermark: str = WATERMARK)
     # the mark of the end has no score; a filter on an aggregate is not pushed below the watermark,
     # which the mark must reach
     return best.where(F.col(f"b.{SCORE}").isNotNull()).select(
-        "station_id", "timestamp", "b.bikes_available", "b.slots_free", "reading_time", "b.date_partition")
+        "station_id", "timestamp", "b.bikes_available", "b.slots_free", "reading_time", "b.date_partition", f"b.{SCORE}", "b.capacity")
 
 
 def start_silver(silver: DataFrame, out_path: str, checkpoint: str, *, available_now: bool = True,
@@ -137,3 +156,47 @@ def start_silver(silver: DataFrame, out_path: str, checkpoint: str, *, available
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime=processing_time or "1 minute")
     return writer.start(out_path)
+
+
+DAY_SILVER = StructType([
+    StructField("station_id", IntegerType()), StructField("timestamp", StringType()), StructField("bikes_available", IntegerType()),
+    StructField("slots_free", IntegerType()), StructField(SCORE, IntegerType()), StructField("capacity", StringType()),
+    StructField("date_partition", DateType()),
+])
+
+
+def merge_readings(new: DataFrame, path: str) -> None:
+    """Merge readings into the day silver: in the days that ``new`` touches, the most complete copy of each
+    (station, time) among those stored and those new. Other days are not read; merging twice changes nothing."""
+    spark = new.sparkSession
+    day = F.substring("timestamp", 1, 10).try_cast("date")
+    rows = new.withColumn("date_partition", day).select(*DAY_SILVER.fieldNames())
+    days = [r.date_partition for r in rows.select("date_partition").distinct().collect()]
+    if not days:
+        return
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        touched = F.col("date_partition").isin([d for d in days if d is not None])
+        if None in days:
+            touched = F.coalesce(touched, F.lit(True))
+        rows = rows.unionByName(spark.read.schema(DAY_SILVER).parquet(path).where(touched))
+    rest = [n for n in DAY_SILVER.fieldNames() if n not in ("station_id", "timestamp")]
+    best = (rows.groupBy("station_id", "timestamp").agg(F.min(F.struct(SCORE, *[n for n in rest if n != SCORE])).alias("b"))
+            .select("station_id", "timestamp", *[f"b.{n}" for n in rest]).select(*DAY_SILVER.fieldNames()))
+    staged = scratch_path(spark, f"day-silver-{uuid.uuid4().hex}")
+    best.write.parquet(staged)
+    write_partitioned(spark.read.schema(DAY_SILVER).parquet(staged), path)
+
+
+def start_day_silver(rows: DataFrame, path: str, checkpoint: str, *, available_now: bool = True,
+                     processing_time: str | None = None) -> StreamingQuery:
+    """Merge every batch of a stream of readings (with score and capacity) into the day silver."""
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda batch, _: merge_readings(batch, path))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "10 minutes")
+    return writer.start()
+
+
+def set_aside_stream(spark: SparkSession, intake: str) -> DataFrame:
+    """The intake's late and timeless readings as a stream."""
+    return spark.readStream.schema(INTAKE_SCHEMA).parquet(os.path.join(intake, "batch_id=*", "status={late,timeless}"))

@@ -13,14 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (DateType, IntegerType, StringType, StructField, StructType,
                                TimestampType)
 
+from stationlake.operators.cleaning import SCORE
 from stationlake.streaming.alerts import start_alerts
-from stationlake.streaming.ingest import (WATERMARK, close_input, read_raw_stream, silver_stream,
-                                          start_intake, start_silver)
+from stationlake.streaming.ingest import (WATERMARK, close_input, read_raw_stream, set_aside_stream, silver_stream,
+                                          start_day_silver, start_intake, start_silver)
 
 SILVER_STREAM_SCHEMA = StructType([
     StructField("station_id", IntegerType()), StructField("timestamp", StringType()),
     StructField("bikes_available", IntegerType()), StructField("slots_free", IntegerType()),
     StructField("reading_time", TimestampType()), StructField("date_partition", DateType()),
+    StructField(SCORE, IntegerType()), StructField("capacity", StringType()),
 ])
 
 
@@ -38,6 +40,10 @@ class StreamPaths:
     def silver(self) -> str:
         return os.path.join(self.base, "silver")
 
+    @property
+    def day_silver(self) -> str:
+        return os.path.join(self.base, "day_silver")
+
     @property
     def alerts(self) -> str:
         return os.path.join(self.base, "alerts")
@@ -51,7 +57,8 @@ def run_streams(spark: SparkSession, raw_dir: str, raw_stations: DataFrame, stat
                 max_files_per_trigger: int | None = None, close: bool = False,
                 state_partitions: int | None = None) -> StreamPaths:
     """Run intake, silver and alerts; with ``available_now`` every file present is processed and
-    the streams end, else they keep running.
+    the streams end, else they keep running. The day silver is merged at the end of an ``available_now`` run (beside
+    running streams, such a run on a schedule does it: :func:`settle_days`).
 
     ``close`` marks the end of a finite input, so that its last readings are emitted too.
     ``state_partitions`` (fixed when a stream first starts) is set in a session of the streams' own."""
@@ -68,14 +75,23 @@ def run_streams(spark: SparkSession, raw_dir: str, raw_stations: DataFrame, stat
     silver = start_silver(silver_stream(own, paths.intake, watermark), paths.silver, paths.checkpoint("silver"),
                           available_now=available_now)
     _settle(silver, available_now)
-    readings = own.readStream.schema(SILVER_STREAM_SCHEMA).parquet(paths.silver)
+    readings = own.readStream.schema(SILVER_STREAM_SCHEMA).parquet(paths.silver).drop(SCORE, "capacity")
     alerts = start_alerts(readings, stations, paths.alerts, os.path.join(base, "open_runs"), paths.checkpoint("alerts"),
                           available_now=available_now)
+    _settle(alerts, available_now)
     if available_now:
-        alerts.awaitTermination()
+        settle_days(own, paths)
     return paths
 
 
+def settle_days(spark: SparkSession, paths: StreamPaths) -> None:
+    """Merge what the silver stream has emitted since the last time, then what the intake has set aside, into
+    the day silver. The table has one writer at a time."""
+    emitted = spark.readStream.schema(SILVER_STREAM_SCHEMA).parquet(paths.silver)
+    for name, rows in (("days", emitted), ("late", set_aside_stream(spark, paths.intake))):
+        start_day_silver(rows, paths.day_silver, paths.checkpoint(name)).awaitTermination()
+
+
 def _settle(query, available_now: bool) -> None:
     if available_now:
         query.awaitTermination()
