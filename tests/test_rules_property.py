@@ -10,36 +10,34 @@ from pyspark.sql import functions as F
 from stationlake.functions import rules as R
 
 DIG = st.text(alphabet="0123456789", min_size=1, max_size=4)
-PIECES = st.sampled_from(["2025", "11", "01", "-", "/", ".", " ", "T", ":", "10", "00", "Z", "123", "x",
-                          "  ", "31", "1"])
-TS_TEXT = st.one_of(st.lists(PIECES, max_size=9).map("".join), st.text(max_size=12), st.none())
-
-
-def model_date(s):
-    """The date rule as the survey states it (ASCII input)."""
-    if not s:
-        return (None, False, True)
-    corrected = False
-    if "T" in s:
-        corrected, s = True, s.replace("T", " ")
-    if re.search(r"[./]", s):
-        corrected, s = True, re.sub(r"[./]", "-", s.strip())
-    if " " in s:
-        d, h = s.split(" ")[0], s.split(" ")[1]
-    else:
-        d, h = s[:10], s[10:]
-    if re.match(r"^\d{2}-\d{2}-\d{4}$", d):
-        d, corrected = f"{d[6:10]}-{d[3:5]}-{d[0:2]}", True
-    elif not re.match(r"^\d{4}-\d{2}-\d{2}$", d):
-        return (None, corrected, True)
-    hs = h.strip()
-    if len(hs) == 0:
-        hs, corrected = "00:00:00", True
-    elif re.match(r"^\d{2}:\d{2}$", hs):
-        hs, corrected = hs + ":00", True
-    elif re.match(r"^\d{2}:\d{2}:\d{2}.+", hs):
-        hs, corrected = hs[:8], True
-    return (f"{d} {hs}", corrected, False)
+TWO = st.integers(0, 99).map("{:02d}".format)
+FOUR = st.integers(0, 9999).map("{:04d}".format)
+OK, FIXED, BAD = (False, False), (True, False), (False, True)  # corrected, invalid
+
+
+@st.composite
+def written_dates(draw):
+    """A text put together from the parts of a date, with the cell that those parts must give."""
+    year, month, day, mark = draw(FOUR), draw(TWO), draw(TWO), draw(st.sampled_from("--/."))
+    day_first, gap = draw(st.booleans()), draw(st.sampled_from(" T"))
+    time, clean = draw(st.one_of(
+        st.just(("", "00:00:00")), st.tuples(TWO, TWO).map(lambda x: (":".join(x), ":".join(x) + ":00")),
+        st.tuples(TWO, TWO, TWO).map(lambda x: (":".join(x),) * 2),
+        st.tuples(TWO, TWO, TWO, DIG).map(lambda x: (":".join(x[:3]) + "-" + x[3] + "Z", ":".join(x[:3])))))
+    text = mark.join([day, month, year] if day_first else [year, month, day]) + (gap + time if time else "")
+    value = f"{year}-{month}-{day} {clean}"
+    return text, (value, text != value, False)
+
+
+@st.composite
+def broken_dates(draw):
+    """A date with a digit too few, too many or no digit at all in one part: no date, whatever follows."""
+    parts = [draw(FOUR), draw(TWO), draw(TWO)]
+    at = draw(st.integers(0, 2))
+    parts[at] = draw(st.sampled_from(["", parts[at][1:], parts[at] + "0", "x" * len(parts[at])]))
+    time = draw(st.sampled_from(["", " 10:00", " 10:00:00"]))
+    text = "-".join(parts) + (time or " ")
+    return text, (None, False, True)
 
 
 def model_decimal(s, low, high, comma):
@@ -62,14 +60,30 @@ def apply(spark, rule, values):
     return [got[i] for i in range(len(values))]
 
 
-ASCII = st.characters(min_codepoint=32, max_codepoint=126)
-
 
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.one_of(TS_TEXT, st.text(alphabet=ASCII, max_size=20)), min_size=50, max_size=200))
-def test_clean_date_matches_model(spark, values):
-    values = [v if v is None else v.encode("ascii", "ignore").decode() for v in values]
-    assert apply(spark, R.clean_date, values) == [model_date(v) for v in values]
+@given(st.lists(st.one_of(written_dates(), broken_dates()), min_size=50, max_size=200))
+def test_clean_date_of_written_parts(spark, cases):
+    assert apply(spark, R.clean_date, [c[0] for c in cases]) == [c[1] for c in cases]
+
+
+#: Odd texts and their cells: (text, value, (corrected, invalid)).
+ODD_DATES = [
+    (None, None, BAD), ("", None, BAD), (" ", None, BAD), ("x", None, BAD), ("2025-11-01", "2025-11-01 00:00:00", FIXED),
+    ("2025-11-01 ", "2025-11-01 00:00:00", FIXED), ("2025-11-01  10:00", "2025-11-01 00:00:00", FIXED),
+    ("2025-11-01 10:00 11:00", "2025-11-01 10:00:00", FIXED), ("2025-11-01 10:00:00 x", "2025-11-01 10:00:00", OK),
+    ("2025-11-01 abc", "2025-11-01 abc", OK), ("2025-11-0110:00", "2025-11-01 10:00:00", FIXED), ("2025-11-01x", "2025-11-01 x", OK),
+    ("T2025-11-01", None, (True, True)), ("2025/11/01 10.00", "2025-11-01 10-00", FIXED), (" 01/11/2025 ", "2025-11-01 00:00:00", FIXED),
+    (" 01-11-2025", None, BAD), ("1/11/2025", None, (True, True)), ("2025-11-01T10:00:00", "2025-11-01 10:00:00", FIXED),
+    # only a newline ends a line: the other line ends are plain characters
+    ("01-11-2025\r 10:00", None, BAD), ("2025-11-01 10:00\r", "2025-11-01 10:00:00", FIXED),
+    ("2025-11-01 10:00:00\r", "2025-11-01 10:00:00", OK), ("01/11/2025\x85 10:00", None, (True, True)),
+]
+
+
+def test_clean_date_of_odd_texts(spark):
+    got = apply(spark, R.clean_date, [c[0] for c in ODD_DATES])
+    assert {t: g for (t, _, _), g in zip(ODD_DATES, got, strict=True)} == {t: (v, *f) for t, v, f in ODD_DATES}
 
 
 NUM = st.one_of(st.builds(lambda a, b, c, sep: f"{a}{b}{sep}{c}", st.sampled_from(["", "-", "+", " "]),
@@ -82,10 +96,3 @@ NUM = st.one_of(st.builds(lambda a, b, c, sep: f"{a}{b}{sep}{c}", st.sampled_fro
 def test_decimal_rules_match_model(spark, values):
     assert apply(spark, R.clean_temperature, values) == [model_decimal(v, -20, 50, True) for v in values]
     assert apply(spark, R.clean_rain_mm, values) == [model_decimal(v, 0, None, True) for v in values]
-
-
-def test_clean_date_line_terminators(spark):
-    """Only "\n" ends a line (as in the rule text): "\r" and friends are plain characters."""
-    values = ["01-11-2025\r 10:00", "2025-11-01 10:00\r", "01-11-2025\n", "2025-11-01 10:00:00\r",
-              "2025-11-01\u2028", "01/11/2025\x85 10:00"]
-    assert apply(spark, R.clean_date, values) == [model_date(v) for v in values]
