@@ -108,6 +108,30 @@ def keep_best(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> Da
                          for c in df.columns])
 
 
+#: Columns that :func:`keep_best_counted` adds: the raw rows that a kept row stands for, and their flags.
+ROW_COUNTS = ("n_raw", "n_corrected", "n_invalid")
+
+
+def keep_best_counted(flagged: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """:func:`keep_best` over flagged rows, which also counts, in the same aggregation, the rows that each kept one
+    stands for (:data:`ROW_COUNTS`)."""
+    keys = list(keys)
+    cols = [c for c in flagged.columns if c not in (ROW_CORRECTED, VALUE_INVALID)]
+    ranked = list(order_by) + [c for c in cols if c not in keys and c not in order_by]
+    best = flagged.groupBy(*keys).agg(
+        F.min(F.struct(*ranked)).alias("__best"), F.count(F.lit(1)).cast("int").alias("n_raw"),
+        F.count_if(F.col(ROW_CORRECTED)).cast("int").alias("n_corrected"), F.count_if(F.col(VALUE_INVALID)).cast("int").alias("n_invalid"))
+    return best.select(*[F.col(c) if c in keys else F.col(f"__best.{c}").alias(c) for c in cols], *ROW_COUNTS)
+
+
+def counted_report(written: DataFrame) -> DataFrame:
+    """The one-row report of a written table with :data:`ROW_COUNTS`: sums over its committed files, so a task or stage that
+    ran twice counts once."""
+    total = lambda c: F.coalesce(F.sum(F.col(c).cast("bigint")), F.lit(0))
+    return written.agg(total("n_raw").alias("rows_raw"), total("n_corrected").alias("rows_corrected"),
+                       total("n_invalid").alias("rows_invalid"), (total("n_raw") - F.count(F.lit(1))).alias("rows_removed"))
+
+
 def all_null(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
     cols = list(cols or df.columns)
     return functools.reduce(operator.and_, [F.col(c).isNull() for c in cols])
@@ -145,10 +169,11 @@ class SilverResult:
 def to_silver(df: DataFrame, rules: Sequence[CleanRule], *, score: bool = False,
               dedup_keys: Sequence[str] | None = None, partition_col: str | None = None,
               drop_cols: Sequence[str] | None = None, observe: bool = False,
-              days: tuple[str, str] | None = None) -> SilverResult:
+              days: tuple[str, str] | None = None, counted: bool = False) -> SilverResult:
     """Raw → silver: clean, add ``date_partition``, report, dedup, drop empty rows.
 
-    ``days`` (first and last, inclusive) keeps only rows of those days, before the counters.
+    ``days`` (first and last, inclusive) keeps only rows of those days, before the counters. ``counted`` (of a table
+    with dedup) leaves :data:`ROW_COUNTS` in the rows, for :func:`counted_report` over the written table.
 
     Dedup (keep the lowest ``score`` per ``dedup_keys``) runs only when ``score`` is on,
     rows NULL in every column are removed, then ``drop_cols`` are dropped.
@@ -168,7 +193,9 @@ def to_silver(df: DataFrame, rules: Sequence[CleanRule], *, score: bool = False,
                                  F.count_if(F.col(VALUE_INVALID)).alias("rows_invalid"))
     clean = strip_flags(staged)
     dedup = bool(dedup_keys) and score
-    if dedup:
+    if dedup and counted:
+        clean = keep_best_counted(staged, dedup_keys, [SCORE])
+    elif dedup:
         clean = keep_best(clean, dedup_keys, [SCORE])
     if not score:
         # with a score column (never NULL) no row can be NULL everywhere: nothing to drop

@@ -219,9 +219,9 @@ def apply_rules(chain: Chain, rules: list[tuple[str, tuple]]) -> Chain:
 
 
 # --------------------------------------------------------------------------- silver
-def silver_stations_ctes(prefix: str = "st") -> tuple[list, str]:
+def silver_stations_ctes(prefix: str = "st", source: str = RAW_STATIONS) -> tuple[list, str]:
     """(ctes, last cte name) with columns of the station silver + flags."""
-    ch = Chain(prefix, RAW_STATIONS)
+    ch = Chain(prefix, source)
     apply_rules(ch, [("station_id", _rule_positive_int()),
                      ("station_name", _rule_station_name()),
                      ("lat", _rule_decimal(-90.0, 90.0, False, "FLOAT")),
@@ -235,8 +235,8 @@ WEATHER_COLS = "timestamp, temperature_c, rain_mm, weather_condition, date_parti
 AVAIL_COLS = "station_id, timestamp, bikes_available, slots_free, date_partition"
 
 
-def silver_weather_ctes(prefix: str = "wx") -> tuple[list, str]:
-    ch = Chain(prefix, RAW_WEATHER)
+def silver_weather_ctes(prefix: str = "wx", source: str = RAW_WEATHER) -> tuple[list, str]:
+    ch = Chain(prefix, source)
     apply_rules(ch, [("timestamp", _rule_date()),
                      ("temperature_c", _rule_decimal(-20.0, 50.0, True)),
                      ("rain_mm", _rule_decimal(0.0, None, True)),
@@ -288,9 +288,11 @@ def silver_parts(*, stations: bool = False, weather: bool = False, availability:
     return parts
 
 
-def report_sql(which: str) -> str:
+def report_sql(which: str, raw: dict[str, str] | None = None) -> str:
+    """The report of a silver table, of the given raw tables or of those derived from the data."""
+    raw = raw or {"stations": RAW_STATIONS, "availability": RAW_AVAILABILITY, "weather": RAW_WEATHER}
     if which == "availability":
-        parts = silver_parts(availability=True)
+        parts = silver_availability_ctes("av", raw["availability"], raw["stations"])[0]
         final = ("SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS rows_raw, "
                  "CAST(coalesce(sum(c), 0) AS BIGINT) AS rows_corrected, "
                  "CAST(coalesce(sum(i), 0) AS BIGINT) AS rows_invalid, "
@@ -298,7 +300,7 @@ def report_sql(which: str) -> str:
                  "count(*) FILTER (WHERE row_corrected) AS c, count(*) FILTER (WHERE value_invalid) AS i "
                  "FROM av_flagged GROUP BY station_id, timestamp)")
         return with_ctes(parts, final=final)
-    ctes, last = silver_stations_ctes() if which == "stations" else silver_weather_ctes()
+    ctes, last = (silver_stations_ctes("st", raw["stations"]) if which == "stations" else silver_weather_ctes("wx", raw["weather"]))
     cols = STATION_COLS if which == "stations" else WEATHER_COLS
     all_null = " AND ".join(f"{x} IS NULL" for x in cols.split(", "))
     final = (f"SELECT count(*) AS rows_raw, count(*) FILTER (WHERE row_corrected) AS rows_corrected, "
@@ -433,16 +435,28 @@ JOIN fact_top t ON a.date_key = t.date_key"""
     raise KeyError(name)
 
 
-def landing_sql(name: str) -> str:
-    """What the CSV landing gives back: lines with one field too many are set apart, and an empty
-    field is a missing one."""
+def _landed() -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
+    """Of each raw table: which lines are well formed, all its rows, and the rows that the landing gives back."""
     good = {"stations": "capacity IS DISTINCT FROM '23'", "availability": "bikes_available IS DISTINCT FROM '7'",
             "weather": "weather_condition IS DISTINCT FROM 'Fog'"}
     raw = {"stations": RAW_STATIONS, "availability": RAW_AVAILABILITY, "weather": RAW_WEATHER}
-    rows = {k: f"SELECT nullif(columns(*), '') FROM ({raw[k]}) WHERE {good[k]}" for k in raw}
+    return good, raw, {k: f"SELECT nullif(columns(*), '') FROM ({raw[k]}) WHERE {good[k]}" for k in raw}
+
+
+def landing_sql(name: str) -> str:
+    """What the CSV landing gives back: lines with one field too many are set apart, and an empty
+    field is a missing one."""
+    good, raw, rows = _landed()
     if name == "csv_rejects":
         return " UNION ALL ".join(f"SELECT '{k}' AS table_name, count(*) FILTER (WHERE {good[k]}) AS rows_read, "
                                   f"count(*) FILTER (WHERE NOT ({good[k]})) AS rows_malformed FROM ({raw[k]})" for k in raw)
+    if name == "batch_report":
+        return " UNION ALL ".join(
+            f"SELECT '{k}_silver' AS table_name, rows_raw, (SELECT count(*) FROM ({raw[k]}) WHERE NOT ({good[k]})) AS rows_malformed, "
+            f"rows_corrected, rows_invalid, rows_removed FROM ({report_sql(k, rows)})" for k in raw)
+    if name == "station_export":
+        ctes, last = silver_stations_ctes("st", rows["stations"])
+        return with_ctes(ctes, final=f"SELECT {STATION_COLS} FROM {last} WHERE coalesce({', '.join(f'CAST({c} AS VARCHAR)' for c in STATION_COLS.split(', '))}) IS NOT NULL")
     if name == "csv_stations":
         return rows["stations"]
     ctes, last = silver_availability_ctes("av", rows["availability"], rows["stations"])

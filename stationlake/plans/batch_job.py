@@ -1,9 +1,9 @@
 """Batch job: raw tables → silver parquet (+ quality reports) → gold star schema.
 
 Silver tables are written once and read back for the gold step: the write cuts the
-lineage (a lost executor re-reads parquet instead of recomputing the cleaning), and the
-quality counters are captured by ``observe`` during that same write — no extra pass
-(``exact_counts=True`` aggregates them instead, see :class:`SilverResult`).
+lineage (a lost executor re-reads parquet instead of recomputing the cleaning). The quality
+counters of the readings are columns of that same write, summed over the committed files: exact even where
+tasks or stages ran again. The two small tables are counted by an aggregation.
 
 With ``days`` (first and last day) only those days are cleaned, read and replaced: readings, daily
 facts and daily tables are partitioned by day and written with dynamic overwrite. What looks
@@ -30,6 +30,7 @@ from stationlake.operators import dimensions as D
 from stationlake.operators import facts as FX
 from stationlake.operators import features as FT
 from stationlake.operators import quality as Q
+from stationlake.operators.cleaning import ROW_COUNTS, counted_report
 from stationlake.plans import silver, sql_reports
 from stationlake.plans.daily_state import DailyHours, DailyRuns, Days, merge_days, read_days, stored_days
 from stationlake.schemas import RAW_AVAILABILITY_COLUMNS, RAW_STATION_COLUMNS, RAW_WEATHER_COLUMNS
@@ -66,15 +67,14 @@ def in_parallel(jobs: list, workers: int) -> None:
 
 
 def run_silver(spark: SparkSession, raw: RawTables, out: str, *, stations_csv: bool = False,
-               days: Days | None = None, exact_counts: bool = False, run_id: str | None = None) -> DataFrame:
+               days: Days | None = None, run_id: str | None = None) -> DataFrame:
     """Write the three silver tables; return this run's quality report (one row a table).
 
     Malformed lines go to ``rejected/<table>`` and are counted. ``stations_csv`` also exports the
     station silver as CSV with a header (S5) — a distributed write, not a collect to the driver."""
-    observe = not exact_counts
-    st = silver.station_silver(raw.stations, observe=observe)
-    wx = silver.weather_silver(raw.weather, observe=observe, days=days)
-    av = silver.availability_silver(raw.availability, raw.stations, observe=observe, days=days)
+    st = silver.station_silver(raw.stations)
+    wx = silver.weather_silver(raw.weather, days=days)
+    av = silver.availability_silver(raw.availability, raw.stations, days=days, counted=True)
     base = os.path.join(out, "silver")
     dynamic = days is not None
     jobs = [lambda: write_table(st.df, os.path.join(base, "stations")),
@@ -86,8 +86,9 @@ def run_silver(spark: SparkSession, raw: RawTables, out: str, *, stations_csv: b
         jobs.append(lambda name=name, r=r: write_table(r.rejected, os.path.join(out, "rejected", name)))
     in_parallel(jobs, len(jobs))
     run_id, now, rows = run_id or uuid.uuid4().hex, dt.datetime.now(), []
-    for name, r in (("stations", st), ("weather", wx), ("availability", av)):
-        counts = r.report.first().asDict() if exact_counts else r.observed_report()
+    written = in_days(spark.read.schema(av.df.schema).parquet(os.path.join(base, "availability")), "date_partition", days)
+    for name, report in (("stations", st.report), ("weather", wx.report), ("availability", counted_report(written))):
+        counts = report.first().asDict()
         bad = raw.reads[name].counts().first().rows_malformed if name in raw.reads else 0
         rows.append((run_id, now, f"{name}_silver", *[{**counts, "rows_malformed": bad}[c] for c in COUNTERS]))
     report = spark.createDataFrame(rows, REPORT_SCHEMA)
@@ -119,6 +120,7 @@ class GoldTable:
 def silver_tables(spark: SparkSession, out: str, days: Days | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Station, weather and availability silver; with ``days`` only their day folders are read."""
     st, wx, av = (spark.read.parquet(os.path.join(out, "silver", n)) for n in ("stations", "weather", "availability"))
+    av = av.drop(*ROW_COUNTS)
     return st, in_days(wx, "date_partition", days), in_days(av, "date_partition", days)
 
 
@@ -262,7 +264,7 @@ def run_gold(spark: SparkSession, out: str, max_parallel_jobs: int = 4, days: Da
 
 def main(argv: list[str] | None = None) -> None:
     """``spark-submit -m stationlake.plans.batch_job --stations S --availability A --weather W --out O
-    [--from D1 --to D2] [--exact-counts]``"""
+    [--from D1 --to D2]``"""
     import argparse
 
     p = argparse.ArgumentParser(description="raw CSV -> silver parquet -> gold star schema")
@@ -272,14 +274,13 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--out", required=True)
     p.add_argument("--from", dest="first", help="first day to rebuild (yyyy-mm-dd); with --to")
     p.add_argument("--to", dest="last", help="last day to rebuild")
-    p.add_argument("--exact-counts", action="store_true", help="aggregate the report's counters in a pass of their own")
     a = p.parse_args(argv)
     if bool(a.first) != bool(a.last):
         p.error("--from and --to go together")
     days = (a.first, a.last) if a.first else None
     spark = SparkSession.builder.appName("stationlake-batch").getOrCreate()
     raw = read_raw_files(spark, a.stations, a.availability, a.weather)
-    run_silver(spark, raw, a.out, days=days, exact_counts=a.exact_counts)
+    run_silver(spark, raw, a.out, days=days)
     run_gold(spark, a.out, days=days)
 
 

@@ -29,7 +29,7 @@ def oracle_queries() -> dict[str, str]:
     q["gold_daily_calendar"] = O.fact_sql("gold_daily", FIXED_CALENDAR)
     q["dim_station_key_check"] = O.station_key_check_sql()
     q["weather_hours"] = O.WEATHER_HOURS
-    for name in ("csv_stations", "csv_rejects", "csv_silver_availability"):
+    for name in ("csv_stations", "csv_rejects", "csv_silver_availability", "batch_report", "station_export"):
         q[name] = O.landing_sql(name)
     lo, hi = FIXED_CALENDAR
     q["silver_partition_readback"] = (f"SELECT * FROM ({q['silver_availability']}) "

@@ -55,6 +55,7 @@ _FEATURES: dict[tuple[str, str], DataFrame] = {}
 _STREAMS: dict = {}
 _CUBES: dict[tuple[str, str], DataFrame] = {}
 _DAILY: dict[tuple[str, str], str] = {}
+_SILVER_JOBS: dict[tuple[str, str], str] = {}
 
 
 def build_star(spark: SparkSession, sf_dir: str) -> Star:
@@ -447,6 +448,29 @@ def _daily_predictions(spark, sf):
     return scored.withColumn("predicted_occupancy_pct", F.round("predicted_occupancy_pct", 3))
 
 
+def _silver_job(spark, sf) -> str:
+    """The silver half of the batch job over the landed CSV files, with its report and the station export."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _SILVER_JOBS:
+        out = scratch_path(spark, f"silver-{uuid.uuid4().hex}")
+        landed = _landed(spark, sf)
+        raw = batch_job.RawTables(*(landed[n].rows for n in ("stations", "availability", "weather")), landed)
+        batch_job.run_silver(spark, raw, out, stations_csv=True)
+        _SILVER_JOBS[key] = out
+    return _SILVER_JOBS[key]
+
+
+def _batch_report(spark, sf):
+    """The report table of one run."""
+    return spark.read.parquet(f"{_silver_job(spark, sf)}/quality_report").select("table_name", *batch_job.COUNTERS)
+
+
+def _station_export(spark, sf):
+    """The exported station CSV read back."""
+    schema = build_star(spark, sf).stations.df.schema
+    return spark.read.schema(schema).option("header", True).csv(f"{_silver_job(spark, sf)}/export/stations_csv")
+
+
 def _star_tables(spark, sf) -> dict[str, DataFrame]:
     s = build_star(spark, sf)
     return {
@@ -503,6 +527,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "predictions": _predictions,
     "model_errors": _model_errors,
     "critical_alerts": _critical_alerts,
+    "batch_report": _batch_report,
+    "station_export": _station_export,
     "station_day_cube": _station_day_cube,
     "cube_gold_daily": _cube_gold_daily,
     "cube_quality_daily": _cube_quality_daily,

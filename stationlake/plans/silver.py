@@ -51,7 +51,8 @@ def raw_capacity(raw_stations: DataFrame) -> DataFrame:
 
 
 def availability_silver(raw_availability: DataFrame, raw_stations: DataFrame, *,
-                        observe: bool = False, days: tuple[str, str] | None = None) -> SilverResult:
+                        observe: bool = False, days: tuple[str, str] | None = None,
+                        counted: bool = False) -> SilverResult:
     """Clean availability readings.
 
     The raw readings get the raw station capacity (left join on the raw station id),
@@ -64,4 +65,4 @@ def availability_silver(raw_availability: DataFrame, raw_stations: DataFrame, *,
     joined = raw_availability.join(capacity, on="station_id", how="left")
     return to_silver(joined, AVAILABILITY_RULES, score=True,
                      dedup_keys=("station_id", "timestamp"), partition_col="timestamp",
-                     drop_cols=("capacity", "score"), observe=observe, days=days)
+                     drop_cols=("capacity", "score"), observe=observe, days=days, counted=counted)
