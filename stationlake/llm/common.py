@@ -67,6 +67,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, cols: list[str], rows: i
             .groupBy("doc_id").agg(one.alias("__one")).select("doc_id", *(f"__one.{c}" for c in cols), "__one.label"))
 
 
+def set_apart(docs: DataFrame, *used: str) -> DataFrame:
+    """``docs`` with every column but ``used`` renamed by its place, so that no name of the caller's meets one that an
+    operator adds; :func:`put_back` undoes it."""
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in used else f"own_{i}") for i, c in enumerate(docs.columns)])
+
+
+def put_back(rows: DataFrame, docs: DataFrame, *used: str) -> list[Column]:
+    """The columns of ``docs`` under their own names, of rows made from :func:`set_apart`."""
+    return [rows[c if c in used else f"own_{i}"].alias(c) for i, c in enumerate(docs.columns)]
+
+
 class Remembered(dict):
     """A function's results by key, at most 2 * ``limit`` of them: the keys not seen of late go first."""
 

@@ -32,7 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import WORD, staged
+from stationlake.llm.common import WORD, put_back, set_apart, staged
 
 MAX_EPOCHS = 3
 BLOCK_DOCS = 512
@@ -195,18 +195,24 @@ def draw(docs: DataFrame, block_docs: int = BLOCK_DOCS, shard_words: int = SHARD
     return sized, targets, staged(draws.join(places, ["rank", "seq"]), "mix-places")
 
 
-def mix(docs: DataFrame, block_docs: int = BLOCK_DOCS, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
-    """All columns of the drawn documents and ``__shard``: rows repeat as often as they are drawn."""
+def mix(docs: DataFrame, block_docs: int = BLOCK_DOCS, shard_words: int = SHARD_WORDS, seed: int = SEED,
+        shard: str | None = "__shard") -> DataFrame:
+    """All columns of the drawn documents and, under the name ``shard`` (None: left out), the number of their shard: rows
+    repeat as often as they are drawn."""
+    if shard in docs.columns:
+        raise ValueError(f"the documents have a column {shard}: name another for the shard, or none")
     _, targets, draws = draw(docs, block_docs, shard_words, seed)
     t = targets.select(F.col("source").alias("__source"), F.col("rank").alias("__rank"), F.col("n_blocks").alias("__n"))
     d = draws.select(F.col("rank").alias("__rank"), F.col("block").alias("__block"), F.col("keys").alias("__keys"),
                      F.col("shard").alias("__shard"), F.col("epoch").alias("__epoch"))
-    out = (docs.select("*", *with_size(docs, seed)).join(t, F.col("source").eqNullSafe(F.col("__source")))
+    used = ("doc_id", "source", "text")
+    own = set_apart(docs, *used)
+    out = (own.select("*", *with_size(own, seed)).join(t, F.col("source").eqNullSafe(F.col("__source")))
            .withColumn("__block", F.col("__key") % F.col("__n")).join(d, ["__rank", "__block"])
            .where("__keys is null or array_contains(__keys, __key)"))
     local = hashed(f"local:{seed}", F.col("__shard"), F.col("__epoch"), F.col("__key"))
-    return (out.withColumn("__local", local).repartition("__shard").sortWithinPartitions("__shard", "__local", "doc_id")
-            .select(*docs.columns, "__shard"))
+    out = out.withColumn("__local", local).repartition("__shard").sortWithinPartitions("__shard", "__local", "doc_id")
+    return out.select(*put_back(out, docs, *used), *([F.col("__shard").alias(shard)] if shard else []))
 
 
 def taken(docs: DataFrame, block_docs: int = BLOCK_DOCS, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:

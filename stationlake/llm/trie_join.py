@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from stationlake.llm.common import Remembered, in_slices, kept, staged
+from stationlake.llm.common import Remembered, in_slices, kept, put_back, set_apart, staged
 from stationlake.llm.graph import components
 
 SIZE = 5
@@ -369,6 +369,7 @@ def keep_one(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, block: i
     kept = (rows.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "cls")).alias("x"))
             .select(F.col("x.doc_id").alias("__id"), F.col("x.cls").alias("__kept")))
 
-    named = with_class(docs)
+    named = with_class(set_apart(docs, "doc_id", "text"))
     one = named.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__cls") == F.col("__kept")), "left_semi")
-    return (one.dropDuplicates(["doc_id", "__cls"]).unionByName(named.where("__cls is null"))).select(*docs.columns)
+    out = one.dropDuplicates(["doc_id", "__cls"]).unionByName(named.where("__cls is null"))
+    return out.select(*put_back(out, docs, "doc_id", "text"))

@@ -104,6 +104,19 @@ def test_mix_draws_what_taken_says(spark, make_docs):
         assert got[k] * k[1] == want[k]
 
 
+def test_any_column_name_may_be_the_callers(spark, make_docs):
+    names = "__key, __rank, __block, __n, __keys, __epoch, __local, __source, __size, __shard, own_0, a.b"
+    docs = make_docs(ROWS, names.replace("a.b", "`a.b`"))
+    out = mixing.mix(docs, 4, 100, shard=None)
+    assert out.columns == docs.columns
+    plain = mixing.mix(make_docs(ROWS), 4, 100).drop("__shard")
+    key = lambda r: tuple(repr(x) for x in r)
+    assert sorted((tuple(r)[:5] for r in out.collect()), key=key) == sorted((tuple(r) for r in plain.collect()), key=key)
+    assert all(tuple(r)[5:] == ("x",) * 12 for r in out.collect())
+    with pytest.raises(ValueError):
+        mixing.mix(docs, 4, 100)
+
+
 def test_empty_and_wordless(spark, make_docs):
     assert mixing.taken(make_docs([]), 4, 100).count() == 0
     assert mixing.mix(make_docs([]), 4, 100).count() == 0

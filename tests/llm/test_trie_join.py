@@ -143,7 +143,7 @@ def test_edge_cases(spark, make_docs):
 
 def test_keep_one(spark, make_docs):
     rows = [*enumerate(ODD), (3, "one"), (40, None)]
-    docs = make_docs(rows, "cls, n, root, p")
+    docs = make_docs(rows, "cls, n, root, p, __cls, __id, __kept, own_1")
     kept = trie_join.keep_one(docs)
     assert kept.columns == docs.columns
     least = {(d, c) for d, n, c in brute(rows)}
