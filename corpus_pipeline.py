@@ -34,7 +34,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Draw the sources to their target weights: documents repeat as often as they are drawn."""
-    return mixing.mix(docs).drop("__shard")
+    return mixing.mix(docs, shard=None)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
