@@ -171,7 +171,8 @@ def gold_tables(spark: SparkSession, out: str, days: Days | None = None) -> dict
     near_wx = in_days(all_wx, "date_partition", days and (days[0], next_day(days[1])))
     joined = FX.join_stations(av, st)
     cal = None  # dim_date covers every date of the silver data: keys computed, not joined
-    cube = in_days(spark.read.parquet(os.path.join(out, "state", "station_day")), "date_partition", days)
+    # the schemas are given: a table without any row has no file to read it from
+    cube = in_days(spark.read.schema(CB.station_day_cube(av, st).schema).parquet(os.path.join(out, "state", "station_day")), "date_partition", days)
     frozen = frozen_rows(frozen_state(out).runs(spark, days))
     day = lambda df, col: df.withColumn("day", F.to_date(col))
     before = DailyHours(os.path.join(out, "state", "hours")).before(spark, days)
@@ -246,10 +247,12 @@ def run_gold(spark: SparkSession, out: str, max_parallel_jobs: int = 4, days: Da
         correct_earlier_days(spark, out, days)
     DailyHours(os.path.join(out, "state", "hours")).take(spark, paths["features_hourly"], days)
     paths["predictions_gold"] = os.path.join(out, "gold", "predictions_gold")
-    moments, features = os.path.join(out, "state", "moments"), spark.read.parquet(paths["features_hourly"])
-    write_partitioned(FT.day_moments(in_days(features, "day", days)), moments, "day", dynamic=days is not None)
+    moments = os.path.join(out, "state", "moments")
+    features = spark.read.schema(tables["features_hourly"].df.schema).parquet(paths["features_hourly"])
+    of_days = FT.day_moments(in_days(features, "day", days))
+    write_partitioned(of_days, moments, "day", dynamic=days is not None)
     try:
-        scored = FT.score_last_days(features, spark.read.parquet(moments))
+        scored = FT.score_last_days(features, spark.read.schema(of_days.schema).parquet(moments))
         write_partitioned(scored.withColumn("day", F.to_date("hour")), paths["predictions_gold"], "day")
     except FT.NoTrainingRows:  # fewer than two days of complete features: nothing to score
         del paths["predictions_gold"]
