@@ -152,9 +152,15 @@ def test_keep_one(spark, make_docs):
     assert trie_join.keep_one(make_docs([])).count() == 0
 
 
-def test_components_of_a_long_chain(spark):
+@pytest.mark.parametrize("part", [1 << 20, 150, 16])
+def test_components_of_a_long_chain(spark, part):
     rnd = random.Random(2)
     ids = rnd.sample(range(10 ** 6), 300)
     edges = list(zip(ids[:200], ids[1:200])) + [(ids[200], x) for x in ids[201:]] + [(5, 5)]
-    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long"), part=part).collect()}
     assert got == {**dict.fromkeys(ids[:200], min(ids[:200])), **dict.fromkeys(ids[200:], min(ids[200:]))}
+
+
+def test_components_without_edges(spark):
+    none = spark.createDataFrame([(5, 5)], "a long, b long")
+    assert components(none).count() == 0 and components(none.limit(0)).count() == 0
