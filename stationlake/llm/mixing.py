@@ -18,10 +18,11 @@
 Everything is DataFrame work.  Documents are never windowed by source: they are aggregated to
 (source, block) first, a window runs over the blocks of one source, and over the documents of
 one block only for the one block a source draws in part.  The tree's rows hold one number a
-source.  Hashes are taken of ids and sizes, so reruns agree.
+source.  Hashes are taken of ids and sizes, so reruns agree.  Rows that repeat both are told apart by source, text and,
+if these are equal too, by a number (part by part, with the counts of the parts before).
 
 Edge cases: a null or empty text has size 0 and takes 0 words; null is a source of its own;
-equal (doc_id, size) rows are drawn together; a table without words has targets 0; an empty
+repeated rows are drawn one by one; a table without words has targets 0; an empty
 table gives an empty result; other columns of the table are not read (``mix`` returns them).
 """
 
@@ -47,10 +48,27 @@ def hashed(*parts: str | Column) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
-def with_size(docs: DataFrame, seed: int = SEED) -> list[Column]:
-    """The size and key columns of documents."""
+def with_size(seed: int = SEED) -> list[Column]:
+    """The size of documents, a number of id and size, and one that only rows of equal id, source and text share."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    return [size.alias("__size"), hashed(f"doc:{seed}", F.col("doc_id"), size).alias("__key")]
+    text = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    return [size.alias("__size"), hashed(f"doc:{seed}", F.col("doc_id"), size).alias("__base"),
+            hashed(f"row:{seed}", F.col("doc_id"), F.concat(F.lit("="), "source"), text).alias("__same")]
+
+
+def keyed(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``rows`` with ``__key`` instead of ``__base`` and ``__same``; the ``repeated`` get one each."""
+    if not repeated.limit(1).count():
+        return rows.withColumnRenamed("__base", "__key").drop("__same")
+    alone = rows.join(repeated, "__base", "left_anti").withColumnRenamed("__base", "__key").drop("__same")
+    again = staged(rows.join(repeated, "__base", "left_semi").drop("__base").withColumn("__part", F.spark_partition_id()), "mix-again")
+    so_far = F.sum("__rows").over(Window.partitionBy("__same").orderBy("__part"))
+    before = (again.groupBy("__same", "__part").agg(F.count("*").alias("__rows"))
+              .select("__same", "__part", (so_far - F.col("__rows")).alias("__before")))
+    copy = F.col("__before") + F.row_number().over(Window.partitionBy("__same", "__part").orderBy(F.lit(0))) - 1
+    numbered = (again.join(before, ["__same", "__part"]).withColumn("__copy", copy)
+                .withColumn("__key", hashed("copy", F.col("__same"), F.col("__copy"))))
+    return alone.unionByName(numbered.drop("__same", "__part", "__before", "__copy"))
 
 
 def source_targets(sized: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
@@ -183,16 +201,18 @@ def split_quotas(draws: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
 
 
 def draw(docs: DataFrame, block_docs: int = BLOCK_DOCS, shard_words: int = SHARD_WORDS,
-         seed: int = SEED) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The sized documents, the sources with their targets, and every drawn block with its shard."""
-    sized = staged(docs.select("doc_id", "source", *with_size(docs, seed)), "mix-sizes")
+         seed: int = SEED) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The sized documents, the sources with their targets, every drawn block with its shard, and the repeated rows."""
+    sized = staged(docs.select("doc_id", "source", *with_size(seed)), "mix-sizes")
+    repeated = staged(sized.groupBy("__base").agg(F.count("*").alias("n")).where("n > 1").select("__base"), "mix-repeats")
+    sized = keyed(sized, repeated)
     targets = staged(source_targets(sized, block_docs), "mix-targets")
     draws = staged(block_draws(sized, targets, seed), "mix-draws")
     words = draws.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
     quotas = split_quotas(draws, max(1, -(-words // shard_words)), seed)
     places = quotas.select("rank", "shard", F.explode(
         F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("seq"))
-    return sized, targets, staged(draws.join(places, ["rank", "seq"]), "mix-places")
+    return sized, targets, staged(draws.join(places, ["rank", "seq"]), "mix-places"), repeated
 
 
 def mix(docs: DataFrame, block_docs: int = BLOCK_DOCS, shard_words: int = SHARD_WORDS, seed: int = SEED,
@@ -201,13 +221,13 @@ def mix(docs: DataFrame, block_docs: int = BLOCK_DOCS, shard_words: int = SHARD_
     repeat as often as they are drawn."""
     if shard in docs.columns:
         raise ValueError(f"the documents have a column {shard}: name another for the shard, or none")
-    _, targets, draws = draw(docs, block_docs, shard_words, seed)
+    _, targets, draws, repeated = draw(docs, block_docs, shard_words, seed)
     t = targets.select(F.col("source").alias("__source"), F.col("rank").alias("__rank"), F.col("n_blocks").alias("__n"))
     d = draws.select(F.col("rank").alias("__rank"), F.col("block").alias("__block"), F.col("keys").alias("__keys"),
                      F.col("shard").alias("__shard"), F.col("epoch").alias("__epoch"))
     used = ("doc_id", "source", "text")
     own = set_apart(docs, *used)
-    out = (own.select("*", *with_size(own, seed)).join(t, F.col("source").eqNullSafe(F.col("__source")))
+    out = (keyed(own.select("*", *with_size(seed)), repeated).join(t, F.col("source").eqNullSafe(F.col("__source")))
            .withColumn("__block", F.col("__key") % F.col("__n")).join(d, ["__rank", "__block"])
            .where("__keys is null or array_contains(__keys, __key)"))
     local = hashed(f"local:{seed}", F.col("__shard"), F.col("__epoch"), F.col("__key"))
@@ -216,24 +236,33 @@ def mix(docs: DataFrame, block_docs: int = BLOCK_DOCS, shard_words: int = SHARD_
 
 
 def taken(docs: DataFrame, block_docs: int = BLOCK_DOCS, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
-    """doc_id, size, source_size, target, taken, shards (where its draws lie) of every document."""
-    sized, targets, draws = draw(docs, block_docs, shard_words, seed)
+    """doc_id, size, source_size, target, taken, shards (where its draws lie, ascending) of every document."""
+    sized, targets, draws, _ = draw(docs, block_docs, shard_words, seed)
+    # a block is drawn at most MAX_EPOCHS times, at most once of them in part
+    part = F.when(F.col("keys").isNotNull(), F.col("shard"))
     per = draws.groupBy("rank", "block").agg(
-        F.sum(F.col("keys").isNull().cast("long")).alias("whole"), F.first("keys", True).alias("keys"))
+        F.collect_list(F.when(F.col("keys").isNull(), F.col("shard"))).alias("whole"), F.first("keys", True).alias("keys"),
+        F.first(part, True).alias("part"))
     t = targets.withColumnRenamed("source", "__source")
     return (sized.join(t, F.col("source").eqNullSafe(F.col("__source")))
             .withColumn("block", F.col("__key") % F.col("n_blocks")).join(per, ["rank", "block"], "left")
+            .withColumn("shards", F.coalesce("whole", F.array().cast("array<long>")))
+            .withColumn("shards", F.array_sort(F.when(F.array_contains("keys", F.col("__key")), F.array_append("shards", F.col("part")))
+                                               .otherwise(F.col("shards"))))
             .select("doc_id", F.col("__size").alias("size"), "source_size", "target",
-                    (F.col("__size") * (F.coalesce("whole", F.lit(0)) + F.coalesce(
-                        F.array_contains("keys", F.col("__key")).cast("long"), F.lit(0)))).alias("taken")))
+                    (F.col("__size") * F.size("shards")).alias("taken"), "shards"))
 
 
 def oracle(block_docs: int = BLOCK_DOCS, seed: int = SEED) -> str:
     """DuckDB SQL of the query: the level by sorting sources, the draws by window sums."""
     h = lambda *p: f"CAST('0x' || substr(md5(concat_ws(':', {', '.join(p)})), 1, 15) AS BIGINT)"
     return f"""
-WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
-k AS (SELECT *, {h(f"'doc:{seed}'", "coalesce(doc_id::VARCHAR, 'null')", "size::VARCHAR")} AS key FROM d),
+WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+      md5(coalesce(text, '')) AS digest FROM documents),
+i AS (SELECT *, {h(f"'doc:{seed}'", "coalesce(doc_id::VARCHAR, 'null')", "size::VARCHAR")} AS base,
+      {h(f"'row:{seed}'", "coalesce(doc_id::VARCHAR, 'null')", "coalesce('=' || source, 'null')", "digest")} AS same FROM d),
+n AS (SELECT *, count(*) OVER (PARTITION BY base) AS alike, row_number() OVER (PARTITION BY same) - 1 AS copy FROM i),
+k AS (SELECT *, CASE WHEN alike = 1 THEN base ELSE {h("'copy'", "same::VARCHAR", "copy::VARCHAR")} END AS key FROM n),
 s AS (SELECT source, count(*) AS n_docs, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank, sum(source_size) OVER ()::BIGINT AS total,
       ceil(n_docs / {block_docs})::BIGINT AS n_blocks, {MAX_EPOCHS} * source_size AS cap FROM s),

@@ -38,7 +38,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.taken(read(spark, sf_dir, "documents"))
+    return mixing.taken(read(spark, sf_dir, "documents")).drop("shards")  # the twin in SQL has no tree
 
 
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

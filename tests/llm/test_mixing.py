@@ -53,6 +53,21 @@ def test_each_source_is_near_its_target(spark):
     assert all(abs(words[s] / t - 1) < 0.005 for s, t in target.items())
 
 
+def test_repeated_ids_are_drawn_one_by_one(spark, make_docs):
+    """One id on 400 of a source's 500 rows: the target is met, each row by itself, and mix agrees."""
+    rows = [(7, "w " * 10, "a")] * 400 + [(i, "w " * 2, "a") for i in range(100, 200)] + [(i, "w " * 9, "b") for i in range(1000, 1300)]
+    docs = make_docs(rows).repartition(5)
+    got = mixing.taken(docs, 16, 500).collect()
+    for size in {r.source_size for r in got}:
+        of = [r for r in got if r.source_size == size]
+        assert abs(sum(r.taken for r in of) - of[0].target) <= 5
+    assert len({r.taken for r in got if r.doc_id == 7}) == 2
+    want = by_sql(rows, 16)
+    assert sorted(tuple(r)[:5] for r in got) == sorted(want.fetchall())
+    out = mixing.mix(docs, 16, 500).collect()
+    assert Counter((r.doc_id, r["__shard"]) for r in out) == Counter((r.doc_id, s) for r in got for s in r.shards)
+
+
 def test_targets_by_hand(spark):
     sized = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 1)], "source string, __size long")
     t = {r.source: r.target for r in mixing.source_targets(sized).collect()}
