@@ -2,7 +2,7 @@
 
 Base counts of a whole text: words, their code points, symbols, repeated lines and words in
 repeated three-word windows.  A document that passes the two fixed base limits is judged by
-a logistic regression on hashed lower-cased words and hashed byte 3- and 4-grams (each block
+a logistic regression on hashed words and hashed character 3- and 4-grams, A-Z lower-cased (each block
 a mean over the text), calibrated on rows that the regression has not seen (Platt scaling)
 and held against the fixed threshold ``THRESHOLD``.
 
@@ -37,6 +37,7 @@ FIT_ROWS = 3000
 EPOCHS = 12
 THRESHOLD = 0.5
 SPACE = " \t\n\v\f\r"
+LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 SYMBOLS = "#*$%&|<>"  # fixed values of the contract
 MIN_WORDS, MAX_REPEATED = 50, 50  # fixed values of the contract
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -78,11 +79,11 @@ def base_failed(n_words: int, n_repeat: int) -> bool:
 
 
 def grams(text: str) -> list[np.ndarray]:
-    """Bins of the words and of the byte n-grams, one array a block."""
-    raw = text.encode("utf-8", "surrogatepass").lower()
-    toks = raw.split()
+    """Bins of the words and of the character n-grams (by code points), one array a block."""
+    low = text.translate(LOWER)
+    toks = low.encode("utf-8", "surrogatepass").split()
     out = [np.fromiter(map(crc32, toks), np.uint32, len(toks)) & np.uint32(WORD_BINS - 1)]
-    data = np.frombuffer(raw, np.uint8).astype(np.uint32)
+    data = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), "<u4")
     for k, n in enumerate(GRAMS):
         h = np.zeros(max(0, len(data) - n + 1), np.uint32)
         for i in range(n):
