@@ -38,7 +38,7 @@ import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationlake.llm.bpe_automaton import byte_letters
@@ -201,6 +201,12 @@ def _located(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.LocalFileSystem(), path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as Spark resolves it: one without a scheme may be on the cluster's own."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def put(path: str, raw: bytes) -> None:
     """Write under a temporary name, then move: a reader never sees half a file."""
     store, p = _located(path)
@@ -312,6 +318,7 @@ def default_path() -> str:
 def write_shards(docs: DataFrame, out: str, tokenizer: str | None = None, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Write the shard files into ``out``; part, seq, path, n_docs, n_tokens of each."""
     tokenizer = tokenizer or default_path()
+    out = qualified(docs.sparkSession, out)
     store, p = _located(out)
     store.create_dir(p, recursive=True)
 
@@ -342,8 +349,8 @@ def write_shards(docs: DataFrame, out: str, tokenizer: str | None = None, shard_
         if docs_in:
             yield flush()
 
-    ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id")
-               .sortWithinPartitions("doc_id", "text"))
+    ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+               .repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text"))
     return staged(ordered.mapInArrow(written, "part long, seq long, path string, n_docs long, n_tokens long"), "shards")
 
 
