@@ -350,7 +350,8 @@ def write_shards(docs: DataFrame, out: str, tokenizer: str | None = None, shard_
             yield flush()
 
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-               .repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text"))
+               # ranges cut by the first characters too, so that the rows of one id need not be one task's
+               .repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text"))
     return staged(ordered.mapInArrow(written, "part long, seq long, path string, n_docs long, n_tokens long"), "shards")
 
 
