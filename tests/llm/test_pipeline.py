@@ -98,5 +98,5 @@ def test_entry_lists_everything():
     names = list(entry.queries())
     assert [n for n in names if n.startswith("op") or n == "pipeline"] == [
         "op1_secrets", "op2_token_ids", "op3_lm_score", "op4_quality_classifier", "op5_jaccard_join", "op6_url_filters",
-        "op7_bpe", "op8_mixing", "op9_topk", "op10_quality_rules", "pipeline"]
-    assert {"op6_url_filters", "op8_mixing", "op9_topk"} <= set(entry.oracle_sql())
+        "op7_bpe", "op8_mixing", "op9_topk", "op10_quality_rules", "op11_html_extraction", "op12_prefix_trie", "op13_collocations", "pipeline"]
+    assert {"op6_url_filters", "op8_mixing", "op9_topk", "op12_prefix_trie", "op13_collocations"} <= set(entry.oracle_sql())
