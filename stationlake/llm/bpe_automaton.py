@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 
 from stationlake.llm.common import Remembered, in_slices, kept
 
+#: Bounds of a worker's tables: machine states, and chunks seen of late.  They set memory and time, never results.
 MAX_STATES = 100_000
 MAX_CHUNKS = 100_000
 
@@ -61,7 +62,8 @@ def byte_letters() -> list[str]:
 class Automaton:
     """Compiled from base symbols (byte, ends its word) and merges (u, v, w) of token numbers."""
 
-    def __init__(self, symbols: dict[int, tuple[int, bool]], merges: list[tuple[int, int, int]]) -> None:
+    def __init__(self, symbols: dict[int, tuple[int, bool]], merges: list[tuple[int, int, int]],
+                 max_states: int = MAX_STATES) -> None:
         self.left: dict[int, int] = {}
         self.right: dict[int, int] = {}
         self.born: dict[int, int] = dict.fromkeys(symbols, -1)
@@ -73,6 +75,7 @@ class Automaton:
                 raise ValueError(f"merge {rank} is not proper")
             self.gadget(rank, u, v, w)
         self.arcs: dict[tuple[int, int], bool] = {}
+        self.max_states = max_states
         self._trie()
         self._reset()
 
@@ -103,7 +106,7 @@ class Automaton:
                 before, a = self.born[a], self.right[a]
             else:
                 before, b = self.born[b] + 1, self.left[b]
-        if len(self.arcs) >= 2 * MAX_STATES:
+        if len(self.arcs) >= 2 * self.max_states:
             self.arcs.clear()
         self.arcs[t, x] = out
         return out
@@ -178,7 +181,7 @@ class Automaton:
         """The token numbers of one pre-split word whose last symbol carries the end of word."""
         if not word:
             return []
-        if len(self.states) > MAX_STATES:
+        if len(self.states) > self.max_states:
             self._reset()
         s = self.start
         path = [s]
@@ -215,7 +218,7 @@ class _State(dict):
 class WordTokenizer:
     """The tokenizer of a file with a word-end suffix, on the automaton."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, max_states: int = MAX_STATES, max_chunks: int = MAX_CHUNKS) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, suffix = spec["model"], spec["model"]["end_of_word_suffix"]
@@ -226,14 +229,14 @@ class WordTokenizer:
         letters = byte_letters()
         symbols = {vocab[c + e]: (b, bool(e)) for b, c in enumerate(letters) for e in ("", suffix)}
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.automaton = Automaton(symbols, [(vocab[u], vocab[v], vocab[u + v]) for u, v in pairs])
+        self.automaton = Automaton(symbols, [(vocab[u], vocab[v], vocab[u + v]) for u, v in pairs], max_states)
         self.labels: dict[int, str] = {i: t for t, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.labels |= {i: t for t, i in self.special.items()}
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.chunks = Remembered(self.pieces, MAX_CHUNKS)
+        self.chunks = Remembered(self.pieces, max_chunks)
 
     def encode_chunk(self, chunk: str) -> list[int]:
         """Ids of a text without ASCII white space (or any whole text)."""
@@ -277,9 +280,9 @@ class WordTokenizer:
         return n, ids.hexdigest(), decoded.hexdigest()
 
 
-def load(path: str) -> WordTokenizer:
+def load(path: str, max_states: int = MAX_STATES, max_chunks: int = MAX_CHUNKS) -> WordTokenizer:
     """The compiled automaton and its tables, kept by a worker process."""
-    return kept(f"automaton {path}", lambda: WordTokenizer(path))
+    return kept(f"automaton {path} {max_states} {max_chunks}", lambda: WordTokenizer(path, max_states, max_chunks))
 
 
 def default_path() -> str:
@@ -288,13 +291,14 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str | None = None, max_states: int = MAX_STATES,
+                     max_chunks: int = MAX_CHUNKS) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
     path = path or default_path()
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = load(path)
+        tok = load(path, max_states, max_chunks)
         for b in in_slices(batches):
             out = [tok.digest(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(

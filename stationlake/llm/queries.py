@@ -34,7 +34,8 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_automaton.encode_documents(read(spark, sf_dir, "documents"))
+    # alone in its workers, the operator has room for larger tables than next to the pipeline's other stages
+    return bpe_automaton.encode_documents(read(spark, sf_dir, "documents"), max_states=250_000, max_chunks=200_000)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
