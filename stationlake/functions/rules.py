@@ -256,11 +256,18 @@ def clean_station_name(s: Column | str, pattern: str = STATION_NAME_PATTERN) ->
 def clean_positive_int(s: Column | str, *, flag_valid: bool = True) -> Column:
     """Integer > 0. ``flag_valid`` keeps the reference convention that every accepted
     value is also reported as corrected."""
+    return staged_positive_int(s, flag_valid=flag_valid).to_column()
+
+
+def staged_positive_int(s: Column | str, *, flag_valid: bool = True) -> Staged:
+    """:func:`clean_positive_int` in steps: the text is parsed once."""
     s = _col(s).cast("string")
-    v = parse_integer(s)
-    value = F.when(v > 0, v)
-    corrected = value.isNotNull() & F.lit(flag_valid)
-    return _result(value, corrected, value.isNull())
+
+    def result(r: Ref) -> Column:
+        value = F.when(r("v") > 0, r("v"))
+        return _result(value, value.isNotNull() & F.lit(flag_valid), value.isNull())
+
+    return Staged((lambda r: {"v": parse_integer(s)},), result)
 
 
 # --- U9 -------------------------------------------------------------------------
@@ -273,12 +280,23 @@ def clean_bike_count(s: Column | str, other: Column | str, capacity: Column | st
     capacity is capped at the capacity. Applying it to bikes first and then to slots
     (with the cleaned bikes as ``other``) makes the second column win.
     """
-    v = parse_count(_col(s))
-    o = parse_count(_col(other))
-    cap = parse_count(_col(capacity))
-    fill = F.when(o.isNotNull() & cap.isNotNull(), F.greatest(cap - o, F.lit(0)))
-    over = cap.isNotNull() & (v > cap)
-    chosen = F.when(v.isNull(), fill).when(over, cap).otherwise(v)
-    value = chosen.try_cast("int")
-    corrected = value.isNotNull() & (v.isNull() | F.coalesce(over, F.lit(False)))
-    return _result(value, corrected, value.isNull())
+    return staged_bike_count(s, other, capacity).to_column()
+
+
+def staged_bike_count(s: Column | str, other: Column | str, capacity: Column | str) -> Staged:
+    """:func:`clean_bike_count` in steps: every text is parsed once."""
+
+    def read(r: Ref) -> dict[str, Column]:
+        return {"v": parse_count(_col(s)), "o": parse_count(_col(other)), "cap": parse_count(_col(capacity))}
+
+    def choose(r: Ref) -> dict[str, Column]:
+        v, o, cap = r("v"), r("o"), r("cap")
+        fill = F.when(o.isNotNull() & cap.isNotNull(), F.greatest(cap - o, F.lit(0)))
+        over = cap.isNotNull() & (v > cap)
+        return {"over": over, "value": F.when(v.isNull(), fill).when(over, cap).otherwise(v).try_cast("int")}
+
+    def result(r: Ref) -> Column:
+        value = r("value")
+        return _result(value, value.isNotNull() & (r("v").isNull() | F.coalesce(r("over"), F.lit(False))), value.isNull())
+
+    return Staged((read, choose), result)

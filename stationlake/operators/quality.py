@@ -118,7 +118,12 @@ def critical_readings(joined: DataFrame, share_pct: int = CRITICAL_SHARE_PCT) ->
 def critical_alerts(readings: DataFrame, minutes: int = CRITICAL_MINUTES) -> DataFrame:
     """One alert a critical run, at its first reading more than ``minutes`` after its start
     (of several readings at that time the one with the fewest bikes)."""
-    rows = with_run_start(readings, "station_id", "reading_time", ["critical"]).where("critical")
+    return run_alerts(with_run_start(readings, "station_id", "reading_time", ["critical"]), minutes)
+
+
+def run_alerts(started: DataFrame, minutes: int = CRITICAL_MINUTES) -> DataFrame:
+    """:func:`critical_alerts` of readings that have the start of their run (``run_start``)."""
+    rows = started.where("critical")
     waited = (F.unix_timestamp(F.col("reading_time").cast("timestamp"))
               - F.unix_timestamp(F.col("run_start").cast("timestamp"))) / 60.0
     return (rows.withColumn("minutes_critical", waited).where(F.col("minutes_critical") > minutes)

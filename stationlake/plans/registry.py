@@ -345,8 +345,12 @@ def _streams(spark, sf):
         base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
         raw_st = td.raw_stations(spark, sf)
         raw = td.raw_availability(spark, sf)
+        # cleaned once and written: a filter on the cleaned time would be pushed below the rule's steps and read every row
+        # through copies of all of them, once a landed folder
         timed = strip_flags(apply_rules(raw.withColumn("t", F.col("timestamp")), [CleanRule("t", R.clean_date)]))
-        t = F.col("t").try_cast("timestamp")
+        timed.withColumn("t", F.col("t").try_cast("timestamp")).write.parquet(f"{base}/timed")
+        timed = spark.read.parquet(f"{base}/timed")
+        t = F.col("t")
         cuts = [F.lit(c).cast("timestamp") for c in STREAM_CUTS]
         part = F.when(t >= cuts[1], 2).when(t >= cuts[0], 1).otherwise(0)
         at_limit = timed.where(part == 0).agg(F.max(t).alias("m")).select(
@@ -357,7 +361,7 @@ def _streams(spark, sf):
             land_csv(timed.where(part == k).select(*RAW_AVAILABILITY_COLUMNS), f"{base}/raw/part-{k}")
             if k == 0:
                 # some lines again with a field too many: set apart by the intake, they change nothing else
-                land_csv(raw.where(landed_malformed("availability")), f"{base}/raw/again", malformed=F.lit(True))
+                land_csv(timed.where(landed_malformed("availability")).select(*RAW_AVAILABILITY_COLUMNS), f"{base}/raw/again", malformed=F.lit(True))
             if k == 1:
                 land_csv(timed.where(F.to_date(t) == F.lit(LATE_DAY).cast("date")).select(*RAW_AVAILABILITY_COLUMNS), f"{base}/raw/late")
                 land_csv(at_limit, f"{base}/raw/limit")

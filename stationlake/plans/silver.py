@@ -26,10 +26,10 @@ STATION_RULES = (
 # Order matters: bikes are checked against the raw free slots first, then the free
 # slots against the cleaned bikes, so the second column wins.
 AVAILABILITY_RULES = (
-    CleanRule("station_id", R.clean_positive_int),
+    CleanRule("station_id", R.staged_positive_int),
     CleanRule("timestamp", R.clean_date),
-    CleanRule("bikes_available", R.clean_bike_count, ("slots_free", "capacity")),
-    CleanRule("slots_free", R.clean_bike_count, ("bikes_available", "capacity")),
+    CleanRule("bikes_available", R.staged_bike_count, ("slots_free", "capacity")),
+    CleanRule("slots_free", R.staged_bike_count, ("bikes_available", "capacity")),
 )
 
 
