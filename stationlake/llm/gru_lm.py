@@ -15,11 +15,12 @@ smoothed training frequencies, so that an unfitted model gives the base score.
 carried across windows of ``WINDOW`` tokens from a document's first to its last token.
 
 Fitting the weights: truncated backpropagation over these windows in numpy, documents in pieces of ``PIECE``
-tokens so that one long document does not steer the last steps alone, on the training documents whose
-hash lies under a threshold: the share ``fit_share`` of them, the same at every size; rows that repeat both id
-and text are fitted on once.  ``ROUNDS`` slices of the hash part them, so no document is seen twice.  A round deals
+tokens so that one long document does not steer the last steps alone, on every training document (``fit_share``
+below 1 keeps only the share of them whose hash lies under it); rows that repeat both id and text are fitted on once.
+``ROUNDS`` slices of the hash part them, so no document is seen twice.  A round deals
 its slice to replicas of about ``REPLICA`` documents; every replica takes one pass with Adam from the
-common weights, and the replicas' weights are averaged (by tokens) in groups, so the driver sees few.
+common weights, in up to ``FIT_LANES`` lanes where its tokens allow for ``STEPS`` steps (more lanes cost less a token), and the
+replicas' weights are averaged (by tokens) in groups, so the driver sees few.
 
 Edge cases: a null text is the empty text, whose only token is its end; a null id counts as the
 empty text in the fold (held out); repeated rows get equal scores; without training documents N and V are 0, every
@@ -51,8 +52,9 @@ PART, TOKENS = 2500, 1_500_000  # documents or tokens that close a part
 RANGE = 2_000_000  # tokens a hash range
 WORDS, CLASSES, EMBED, HIDDEN = 1000, 24, 16, 24
 WINDOW, LANES = 16, 32
-SCORE_WINDOW, SCORE_LANES = 32, 256
-FIT_SHARE, REPLICA, ROUNDS = 1 / 3, 1000, 4
+SCORE_WINDOW, SCORE_LANES, BLOCK = 32, 256, 32
+FIT_SHARE, REPLICA, ROUNDS = 1.0, 2000, 4
+FIT_LANES, STEPS = 256, 200
 PIECE = 512  # tokens a fit runs through before the state starts anew, so that lanes end together
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\x00 end"))  # holds a blank, so no word has it
 
@@ -277,13 +279,13 @@ class Stream:
     active: np.ndarray  # lanes that are not over at each step
 
     @classmethod
-    def of(cls, docs: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], count: int, end: int) -> Stream:
-        """docs: (input numbers, classes, places, static) of each document's tokens."""
+    def of(cls, docs: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], count: int, end: int, block: int = 1) -> Stream:
+        """docs: (input numbers, classes, places, static) of each document's tokens. Empty lanes fill the last ``block``."""
         lens = np.array([len(d[0]) for d in docs], np.int64)
         dealt = lanes(lens, count)
         totals = np.array([int(lens[d].sum()) for d in dealt], np.int64)
         steps = int(totals.max(initial=0))
-        shape = (steps, len(dealt))
+        shape = (steps, -(-len(dealt) // block) * block)
         out = cls(np.full(shape, end, np.int32), np.zeros(shape, np.int16), np.zeros(shape, np.int32),
                   np.zeros(shape, np.float32), np.full(shape, -1, np.int64), np.zeros(shape, bool),
                   (totals[None, :] > np.arange(steps)[:, None]).sum(1))
@@ -333,14 +335,15 @@ class Model:
         return out
 
     def score(self, docs: list, window: int = SCORE_WINDOW, count: int = SCORE_LANES) -> np.ndarray:
-        """log10 probability of each document."""
-        s = Stream.of(docs, count, self.end)
+        """log10 probability of each document. Lanes are filled up to whole ``BLOCK``s: a matrix product of another number of rows
+        may round otherwise, which can grow from state to state."""
+        s = Stream.of(docs, count, self.end, BLOCK)
         table = self.w.embed @ self.w.wx + self.w.b
         total = np.zeros(len(docs))
         h = np.zeros((s.x.shape[1], HIDDEN), np.float32)
         for lo in range(0, len(s.x), window):
             sl = slice(lo, lo + window)
-            k = int(s.active[lo])  # lanes are in order of length
+            k = -(-int(s.active[lo]) // BLOCK) * BLOCK  # lanes are in order of length
             hs = self.states(table[s.x[sl, :k]], s.fresh[sl, :k], h[:k])
             h = hs[-1]
             doc = s.doc[sl, :k].ravel()
@@ -498,13 +501,19 @@ def dealt_rounds(parts: DataFrame, voc: Vocabulary, fit_share: float = FIT_SHARE
     return staged(rows.dropDuplicates(["h"]), "lm-fit")
 
 
+def lanes_for(tokens: int) -> int:
+    """Lanes of one pass: as many as leave ``STEPS`` steps, within bounds."""
+    return min(FIT_LANES, max(LANES, tokens // (STEPS * WINDOW)))
+
+
 def local_pass(voc: Vocabulary, common: Weights, rate: float):
     """One replica's pass from the common weights."""
 
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         model = Model(voc, common.unpack(common.pack()))
         docs = [unpack_numbers(x) for x in frame.sort_values("h")["x"]]
-        n = model.train([(x, *voc.outputs(x), np.zeros(len(x), np.float32)) for x in docs], rate)
+        count = lanes_for(sum(len(x) for x in docs))
+        n = model.train([(x, *voc.outputs(x), np.zeros(len(x), np.float32)) for x in docs], rate * (count / LANES) ** (1 / 3), count=count)
         return pd.DataFrame({"k": [key[0]], "n": [n], "w": [model.w.pack()]})
 
     return run

@@ -201,3 +201,16 @@ def test_an_unfitted_model_gives_the_base_score():
     hashes = np.append(voc.hashes, [np.uint64(5), np.uint64(6)])
     want = np.log10((counts + 0.1) / (n + 0.1 * (v + 1))).sum()
     assert m.score(gru_lm.prepared(voc, [hashes], counts))[0] == pytest.approx(want, rel=1e-5)
+
+
+def test_every_training_document_is_fitted_on(spark):
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat('w', id) AS text")
+    parts = gru_lm.parted(docs)
+    rows = gru_lm.dealt_rounds(parts, vocabulary_of(parts)).collect()
+    assert len(rows) == sum(crc32(str(i).encode()) % 10 != 0 for i in range(400))
+
+
+def test_lanes_of_a_pass_leave_steps():
+    assert gru_lm.lanes_for(10) == gru_lm.LANES and gru_lm.lanes_for(10 ** 9) == gru_lm.FIT_LANES
+    for n in (200_000, 500_000):
+        assert n // (gru_lm.lanes_for(n) * gru_lm.WINDOW) >= gru_lm.STEPS
