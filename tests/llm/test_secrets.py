@@ -231,3 +231,33 @@ def test_values_under_telling_names_are_no_negatives():
         assert secrets.labels(text, cands, [])[-1] is None
     text = "title: abcdefghij"
     assert secrets.labels(text, secrets.candidates(text), []) == [False]
+
+
+def test_every_labelled_tile_is_fitted_on_and_counts_for_the_threshold(spark, make_docs, monkeypatch):
+    """All distinct tiles, more than ``fit_rows``, reach a replica, or the calibration."""
+    docs = make_docs([f"token = {v} and title: thing{i:05d}" for i, v in enumerate(issued(300, 21))])
+    each = secrets.labelled(staged(secrets.scan(docs), "scan"))
+    got = [bytes(r.tile) for r in each.where("known").collect()]
+    assert len(got) == len(set(got)) >= 300 and 30 < each.where("known and held").count() < 160
+    real = secrets.local_pass
+    marks = spark.sparkContext.accumulator(0)
+
+    def local_pass(*args):
+        run = real(*args)
+
+        def counted(key, frame):
+            marks.add(int(frame["tile"].notna().sum()))
+            return run(key, frame)
+        return counted
+
+    monkeypatch.setattr(secrets, "local_pass", local_pass)
+    monkeypatch.setattr(secrets, "GENERATED", 100)
+    monkeypatch.setattr(secrets, "GENERATED_VALUES", 100)
+    secrets.train(staged(secrets.scan(docs), "scan"), 10, 1, 100)
+    assert marks.value == each.where("not held").count() > 2 * 10
+
+
+def test_tile_weights():
+    w = secrets.weights(np.array([0, 0, 1, 1, 1, 1.0]), 2)
+    assert w.tolist() == [1, 1, 0.5, 0.5, 0.5, 0.5]
+    assert secrets.weights(np.array([0, 1.0]), 10).tolist() == [1, 1]
