@@ -67,6 +67,15 @@ def tokens(text: str | None) -> np.ndarray:
     return out
 
 
+def numbered(toks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct tokens, ascending, and the place of every token among them; only the distinct ones are sorted."""
+    codes, values = pd.factorize(toks)
+    order = np.argsort(values)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return values[order], place[codes]
+
+
 def pack_numbers(numbers: np.ndarray) -> bytes:
     """Numbers under 2^32 as byte planes, compressed."""
     planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
@@ -90,7 +99,7 @@ def parted(docs: DataFrame) -> DataFrame:
 
     def part(p: int, ids: list, held: list, hs: list, toks: list[np.ndarray]) -> pa.RecordBatch:
         lens = [len(t) for t in toks]
-        values, numbers = np.unique(np.concatenate(toks), return_inverse=True)
+        values, numbers = numbered(np.concatenate(toks))
         counts = np.bincount(numbers[np.repeat(~np.array(held, bool), lens)], minlength=len(values))
         row = (p, ids, held, hs, lens, pack(values), pack_counts(counts), pack_numbers(numbers))
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, columns.values(), strict=True)],
@@ -240,19 +249,36 @@ class Weights:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """In place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+def _softmax(z: np.ndarray) -> np.ndarray:
+    """Of every column, in place."""
+    z -= z.max(0)
+    np.exp(z, out=z)
+    z /= z.sum(0)
+    return z
 
 
 def _log_chosen(z: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The log-softmax of one entry a row; z is overwritten."""
-    z -= z.max(1, keepdims=True)
-    out = z[np.arange(len(z)), at]
-    return out - np.log(np.exp(z, out=z).sum(1))
+    """The log-softmax of one entry a column; z is overwritten."""
+    z -= z.max(0)
+    out = z[at, np.arange(len(at))]
+    return out - np.log(np.exp(z, out=z).sum(0))
+
+
+def _summed(columns: np.ndarray, x: np.ndarray, count: int) -> np.ndarray:
+    """The sums of the columns of like number: (count, rows)."""
+    order = np.argsort(x.astype(np.int16) if count < 1 << 15 else x, kind="stable")
+    own = x[order]
+    starts = np.flatnonzero(np.diff(own, prepend=-1))
+    out = np.zeros((count, len(columns)), columns.dtype)
+    out[own[starts]] = np.add.reduceat(np.take(columns, order, 1), starts, 1).T
+    return out
 
 
 def lanes(lengths: np.ndarray, count: int) -> list[list[int]]:
@@ -302,54 +328,85 @@ class Stream:
 
 
 class Model:
+    """In memory the lanes come last, so every operation of a step runs over whole rows of lanes."""
+
     def __init__(self, voc: Vocabulary, weights: Weights) -> None:
         self.voc, self.w = voc, weights
         self.first = np.concatenate([[0], np.cumsum(voc.members)])
 
-    def states(self, gates: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: list | None = None) -> np.ndarray:
-        """Hidden states (steps, lanes, HIDDEN) from the input gates; h is the state before."""
-        n, hs = HIDDEN, np.empty((*gates.shape[:2], HIDDEN), np.float32)
-        wh_ru, wh_c = self.w.wh[:, :2 * n], self.w.wh[:, 2 * n:]
-        for t in range(len(gates)):
-            h = np.where(fresh[t][:, None], np.float32(0), h)
-            ru = _sigmoid(gates[t, :, :2 * n] + h @ wh_ru)
-            r, u = ru[:, :n], ru[:, n:]
+    def table(self) -> np.ndarray:
+        """Input gates (3 HIDDEN) of every input number: one product for each word, not for each token."""
+        out = self.w.wx.T @ self.w.embed.T
+        out += self.w.b[:, None]
+        return out
+
+    def run(self, gates: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: list | None = None) -> np.ndarray:
+        """Hidden states and a row of ones (HIDDEN + 1, steps, lanes) from the input gates; h (HIDDEN, lanes) is the state before."""
+        n = HIDDEN
+        one = np.ones((n + 1, *gates.shape[1:]), np.float32)
+        w_ru, w_c = self.w.wh[:, :2 * n].T.copy(), self.w.wh[:, 2 * n:].T.copy()
+        begins, stay = fresh.any(1), (~fresh).astype(np.float32)
+        for t in range(gates.shape[1]):
+            if begins[t]:
+                h = h * stay[t]
+            ru = w_ru @ h
+            ru += gates[:2 * n, t]
+            r, u = _sigmoid(ru)[:n], ru[n:]
             rh = r * h
-            c = np.tanh(gates[t, :, 2 * n:] + rh @ wh_c)
-            new = u * h + (1 - u) * c
+            c = w_c @ rh
+            c += gates[2 * n:, t]
+            np.tanh(c, out=c)
+            new = h - c
+            new *= u
+            new += c
             if keep is not None:
                 keep.append((h, r, u, rh, c))
-            hs[t] = h = new
-        return hs
+            one[:n, t] = h = new
+        return one
+
+    def states(self, gates: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """Hidden states (steps, lanes, HIDDEN) from input gates (steps, lanes, 3 HIDDEN); h (lanes, HIDDEN) is the state before."""
+        return self.run(gates.transpose(2, 0, 1), fresh, h.T)[:-1].transpose(1, 2, 0)
+
+    def by_class(self, cls: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice, slice]]]:
+        """The tokens' order by class, and the classes of several words: where their tokens and words lie."""
+        order = np.argsort(cls.astype(np.int16), kind="stable")
+        cuts = np.searchsorted(cls[order], np.arange(len(self.voc.members) + 1))
+        return order, [(k, slice(cuts[k], cuts[k + 1]), slice(self.first[k], self.first[k + 1]))
+                       for k, m in enumerate(self.voc.members) if m > 1 and cuts[k] < cuts[k + 1]]
+
+    def log_chosen(self, one: np.ndarray, cls: np.ndarray, place: np.ndarray, static: np.ndarray) -> np.ndarray:
+        """Natural log-probabilities of the tokens given the hidden states and a row of ones (columns)."""
+        order, classes = self.by_class(cls)
+        own, place = np.take(one, order, 1), place[order]
+        got = _log_chosen(self.w.oc.T @ own, cls[order])
+        for _, rows, part in classes:
+            got[rows] += _log_chosen(self.w.ow[:, part].T @ own[:, rows], place[rows])
+        out = np.empty(len(cls), got.dtype)
+        out[order] = got
+        return out + static
 
     def log_probabilities(self, hs: np.ndarray, cls: np.ndarray, place: np.ndarray, static: np.ndarray) -> np.ndarray:
         """Natural log-probabilities of the tokens given the hidden states (rows)."""
-        one = np.concatenate([hs, np.ones((len(hs), 1), np.float32)], 1)
-        out = _log_chosen(one @ self.w.oc, cls) + static
-        order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(len(self.voc.members) + 1))
-        for k in range(len(self.voc.members)):
-            rows = order[cuts[k]:cuts[k + 1]]
-            if len(rows) and self.voc.members[k] > 1:
-                out[rows] += _log_chosen(one[rows] @ self.w.ow[:, self.first[k]:self.first[k + 1]], place[rows])
-        return out
+        return self.log_chosen(np.concatenate([hs, np.ones((len(hs), 1), np.float32)], 1).T, cls, place, static)
 
     def score(self, docs: list, window: int = SCORE_WINDOW, count: int = SCORE_LANES) -> np.ndarray:
         """log10 probability of each document. Lanes are filled up to whole ``BLOCK``s: a matrix product of another number of rows
         may round otherwise, which can grow from state to state."""
         s = Stream.of(docs, count, self.end, BLOCK)
-        table = self.w.embed @ self.w.wx + self.w.b
+        table = self.table()
         total = np.zeros(len(docs))
-        h = np.zeros((s.x.shape[1], HIDDEN), np.float32)
+        h = np.zeros((HIDDEN, s.x.shape[1]), np.float32)
         for lo in range(0, len(s.x), window):
             sl = slice(lo, lo + window)
             k = -(-int(s.active[lo]) // BLOCK) * BLOCK  # lanes are in order of length
-            hs = self.states(table[s.x[sl, :k]], s.fresh[sl, :k], h[:k])
-            h = hs[-1]
+            one = self.run(np.take(table, s.x[sl, :k], 1), s.fresh[sl, :k], h[:, :k])
+            h = one[:-1, -1]
             doc = s.doc[sl, :k].ravel()
             real = np.flatnonzero(doc >= 0)
-            p = self.log_probabilities(hs.reshape(-1, HIDDEN)[real], s.cls[sl, :k].ravel()[real],
-                                       s.place[sl, :k].ravel()[real], s.static[sl, :k].ravel()[real])
+            one = one.reshape(HIDDEN + 1, -1)
+            p = self.log_chosen(one if len(real) == len(doc) else np.take(one, real, 1), s.cls[sl, :k].ravel()[real],
+                                s.place[sl, :k].ravel()[real], s.static[sl, :k].ravel()[real])
             total += np.bincount(doc[real], p.astype(np.float64), len(docs))
         return total / math.log(10)
 
@@ -369,13 +426,22 @@ class Model:
             sl = slice(lo, lo + window)
             k = int(s.active[lo])
             h, grads = self.gradients(s, sl, k, h[:k])
-            norm = math.sqrt(sum(float((g * g).sum()) for g in grads))
+            norm = math.sqrt(sum(float(np.vdot(g, g)) for g in grads))
             step += 1
+            share, least = rate / (1 - 0.9 ** step) * math.sqrt(1 - 0.99 ** step), 1e-6 * math.sqrt(1 - 0.99 ** step)
             for i, (p, g) in enumerate(zip(params, grads, strict=True)):
-                g = g * np.float32(min(1.0, 1.0 / (norm + 1e-6)))
-                m[i] += np.float32(0.1) * (g - m[i])
-                u[i] += np.float32(0.01) * (g * g - u[i])
-                p -= np.float32(rate) * (m[i] / np.float32(1 - 0.9 ** step)) / (np.sqrt(u[i] / np.float32(1 - 0.99 ** step)) + np.float32(1e-6))
+                g *= np.float32(min(1.0, 1.0 / (norm + 1e-6)))
+                m[i] *= np.float32(0.9)
+                m[i] += np.float32(0.1) * g
+                g *= g
+                g *= np.float32(0.01)
+                u[i] *= np.float32(0.99)
+                u[i] += g
+                np.sqrt(u[i], out=g)
+                g += np.float32(least)
+                np.divide(m[i], g, out=g)
+                g *= np.float32(share)
+                p -= g
         return int((s.doc >= 0).sum())
 
     def gradients(self, s: Stream, sl: slice, k: int, h: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -383,48 +449,55 @@ class Model:
         w, n = self.w, HIDDEN
         x, fresh, doc = s.x[sl, :k], s.fresh[sl, :k], s.doc[sl, :k].ravel()
         keep: list = []
-        emb = w.embed[x]
-        hs = self.states(emb @ w.wx + w.b, fresh, h, keep)
-        flat = hs.reshape(-1, n)
+        emb = np.take(w.embed.T.copy(), x, 1).reshape(w.embed.shape[1], -1)
+        gates = w.wx.T @ emb
+        gates += w.b[:, None]
+        one = self.run(gates.reshape(-1, *x.shape), fresh, h.T, keep)
+        last = one[:n, -1].T
+        cls = s.cls[sl, :k].ravel()
         real = np.flatnonzero(doc >= 0)
-        cls, place = s.cls[sl, :k].ravel()[real], s.place[sl, :k].ravel()[real]
-        one = np.concatenate([flat[real], np.ones((len(real), 1), np.float32)], 1)
+        order, classes = self.by_class(cls[real])
+        real = real[order]  # the tokens by class
+        cls, place = cls[real], s.place[sl, :k].ravel()[real]
+        own = np.take(one.reshape(n + 1, -1), real, 1)
         scale = np.float32(1 / len(real))
-        d = np.exp(_log_softmax(one @ w.oc))
-        d[np.arange(len(real)), cls] -= 1
+        d = _softmax(w.oc.T @ own)
+        d[cls, np.arange(len(real))] -= 1
         d *= scale
-        g_oc, g_one, g_ow = one.T @ d, d @ w.oc.T, np.zeros_like(w.ow)
-        order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(len(self.voc.members) + 1))
-        for c in range(len(self.voc.members)):
-            rows = order[cuts[c]:cuts[c + 1]]
-            if len(rows) and self.voc.members[c] > 1:
-                part = slice(self.first[c], self.first[c + 1])
-                d = np.exp(_log_softmax(one[rows] @ w.ow[:, part]))
-                d[np.arange(len(rows)), place[rows]] -= 1
-                d *= scale
-                g_ow[:, part] = one[rows].T @ d
-                g_one[rows] += d @ w.ow[:, part].T
-        g_hs = np.zeros_like(flat)
-        g_hs[real] = g_one[:, :n]
-        g_hs = g_hs.reshape(hs.shape)
-        g_gates = np.empty((*x.shape, 3 * n), np.float32)
-        g_wh, back = np.zeros_like(w.wh), np.zeros((k, n), np.float32)
+        g_oc, g_one, g_ow = own @ d.T, w.oc @ d, np.zeros_like(w.ow)
+        for _, rows, part in classes:
+            d = _softmax(w.ow[:, part].T @ own[:, rows])
+            d[place[rows], np.arange(d.shape[1])] -= 1
+            d *= scale
+            g_ow[:, part] = own[:, rows] @ d.T
+            g_one[:, rows] += w.ow[:, part] @ d
+        g_hs = np.zeros((n, x.size), g_one.dtype)
+        g_hs[:, real] = g_one[:n]
+        g_hs = g_hs.reshape(n, *x.shape)
+        g_gates = np.empty((3 * n, *x.shape), np.float32)
+        back = np.zeros((n, k), np.float32)
+        w_ru, w_c = w.wh[:, :2 * n], w.wh[:, 2 * n:]
+        befores, resets = np.empty((n, *x.shape), np.float32), np.empty((n, *x.shape), np.float32)
+        begins, stay = fresh.any(1), (~fresh).astype(np.float32)
         for t in range(len(x) - 1, -1, -1):
             before, r, u, rh, c = keep[t]
-            g = g_hs[t] + back
-            gc = g * (1 - u) * (1 - c * c)
-            grh = gc @ w.wh[:, 2 * n:].T
-            gru = np.concatenate([grh * before * r * (1 - r), g * (before - c) * u * (1 - u)], 1)
-            g_wh[:, :2 * n] += before.T @ gru
-            g_wh[:, 2 * n:] += rh.T @ gc
-            back = g * u + grh * r + gru @ w.wh[:, :2 * n].T
-            back = np.where(fresh[t][:, None], np.float32(0), back)
-            g_gates[t, :, :2 * n], g_gates[t, :, 2 * n:] = gru, gc
-        gates = g_gates.reshape(-1, 3 * n)
-        g_emb = np.zeros_like(w.embed)
-        np.add.at(g_emb, x.ravel(), gates @ w.wx.T)
-        return hs[-1], [g_emb, emb.reshape(-1, emb.shape[-1]).T @ gates, g_wh, gates.sum(0), g_oc, g_ow]
+            befores[:, t], resets[:, t] = before, rh
+            g = g_hs[:, t] + back
+            gu = g * u
+            gc = (g - gu) * (1 - c * c)
+            grh = w_c @ gc
+            g_gates[:n, t] = grh * rh * (1 - r)
+            g_gates[n:2 * n, t] = (before - c) * (gu * (1 - u))
+            g_gates[2 * n:, t] = gc
+            grh *= r
+            back = w_ru @ g_gates[:2 * n, t]
+            back += gu
+            back += grh
+            if begins[t]:
+                back *= stay[t]
+        flat = g_gates.reshape(3 * n, -1)
+        g_wh = np.concatenate([befores.reshape(n, -1) @ flat[:2 * n].T, resets.reshape(n, -1) @ flat[2 * n:].T], 1)
+        return last, [_summed(w.wx @ flat, x.ravel(), len(w.embed)), emb @ flat.T, g_wh, flat.sum(1), g_oc, g_ow]
 
 
 # ---- on Spark

@@ -214,3 +214,21 @@ def test_lanes_of_a_pass_leave_steps():
     assert gru_lm.lanes_for(10) == gru_lm.LANES and gru_lm.lanes_for(10 ** 9) == gru_lm.FIT_LANES
     for n in (200_000, 500_000):
         assert n // (gru_lm.lanes_for(n) * gru_lm.WINDOW) >= gru_lm.STEPS
+
+
+def test_tokens_are_numbered_and_summed_without_sorting_them_all():
+    rng = np.random.default_rng(8)
+    for toks in (rng.integers(0, 2 ** 64, 50, np.uint64)[rng.integers(0, 50, 400)], np.array([gru_lm.END])):
+        values, numbers = gru_lm.numbered(toks)
+        want, inverse = np.unique(toks, return_inverse=True)
+        assert values.dtype == np.uint64 and values.tolist() == want.tolist() and numbers.tolist() == inverse.tolist()
+    columns, x = rng.normal(size=(3, 200)).astype(np.float32), rng.integers(0, 9, 200).astype(np.int32)
+    want = np.zeros((11, 3), np.float32)
+    np.add.at(want, x, columns.T)
+    assert gru_lm._summed(columns, x, 11) == pytest.approx(want, abs=1e-4)
+
+
+def test_lanes_lie_last_in_memory():
+    m = model()
+    one = m.run(np.zeros((3 * gru_lm.HIDDEN, 4, 32), np.float32), np.zeros((4, 32), bool), np.zeros((gru_lm.HIDDEN, 32), np.float32))
+    assert one.shape == (gru_lm.HIDDEN + 1, 4, 32) and one.flags.c_contiguous and (one[-1] == 1).all()
