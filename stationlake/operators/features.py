@@ -47,16 +47,19 @@ def hourly_features(joined: DataFrame, weather: DataFrame, before: DataFrame | N
     prev = w.rowsBetween(-MOVING_WINDOW, -1)
     if before is not None:
         hourly = hourly.unionByName(before.withColumn("n_readings", F.lit(None).cast("bigint")))
-    rows = (hourly.join(wx, hourly["hour"] == wx["__wh"], "left").drop("__wh")
+    # lags first: only what they need goes through the stations' shuffle
+    rows = hourly.select("station_id", "hour", "occupancy_pct", "n_readings",
+                         F.lag("occupancy_pct").over(w).alias("lag_1"),
+                         _round6(F.avg("occupancy_pct").over(prev)).alias("moving_avg_3"))
+    if before is not None:
+        rows = rows.where("n_readings is not null")
+    return (rows.join(wx, rows["hour"] == wx["__wh"], "left")
             .select("station_id", "hour",
                     F.hour("hour").alias("hour_of_day"),
                     (F.weekday("hour") + 1).alias("day_of_week_num"),
                     (F.weekday("hour") >= 5).alias("is_weekend"),
                     "temperature_c", "rain_mm", "weather_condition",
-                    "occupancy_pct", "n_readings",
-                    F.lag("occupancy_pct").over(w).alias("lag_1"),
-                    _round6(F.avg("occupancy_pct").over(prev)).alias("moving_avg_3")))
-    return rows if before is None else rows.where("n_readings is not null")
+                    "occupancy_pct", "n_readings", "lag_1", "moving_avg_3"))
 
 
 def baseline_errors(features: DataFrame) -> DataFrame:

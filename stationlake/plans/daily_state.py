@@ -7,7 +7,8 @@ seen so far (one row, or three): the folder before the first asked day stands fo
 ``DailyRuns`` keeps runs of equal values.  Per asked day it writes the day's ``pieces`` (each station's
 first and last run of the day, and the complete ones worth listing) from that day's readings, the only
 rows it reads; then it chains first and last pieces to the carried runs and, where later days exist,
-to their pieces.  ``DailyHours`` keeps the last hours for lags and moving averages.
+to their pieces.  The chains are made once for a range of days and kept (``chains``, of the last range taken):
+the carry, the listed runs and the corrections are all read from them.  ``DailyHours`` keeps the last hours for lags and moving averages.
 
 Runs are listed under their first day.  A run that began before the asked days and goes on into them
 changes a row of an earlier day: :meth:`DailyRuns.earlier` gives those rows for :func:`merge_days`, so the whole
@@ -31,6 +32,7 @@ from stationlake.session import scratch_path
 from stationlake.sources.sinks import write_partitioned
 
 Days = tuple[str, str]
+ALL = "all"  # the chains of all days
 
 
 def stored_days(spark: SparkSession, path: str, col: str = "day") -> list[str]:
@@ -57,11 +59,14 @@ def snapshots(rows: DataFrame, key: str, order: Sequence[str], k: int, days: Seq
     """Each key's last ``k`` rows as of the end of every day of ``days``: a row of day d stands from d until
     the day of its k-th successor. ``day`` becomes the day of the snapshot."""
     w = Window.partitionBy(key).orderBy(*order)
-    until = F.lead("day", k).over(w)
+    return standing(rows.withColumn("__until", F.lead("day", k).over(w)), "__until", days)
+
+
+def standing(rows: DataFrame, until: str, days: Sequence[str]) -> DataFrame:
+    """Each row once for every day of ``days`` from its ``day`` to the one before ``until`` (null: to the last)."""
     all_days = F.array(*[F.lit(d).cast("date") for d in days])
-    return (rows.withColumn("__until", until).withColumn("day", F.explode(F.filter(
-        all_days, lambda d: (d >= F.col("day")) & (F.col("__until").isNull() | (d < F.col("__until"))))))
-        .drop("__until"))
+    return (rows.withColumn("day", F.explode(F.filter(
+        all_days, lambda d: (d >= F.col("day")) & (F.col(until).isNull() | (d < F.col(until)))))).drop(until))
 
 
 def merge_days(spark: SparkSession, path: str, schema: StructType, rows: DataFrame, replaced: DataFrame, keys: Sequence[str],
@@ -118,23 +123,40 @@ class DailyRuns:
         later = [d for d in stored_days(spark, self._path("pieces")) if not first or d >= first]
         if not later:
             return
+        (self._linked(spark, first, later).withColumn("since", F.lit(first or ALL)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").partitionBy("since").parquet(self._path("chains")))
+        open_ = standing(self._links(spark, days).where("tail").drop("last"), "until", later).withColumns(
+            {"run": F.lit(0), "head": F.lit(False)}).select(*self.schema.fieldNames())
+        write_partitioned(open_, self._path("carry"), "day", dynamic=days is not None)
+
+    def _linked(self, spark: SparkSession, first: str | None, later: Sequence[str]) -> DataFrame:
+        """What the edges of the days from the first asked one on and the carried runs make: each run up to the last reading
+        of every day (``tail``; it stands until the key's next day, ``until``), and the whole ones worth listing (``last``)."""
         chain = chained(self._edges(spark, later).unionByName(self._before(spark, first)), self.key, self.names)
-        open_ = chain.where("tail").select(self.key, *self.names, F.col("run_start").alias("start"), "end",
-                                           F.col("n_so_far").alias("n_readings"), F.lit(0).alias("run"), F.lit(False).alias("head"),
-                                           F.lit(True).alias("tail"), "day")
-        write_partitioned(snapshots(open_, self.key, ["day"], 1, later), self._path("carry"), "day", dynamic=days is not None)
+        w = Window.partitionBy(self.key).orderBy("chain", "day", "run")  # the order by day, as the chains are numbered in it
+        rows = chain.select(self.key, *self.names, F.col("run_start").alias("start"), "end", F.col("n_so_far").alias("n_readings"),
+                            "tail", "day", F.lead("day").over(w).alias("until"),
+                            F.coalesce(F.lead("chain").over(w) != F.col("chain"), F.lit(True)).alias("last"))
+        rows = rows.withColumn("last", F.col("last") & F.coalesce(self.keep(), F.lit(False)))
+        return rows.where("tail or last")
+
+    def _links(self, spark: SparkSession, days: Days | None) -> DataFrame:
+        """:meth:`_linked` as kept by the last :meth:`take`, made anew if that took other days."""
+        first = days[0] if days else None
+        later = [d for d in stored_days(spark, self._path("pieces")) if not first or d >= first]
+        path, since = self._path("chains"), first or ALL
+        if not later or stored_days(spark, path, "since") != [since]:
+            return self._linked(spark, first, later)
+        schema = StructType([*(f for f in self.schema if f.name not in ("run", "head")), StructField("until", DateType()),
+                             StructField("last", BooleanType())])
+        return spark.read.schema(schema).parquet(os.path.join(path, f"since={since}"))
 
     def _edges(self, spark: SparkSession, days: Sequence[str]) -> DataFrame:
         return read_days(spark, self._path("pieces"), self.schema, days).where("head or tail")
 
     def _chains(self, spark: SparkSession, days: Days | None) -> DataFrame:
-        """The runs that the edges of the days from the first asked one on and the carried runs make."""
-        first = days[0] if days else None
-        later = [d for d in stored_days(spark, self._path("pieces")) if not first or d >= first]
-        chain = chained(self._edges(spark, later).unionByName(self._before(spark, first)), self.key, self.names)
-        return (chain.groupBy(self.key, "chain").agg(*[F.first(v).alias(v) for v in self.names], F.min("start").alias("start"),
-                                                     F.max("end").alias("end"), F.sum("n_readings").alias("n_readings"))
-                .select(self.key, *self.names, "start", "end", "n_readings"))
+        """The listed runs that the edges of the days from the first asked one on and the carried runs make."""
+        return self._links(spark, days).where("last").select(self.key, *self.names, "start", "end", "n_readings")
 
     def runs(self, spark: SparkSession, days: Days | None = None) -> DataFrame:
         """The listed runs that begin on the given days: ``key, *values, start, end, n_readings``."""

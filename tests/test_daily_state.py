@@ -176,3 +176,29 @@ def test_moments_solve_the_normal_equations(spark):
     assert a.keys() == b.keys() and all(abs(a[h] - b[h]) < 1e-6 for h in a)
     with pytest.raises(FT.NoTrainingRows):
         FT.score_last_days(df.where("false"), moments.where("false"))
+
+
+def test_chains_are_made_once_a_take(spark, tmp_dir):
+    """What follows a take reads its chains: no window over the edges again. Other days are chained anew, with equal runs."""
+    data, state = readings(), daily(os.path.join(tmp_dir, "s"))
+    days = ("2024-03-05", "2024-03-09")
+    state.take(spark.createDataFrame([r for r in data if day_of(r[1]) < days[0]], READINGS))
+    state.take(spark.createDataFrame([r for r in data if day_of(r[1]) >= days[0]], READINGS), days)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    for df in (state.runs(spark, days), state.earlier(spark, days)[1]):
+        assert "Window" not in plan(df)
+    everything = state.runs(spark)
+    assert "Window" in plan(everything) and rows(everything) == rows(whole(spark, data))
+    of_days = whole(spark, data).where(F.to_date("start").between(*[F.lit(d).cast("date") for d in days]))
+    assert rows(state.runs(spark, days).where(F.to_date("start") >= F.lit(days[0]).cast("date"))) == rows(of_days)
+
+
+def test_lags_go_through_the_shuffle_without_the_weather(spark):
+    joined = spark.createDataFrame([(1, "2024-03-01 05:00:00", 3, 7)], "station_id int, timestamp string, bikes_available int, slots_free int")
+    weather = spark.createDataFrame([("2024-03-01 05:00:00", 4.0, 0.5, "Rain")],
+                                    "timestamp string, temperature_c double, rain_mm double, weather_condition string")
+    df = FT.hourly_features(joined, weather)
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    window = next(i for i, line in enumerate(lines) if "Window" in line)
+    assert any("Join" in line for line in lines[:window]) and not any("Join" in line for line in lines[window:window + 3])
+    assert [(r.station_id, r.temperature_c, r.occupancy_pct, r.n_readings, r.lag_1) for r in df.collect()] == [(1, 4.0, 30.0, 1, None)]
